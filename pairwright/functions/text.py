@@ -73,3 +73,8 @@ def edit_score_bound(left: Column, right: Column) -> Column:
     longest = F.greatest(F.length(left), F.length(right))
     shortest = F.least(F.length(left), F.length(right))
     return F.lit(1.0) - F.try_divide((longest - shortest).cast("double"), longest.cast("double"))
+
+
+def edit_score_same(value: Column) -> Column:
+    """:func:`edit_score` of a value with itself: 1, or null for no text."""
+    return F.when(F.length(value) > 0, F.lit(1.0))
