@@ -27,24 +27,22 @@ def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def _partners(leads: DataFrame, groups: DataFrame, job: Matching) -> DataFrame:
+def _partners(leads: DataFrame, known: DataFrame, job: Matching) -> DataFrame:
     """(lead, partner profile) for partners that hold an id above the lead's.
 
-    ``leads`` is bounded by the caller, so it may be broadcast.  The lead has
-    the lesser id, so it stands on the first side.
+    ``leads`` is bounded by the caller, so it and its blocks may be broadcast.
+    Only records of those blocks are folded into profiles.  The lead has the
+    lesser id, so it stands on the first side.
     """
-    carried = job.carried
-    own = [F.col(c).eqNullSafe(F.col(f"_own_{c}")) for c in (*job.block, *job.values)]
-    lead_values = leads.select(
-        "lead", *(F.col(c).alias(f"_own_{c}") for c in (*job.block, *job.values))
+    blocks = leads.select(*job.block).distinct()
+    nearby = known.join(F.broadcast(blocks), list(job.block), "left_semi")
+    first = job.prepare(leads).select(
+        "lead", *job.block, *(F.col(c).alias(f"{c}1") for c in job.carried)
     )
-    first = groups.join(F.broadcast(lead_values), own).select(
-        "lead", *job.block, *(F.col(c).alias(f"{c}1") for c in carried)
-    )
-    second = groups.select(
+    second = job.qualifying_profiles(nearby).select(
         *job.block,
         *job.constants,
-        *(F.col(c).alias(f"{c}2") for c in carried),
+        *(F.col(c).alias(f"{c}2") for c in job.carried),
         *pairing.PROFILE_MARKS,
     )
     met = second.join(F.broadcast(first), list(job.block)).where(F.col("last") > F.col("lead"))
@@ -67,15 +65,14 @@ def first_pairs(records: DataFrame, job: Matching, count: int, probe: int | None
     ensure_checkpoint_dir(records.sparkSession)
     probe = probe or max(1000, 10 * count)
     known = records.where(all_known(job.block))
-    groups = job.qualifying_profiles(known)
     names = [*job.block, *job.values]
 
     leads = known.select(F.col(job.id_column).alias("lead"), *names).orderBy(_text("lead")).limit(probe)
     leads = leads.checkpoint()
-    sure = _sure_counts(_partners(leads, groups, job)).checkpoint()
+    sure = _sure_counts(_partners(leads, known, job)).checkpoint()
     if (sure.agg(F.sum("sure").alias("n")).first()["n"] or 0) < count:
-        leads = _leads_with_partners(known, groups, job, count).checkpoint()
-        sure = _sure_counts(_partners(leads, groups, job))
+        leads = _leads_with_partners(known, job, count).checkpoint()
+        sure = _sure_counts(_partners(leads, known, job))
 
     # Leads before which fewer than ``count`` pairs are sure.  The window runs
     # over one row per lead, at most ``probe`` of them.
@@ -84,7 +81,7 @@ def first_pairs(records: DataFrame, job: Matching, count: int, probe: int | None
     needed = sure.withColumn("_earlier", earlier).where(F.col("_earlier") < count)
     chosen = leads.join(F.broadcast(needed.select("lead")), "lead", "left_semi")
 
-    wanted = _partners(chosen, groups, job).select(
+    wanted = _partners(chosen, known, job).select(
         "lead",
         *(F.col(c).alias(f"_{c}") for c in job.block),
         *(F.col(f"{c}2").alias(f"_{c}") for c in job.values),
@@ -96,7 +93,7 @@ def first_pairs(records: DataFrame, job: Matching, count: int, probe: int | None
     return ids.orderBy(_text(first), _text(second)).limit(count).checkpoint()
 
 
-def _leads_with_partners(known: DataFrame, groups: DataFrame, job: Matching, count: int) -> DataFrame:
+def _leads_with_partners(known: DataFrame, job: Matching, count: int) -> DataFrame:
     """The first records, in text order, that have any partner above them.
 
     A record has one when some qualifying partner profile reaches a greater
@@ -108,6 +105,7 @@ def _leads_with_partners(known: DataFrame, groups: DataFrame, job: Matching, cou
             F.struct(F.col("profile2").alias("profile"), F.col("last1").alias("reach")),
         )
     )
+    groups = job.qualifying_profiles(known)
     links = job.qualify(job.pair(groups)).select(ends.alias("end"))
     reach = links.groupBy("end.profile").agg(F.max("end.reach").alias("reach"))
     names = [*job.block, *job.values]

@@ -60,15 +60,19 @@ class Matching:
     def comparisons(self) -> list[Comparison]:
         return [self._comparison(c) for c in self.compare]
 
-    def profiles(self, records: DataFrame) -> DataFrame:
-        """Profiles with the work that depends on one value done beforehand."""
-        groups = pairing.profiles(records, self.id_column, self.block, self.values)
+    def prepare(self, frame: DataFrame) -> DataFrame:
+        """Do beforehand the work that depends on one record's values only."""
         ready = {
             prepared_name(c.column, c.metric): self._comparison(c).definition.prepare(F.col(c.column))
             for c in self._prepared
         }
+        return frame.withColumns(ready) if ready else frame
+
+    def profiles(self, records: DataFrame) -> DataFrame:
+        """Profiles with prepared values and the scores their block fixes."""
+        groups = self.prepare(pairing.profiles(records, self.id_column, self.block, self.values))
         fixed = {c.alias: self._comparison(c).score() for c in self.compare if c.column in self.block}
-        return groups.withColumns({**ready, **fixed}) if ready or fixed else groups
+        return groups.withColumns(fixed) if fixed else groups
 
     def qualifying_profiles(self, records: DataFrame) -> DataFrame:
         """Profiles whose block scores alone do not rule them out."""
