@@ -79,8 +79,9 @@ class Matching:
         wanted = {alias: self.minimums[alias] for alias in self.constants if alias in self.minimums}
         return filter_scores(self.profiles(records), wanted)
 
-    def pair(self, groups: DataFrame) -> DataFrame:
-        return pairing.profile_pairs(groups, self.block, self.carried, self.constants, self.slot_rows)
+    def meet(self, groups: DataFrame) -> DataFrame:
+        """Pairs of profiles, sides not settled."""
+        return pairing.meet_profiles(groups, self.block, self.carried, self.constants, self.slot_rows)
 
     def score(self, pairs: DataFrame) -> DataFrame:
         """All scores, nothing filtered."""
@@ -96,16 +97,16 @@ class Matching:
 
     def candidates(self, records: DataFrame) -> DataFrame:
         """Candidate pairs by profile, with the number of record pairs each."""
-        groups = pairing.profiles(records, self.id_column, self.block, self.values)
-        return pairing.profile_pairs(groups, self.block, self.values, slot_rows=self.slot_rows)
+        return pairing.candidate_pairs(records, self.id_column, self.block, self.values, self.slot_rows)
 
     def scores(self, records: DataFrame) -> DataFrame:
         """The score table, by profile pair."""
-        return self.score(self.pair(self.profiles(records)))
+        return pairing.in_id_order(self.score(self.meet(self.profiles(records))), self.values)
 
     def links(self, records: DataFrame) -> DataFrame:
         """The profile pairs that are probable duplicates."""
-        return self.qualify(self.pair(self.qualifying_profiles(records)))
+        met = self.meet(self.qualifying_profiles(records))
+        return pairing.in_id_order(self.qualify(met), self.values)
 
     def record_pairs(self, links: DataFrame, records: DataFrame, max_pairs: int) -> DataFrame:
         """Every record pair behind the links; refuses past ``max_pairs``."""

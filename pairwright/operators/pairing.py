@@ -59,7 +59,7 @@ def _slotted(groups: DataFrame, block: Sequence[str], slot_rows: int) -> DataFra
     return placed.withColumn("_slot", F.pmod(F.xxhash64("profile"), F.col("_slots")))
 
 
-def profile_pairs(
+def meet_profiles(
     groups: DataFrame,
     block: Sequence[str],
     carry: Sequence[str],
@@ -68,9 +68,9 @@ def profile_pairs(
 ) -> DataFrame:
     """Every unordered pair of profiles of a block once, with itself if it has pairs.
 
-    Columns of the profile with the lesser id end in 1, of the other in 2;
-    ``constants`` follow from the block alone and travel on one side only.
-    ``pairs`` counts the record pairs a row stands for.
+    Columns end in 1 and 2 in no particular order; :func:`in_id_order` settles
+    it, best after filtering.  ``constants`` follow from the block alone and
+    travel on one side only.  ``pairs`` counts the record pairs of a row.
     """
     placed = _slotted(groups, block, slot_rows)
     zero = F.lit(0).cast("long")
@@ -90,24 +90,30 @@ def profile_pairs(
     left = side("a", slot, F.explode(F.sequence(slot, last_slot)), constants)
     right = side("b", F.explode(F.sequence(zero, slot)), slot)
 
-    in_order = F.col("profile_a") <= F.col("profile_b")
-    met = left.join(right, keys).where((F.col("_low") < F.col("_high")) | in_order)
+    once = (F.col("_low") < F.col("_high")) | (F.col("profile_a") <= F.col("profile_b"))
     same = F.col("profile_a") == F.col("profile_b")
+    met = left.join(right, keys).where(once).where(~same | (F.col("members_a") > 1))
     members_a = F.col("members_a").cast("decimal(19,0)")
     members_b = F.col("members_b").cast("decimal(19,0)")
     pairs = F.when(same, members_a * (members_a - F.lit(1)) / F.lit(2)).otherwise(members_a * members_b)
-    met = met.where(~same | (F.col("members_a") > 1))
 
-    # Catalyst tests later filters first.  A meeting that is dropped anyway
-    # shows them nulls, so no score is computed for it.
-    across = F.col("_low") < F.col("_high")
+    # Catalyst tests filters added later first.  A meeting that counts from
+    # the other end shows them a null, so no score is computed for it.
+    masked = {c: F.when(once, F.col(f"{c}_a")) for c in carry[:1]}
+    first = [masked.get(c, F.col(f"{c}_a")).alias(f"{c}1") for c in carried]
+    second = [F.col(f"{c}_b").alias(f"{c}2") for c in carried]
+    return met.select(*block, *constants, *first, *second, pairs.cast(WIDE).alias("pairs"))
 
-    def oriented(c: str, near: str, far: str) -> Column:
-        return F.when(in_order, F.col(f"{c}_{near}")).when(across, F.col(f"{c}_{far}"))
 
-    lesser = [oriented(c, "a", "b").alias(f"{c}1") for c in carried]
-    greater = [oriented(c, "b", "a").alias(f"{c}2") for c in carried]
-    return met.select(*block, *constants, *lesser, *greater, pairs.cast(WIDE).alias("pairs"))
+def in_id_order(pairs: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Put the profile with the lesser id first."""
+    swap = F.col("profile1") > F.col("profile2")
+    settled = {}
+    for c in (*carry, *PROFILE_MARKS):
+        one, two = F.col(f"{c}1"), F.col(f"{c}2")
+        settled[f"{c}1"] = F.when(swap, two).otherwise(one)
+        settled[f"{c}2"] = F.when(swap, one).otherwise(two)
+    return pairs.withColumns(settled)
 
 
 def candidate_pairs(
@@ -117,9 +123,9 @@ def candidate_pairs(
     carry: Sequence[str],
     slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
-    """All candidate pairs of a table in folded form; see :func:`profile_pairs`."""
+    """All candidate pairs of a table in folded form, lesser id first."""
     groups = profiles(records, id_column, block, carry)
-    return profile_pairs(groups, block, carry, slot_rows=slot_rows)
+    return in_id_order(meet_profiles(groups, block, carry, slot_rows=slot_rows), carry)
 
 
 def within_limit(links: DataFrame, max_pairs: int) -> DataFrame:
