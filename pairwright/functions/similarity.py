@@ -150,7 +150,8 @@ def fuzzy_subsequence_score(term: Column, query: Column) -> Column:
             F.struct(acc["score"].alias("score"), F.lit(0).alias("free"), acc["last"].alias("last"))
         )
 
-    return F.aggregate(characters(F.lower(query)), start, step, lambda acc: acc["score"])
+    points = F.aggregate(characters(F.lower(query)), start, step, lambda acc: acc["score"])
+    return F.when(term.isNotNull(), points)
 
 
 def ratio_from_lcs(left: Column, right: Column, common: Column) -> Column:

@@ -45,13 +45,13 @@ def _partners(leads: DataFrame, known: DataFrame, job: Matching) -> DataFrame:
         *(F.col(c).alias(f"{c}2") for c in job.carried),
         *pairing.PROFILE_MARKS,
     )
-    met = second.join(F.broadcast(first), list(job.block)).where(F.col("last") > F.col("lead"))
+    met = second.join(F.broadcast(first), list(job.block)).where(F.col("profile_last") > F.col("lead"))
     return job.qualify(met)
 
 
 def _sure_counts(partners: DataFrame) -> DataFrame:
     """Per lead, a number of pairs it is certain to have (at least one)."""
-    all_above = F.when(F.col("profile") > F.col("lead"), F.col("members")).otherwise(F.lit(1))
+    all_above = F.when(F.col("profile") > F.col("lead"), F.col("profile_members")).otherwise(F.lit(1))
     return partners.groupBy("lead").agg(F.sum(all_above).alias("sure"))
 
 
@@ -101,8 +101,8 @@ def _leads_with_partners(known: DataFrame, job: Matching, count: int) -> DataFra
     """
     ends = F.explode(
         F.array(
-            F.struct(F.col("profile1").alias("profile"), F.col("last2").alias("reach")),
-            F.struct(F.col("profile2").alias("profile"), F.col("last1").alias("reach")),
+            F.struct(F.col("profile1").alias("profile"), F.col("profile_last2").alias("reach")),
+            F.struct(F.col("profile2").alias("profile"), F.col("profile_last1").alias("reach")),
         )
     )
     groups = job.qualifying_profiles(known)

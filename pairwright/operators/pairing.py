@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pairwright.operators.estimates import WIDE, all_known
 from pairwright.session import shuffle_partitions
 
-PROFILE_MARKS = ("profile", "last", "members")
+PROFILE_MARKS = ("profile", "profile_last", "profile_members")
 # Profiles per slot: a cell compares at most this many squared.
 SLOT_ROWS = 4096
 # Records per slice when record pairs are spelled out.
@@ -35,8 +35,8 @@ def profiles(records: DataFrame, id_column: str, block: Sequence[str], carry: Se
     known = records.where(all_known(block))
     return known.groupBy(*block, *carry).agg(
         F.min(id_column).alias("profile"),
-        F.max(id_column).alias("last"),
-        F.count(F.lit(1)).alias("members"),
+        F.max(id_column).alias("profile_last"),
+        F.count(F.lit(1)).alias("profile_members"),
     )
 
 
@@ -47,7 +47,7 @@ def _slotted(groups: DataFrame, block: Sequence[str], slot_rows: int) -> DataFra
     with the same columns asked for, Spark reuses the shuffle that made the
     profiles instead of scanning the records again.
     """
-    whole = (F.col("members") > 0) & (F.col("last") >= F.col("profile"))
+    whole = (F.col("profile_members") > 0) & (F.col("profile_last") >= F.col("profile"))
     crowded = (
         groups.groupBy(*block)
         .agg(F.count_if(whole).alias("_size"))
@@ -92,9 +92,9 @@ def meet_profiles(
 
     once = (F.col("_low") < F.col("_high")) | (F.col("profile_a") <= F.col("profile_b"))
     same = F.col("profile_a") == F.col("profile_b")
-    met = left.join(right, keys).where(once).where(~same | (F.col("members_a") > 1))
-    members_a = F.col("members_a").cast("decimal(19,0)")
-    members_b = F.col("members_b").cast("decimal(19,0)")
+    met = left.join(right, keys).where(once).where(~same | (F.col("profile_members_a") > 1))
+    members_a = F.col("profile_members_a").cast("decimal(19,0)")
+    members_b = F.col("profile_members_b").cast("decimal(19,0)")
     pairs = F.when(same, members_a * (members_a - F.lit(1)) / F.lit(2)).otherwise(members_a * members_b)
 
     # Catalyst tests filters added later first.  A meeting that counts from
@@ -155,7 +155,7 @@ def spell_out(
     """
     names = [*block, *carry]
     groups = profiles(records, id_column, block, carry).select(
-        *(F.col(c).alias(f"_{c}") for c in names), F.col("profile").alias("_profile"), F.col("members").alias("_members")
+        *(F.col(c).alias(f"_{c}") for c in names), F.col("profile").alias("_profile"), F.col("profile_members").alias("_members")
     )
     same_values = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
     slices = F.ceil(F.col("_members") / slice_rows)
@@ -168,7 +168,7 @@ def spell_out(
     def all_slices(members: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(members) / slice_rows) - 1))
 
-    cells = links.withColumn("_slice1", all_slices("members1")).withColumn("_slice2", all_slices("members2"))
+    cells = links.withColumn("_slice1", all_slices("profile_members1")).withColumn("_slice2", all_slices("profile_members2"))
     # A profile meets itself in every pair of slices once, lower slice first.
     cells = cells.where(
         (F.col("profile1") != F.col("profile2")) | (F.col("_slice1") <= F.col("_slice2"))

@@ -48,7 +48,8 @@ RECORDS = f"""rec AS (
   FROM part)"""
 
 PROFILES = """prof AS (
-  SELECT fname, lname, address, min(cust_id) AS profile, max(cust_id) AS last, count(*) AS members
+  SELECT fname, lname, address, min(cust_id) AS profile, max(cust_id) AS profile_last,
+    count(*) AS profile_members
   FROM rec WHERE fname IS NOT NULL GROUP BY ALL),
 tagged AS (
   SELECT r.cust_id, r.fname, p.profile FROM rec r JOIN prof p
@@ -60,9 +61,9 @@ met AS (
   FROM tagged a JOIN tagged b ON a.fname = b.fname AND a.cust_id < b.cust_id
   GROUP BY ALL)"""
 
-PROFILE_PAIR = """p.fname, p.lname AS lname1, p.address AS address1, m.profile1, p.last AS last1,
-  p.members AS members1, q.lname AS lname2, q.address AS address2, m.profile2, q.last AS last2,
-  q.members AS members2, m.pairs"""
+PROFILE_PAIR = """p.fname, p.lname AS lname1, p.address AS address1, m.profile1, p.profile_last AS profile_last1,
+  p.profile_members AS profile_members1, q.lname AS lname2, q.address AS address2, m.profile2, q.profile_last AS profile_last2,
+  q.profile_members AS profile_members2, m.pairs"""
 PROFILE_JOIN = "met m JOIN prof p ON m.profile1 = p.profile JOIN prof q ON m.profile2 = q.profile"
 
 FIRST, LAST, PLACE = ("p.fname", "p.fname"), ("p.lname", "q.lname"), ("p.address", "q.address")
