@@ -21,7 +21,7 @@ from pairwright.session import shuffle_partitions
 
 PROFILE_MARKS = ("profile", "profile_last", "profile_members")
 # Profiles per slot: a cell compares at most this many squared.
-SLOT_ROWS = 4096
+SLOT_ROWS = 1024
 # Records per slice when record pairs are spelled out.
 SLICE_ROWS = 1024
 
