@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pairwright.operators import pairing
 from pairwright.operators.estimates import all_known
 from pairwright.operators.matching import Matching
-from pairwright.session import ensure_checkpoint_dir
+from pairwright.session import broadcast_rows, ensure_checkpoint_dir
 
 
 def pair_key(first: str, second: str) -> Column:
@@ -27,70 +27,79 @@ def _text(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def _partners(leads: DataFrame, known: DataFrame, job: Matching) -> DataFrame:
-    """(lead, partner profile) for partners that hold an id above the lead's.
+def _against_leads(
+    leads: DataFrame, bound: int, others: DataFrame, job: Matching, reach: str, extra: Sequence[str]
+) -> DataFrame:
+    """Qualifying (lead, other) rows where the other reaches an id above the lead's.
 
-    ``leads`` is bounded by the caller, so it and its blocks may be broadcast.
-    Only records of those blocks are folded into profiles.  The lead has the
-    lesser id, so it stands on the first side.
+    There are at most ``bound`` leads, so they go to where the others are.
+    The lead has the lesser id, so it stands on the first side.
     """
-    blocks = leads.select(*job.block).distinct()
-    nearby = known.join(F.broadcast(blocks), list(job.block), "left_semi")
     first = job.prepare(leads).select(
         "lead", *job.block, *(F.col(c).alias(f"{c}1") for c in job.carried)
     )
-    second = job.qualifying_profiles(nearby).select(
-        *job.block,
-        *job.constants,
-        *(F.col(c).alias(f"{c}2") for c in job.carried),
-        *pairing.PROFILE_MARKS,
+    second = job.possible(job.prepare(others)).select(
+        *job.block, *job.constants, *(F.col(c).alias(f"{c}2") for c in job.carried), reach, *extra
     )
-    met = second.join(F.broadcast(first), list(job.block)).where(F.col("profile_last") > F.col("lead"))
-    return job.qualify(met)
+    met = second.join(broadcast_rows(first, bound), list(job.block))
+    return job.qualify(met.where(F.col(reach) > F.col("lead")))
+
+
+def _first_of(leads: DataFrame, bound: int, known: DataFrame, job: Matching, count: int) -> DataFrame:
+    """The first pairs that have one of the leads as id1; no record is shuffled."""
+    met = _against_leads(leads, bound, known, job, job.id_column, [])
+    first, second = f"{job.id_column}1", f"{job.id_column}2"
+    ids = met.select(F.col("lead").alias(first), F.col(job.id_column).alias(second))
+    return ids.orderBy(_text(first), _text(second)).limit(count).checkpoint()
 
 
-def _sure_counts(partners: DataFrame) -> DataFrame:
-    """Per lead, a number of pairs it is certain to have (at least one)."""
+def _sure_counts(leads: DataFrame, bound: int, known: DataFrame, job: Matching) -> DataFrame:
+    """Per lead, a number of pairs it is certain to have (at least one).
+
+    Only records of the leads' blocks are folded into profiles.
+    """
+    blocks = leads.select(*job.block).distinct()
+    nearby = known.join(broadcast_rows(blocks, bound), list(job.block), "left_semi")
+    groups = pairing.profiles(nearby, job.id_column, job.block, job.values)
+    extra = ["profile", "profile_members"]
+    partners = _against_leads(leads, bound, groups, job, "profile_last", extra)
     all_above = F.when(F.col("profile") > F.col("lead"), F.col("profile_members")).otherwise(F.lit(1))
     return partners.groupBy("lead").agg(F.sum(all_above).alias("sure"))
 
 
-def first_pairs(records: DataFrame, job: Matching, count: int, probe: int | None = None) -> DataFrame:
+def first_pairs(
+    records: DataFrame, job: Matching, count: int, probes: tuple[int, int] | None = None
+) -> DataFrame:
     """The first ``count`` qualifying record pairs (id1 < id2) in pair-key order.
 
-    The first ``probe`` records are tried as id1.  When they do not yield
-    enough pairs, one pass over all profile pairs finds out which records have
-    a partner at all.  Either way the result is exact.
+    A few first records are tried as id1, record by record.  If they do not
+    yield enough pairs, many more are tried against profiles.  If that is not
+    enough, one pass over all profile pairs finds out which records have a
+    partner at all.  Every way is exact; only the effort differs.
     """
     ensure_checkpoint_dir(records.sparkSession)
-    probe = probe or max(1000, 10 * count)
+    few, many = probes or (max(5, count // 10), max(1000, 10 * count))
     known = records.where(all_known(job.block))
     names = [*job.block, *job.values]
+    ordered = known.select(F.col(job.id_column).alias("lead"), *names).orderBy(_text("lead"))
+
+    found = _first_of(ordered.limit(few), few, known, job, count)
+    if found.count() == count:
+        return found
 
-    leads = known.select(F.col(job.id_column).alias("lead"), *names).orderBy(_text("lead")).limit(probe)
-    leads = leads.checkpoint()
-    sure = _sure_counts(_partners(leads, known, job)).checkpoint()
+    leads = ordered.limit(many).checkpoint()
+    sure = _sure_counts(leads, many, known, job).checkpoint()
     if (sure.agg(F.sum("sure").alias("n")).first()["n"] or 0) < count:
         leads = _leads_with_partners(known, job, count).checkpoint()
-        sure = _sure_counts(_partners(leads, known, job))
+        sure = _sure_counts(leads, count, known, job)
 
-    # Leads before which fewer than ``count`` pairs are sure.  The window runs
-    # over one row per lead, at most ``probe`` of them.
+    # Leads before which fewer than ``count`` pairs are sure: at most ``count``
+    # of them.  The window runs over one row per lead.
     before = Window.orderBy(_text("lead")).rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum("sure").over(before), F.lit(0))
-    needed = sure.withColumn("_earlier", earlier).where(F.col("_earlier") < count)
-    chosen = leads.join(F.broadcast(needed.select("lead")), "lead", "left_semi")
-
-    wanted = _partners(chosen, known, job).select(
-        "lead",
-        *(F.col(c).alias(f"_{c}") for c in job.block),
-        *(F.col(f"{c}2").alias(f"_{c}") for c in job.values),
-    )
-    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
-    met = known.join(wanted, [*on, F.col(job.id_column) > F.col("lead")])
-    first, second = f"{job.id_column}1", f"{job.id_column}2"
-    ids = met.select(F.col("lead").alias(first), F.col(job.id_column).alias(second))
-    return ids.orderBy(_text(first), _text(second)).limit(count).checkpoint()
+    needed = sure.withColumn("_earlier", earlier).where(F.col("_earlier") < count).select("lead")
+    chosen = leads.join(broadcast_rows(needed, count), "lead", "left_semi")
+    return _first_of(chosen, count, known, job, count)
 
 
 def _leads_with_partners(known: DataFrame, job: Matching, count: int) -> DataFrame:
@@ -115,14 +124,16 @@ def _leads_with_partners(known: DataFrame, job: Matching, count: int) -> DataFra
     return leads.select(F.col(job.id_column).alias("lead"), *names).orderBy(_text("lead")).limit(count)
 
 
-def with_records(pairs: DataFrame, records: DataFrame, id_column: str, carry: Sequence[str]) -> DataFrame:
-    """Attach columns of both records to a bounded list of pairs."""
+def with_records(
+    pairs: DataFrame, bound: int, records: DataFrame, id_column: str, carry: Sequence[str]
+) -> DataFrame:
+    """Attach columns of both records to a list of at most ``bound`` pairs."""
     result = pairs
     for side in ("1", "2"):
         values = records.select(
             F.col(id_column).alias(f"{id_column}{side}"), *(F.col(c).alias(f"{c}{side}") for c in carry)
         )
-        result = values.join(F.broadcast(result), f"{id_column}{side}")
+        result = values.join(broadcast_rows(result, bound), f"{id_column}{side}")
     return result
 
 
@@ -141,6 +152,7 @@ def expand_pairs(pairs: DataFrame, records: DataFrame, id_column: str) -> DataFr
 
 def duplicate_listing(records: DataFrame, job: Matching, rows: int = 100) -> DataFrame:
     """Both records of each probable duplicate, by pair key and id, first rows."""
-    pairs = first_pairs(records, job, (rows + 1) // 2)
-    listed = expand_pairs(F.broadcast(pairs), records, job.id_column)
+    count = (rows + 1) // 2
+    pairs = first_pairs(records, job, count)
+    listed = expand_pairs(broadcast_rows(pairs, count), records, job.id_column)
     return listed.orderBy("pair_key", job.id_column).limit(rows)

@@ -61,23 +61,25 @@ class Matching:
         return [self._comparison(c) for c in self.compare]
 
     def prepare(self, frame: DataFrame) -> DataFrame:
-        """Do beforehand the work that depends on one record's values only."""
+        """Do beforehand what depends on one record: prepared values, block scores."""
         ready = {
             prepared_name(c.column, c.metric): self._comparison(c).definition.prepare(F.col(c.column))
             for c in self._prepared
         }
-        return frame.withColumns(ready) if ready else frame
+        fixed = {c.alias: self._comparison(c).score() for c in self.compare if c.column in self.block}
+        return frame.withColumns({**ready, **fixed}) if ready or fixed else frame
+
+    def possible(self, prepared: DataFrame) -> DataFrame:
+        """What the block scores alone do not rule out."""
+        wanted = {alias: self.minimums[alias] for alias in self.constants if alias in self.minimums}
+        return filter_scores(prepared, wanted)
 
     def profiles(self, records: DataFrame) -> DataFrame:
-        """Profiles with prepared values and the scores their block fixes."""
-        groups = self.prepare(pairing.profiles(records, self.id_column, self.block, self.values))
-        fixed = {c.alias: self._comparison(c).score() for c in self.compare if c.column in self.block}
-        return groups.withColumns(fixed) if fixed else groups
+        """Profiles, prepared for pairing."""
+        return self.prepare(pairing.profiles(records, self.id_column, self.block, self.values))
 
     def qualifying_profiles(self, records: DataFrame) -> DataFrame:
-        """Profiles whose block scores alone do not rule them out."""
-        wanted = {alias: self.minimums[alias] for alias in self.constants if alias in self.minimums}
-        return filter_scores(self.profiles(records), wanted)
+        return self.possible(self.profiles(records))
 
     def meet(self, groups: DataFrame) -> DataFrame:
         """Pairs of profiles, sides not settled."""

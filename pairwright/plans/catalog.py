@@ -352,14 +352,14 @@ def candidate_preview(spark: SparkSession, folder: str) -> DataFrame:
     """The first ten record pairs with the values that will be compared."""
     records = stand_ins.part_records(spark, folder)
     pairs = listing.first_pairs(records, Matching("cust_id", ["fname"]), 10)
-    return listing.with_records(pairs, records, "cust_id", ["fname", "lname", "address"])
+    return listing.with_records(pairs, 10, records, "cust_id", ["fname", "lname", "address"])
 
 
 def score_preview(spark: SparkSession, folder: str) -> DataFrame:
     """The first hundred rows of the score table, one per record pair."""
     records = stand_ins.part_records(spark, folder)
     pairs = listing.first_pairs(records, Matching("cust_id", ["fname"]), 100)
-    valued = listing.with_records(pairs, records, "cust_id", ["fname", "lname", "address"])
+    valued = listing.with_records(pairs, 100, records, "cust_id", ["fname", "lname", "address"])
     comparisons = [
         Comparison(f"{c.column}1", f"{c.column}2", c.metric, c.alias) for c in stand_ins.part_job().compare
     ]

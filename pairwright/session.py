@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
@@ -55,3 +56,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
     )
+
+
+# Frames known to have at most this many rows may be broadcast by hint.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_rows(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a frame of at most ``rows`` rows, if that is few enough."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

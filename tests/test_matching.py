@@ -137,14 +137,14 @@ def test_too_many_pairs_are_refused_not_cut(records):
         job().record_pairs(links, records, max_pairs=10)
 
 
-@pytest.mark.parametrize("probe", [1, 20, None])
-def test_first_pairs_are_exact(records, probe):
+@pytest.mark.parametrize("probes", [(1, 2), (2, 60), (50, 60), None])
+def test_first_pairs_are_exact(records, probes):
     key = lambda p: f"{p[0][0]}-{p[1][0]}"
     expected = sorted((p for p in block_pairs() if good(*p)), key=key)
     for count in (1, 13):
-        got = listing.first_pairs(records, job(), count, probe=probe).collect()
+        got = listing.first_pairs(records, job(), count, probes=probes).collect()
         assert sorted((r.id1, r.id2) for r in got) == sorted((a[0], b[0]) for a, b in expected[:count])
-    unfiltered = listing.first_pairs(records, Matching("id", ["first"]), 9, probe=probe).collect()
+    unfiltered = listing.first_pairs(records, Matching("id", ["first"]), 9, probes=probes).collect()
     everything = sorted(block_pairs(), key=key)[:9]
     assert sorted((r.id1, r.id2) for r in unfiltered) == sorted((a[0], b[0]) for a, b in everything)
 
