@@ -194,6 +194,17 @@ def bindings_for(bindings: DataFrame, table_name: str) -> DataFrame:
     return bindings.where(F.col("table_name") == table_name)
 
 
+def attached_metrics(
+    bindings: DataFrame, table_name: str, known: Sequence[Metric], limit: int = 10_000
+) -> list[tuple[Metric, str]]:
+    """The metrics bound to a table, ready for :func:`evaluate`."""
+    rows = bindings_for(bindings, table_name).orderBy("metric_name", "column_name").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} metrics are bound to {table_name}")
+    by_name = {metric.name: metric for metric in known}
+    return [(by_name[row["metric_name"]], row["column_name"]) for row in rows]
+
+
 def matching_names(frame: DataFrame, column: str, pattern: str) -> DataFrame:
     """Rows whose name matches a LIKE pattern."""
     return frame.where(F.col(column).like(pattern))

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -87,6 +88,10 @@ def test_bindings(spark, rows):
     assert rows(twice) == [("web", "PESEL", "INVALID_PESEL_COUNT", "10 minutes")]
     daily = quality.set_schedule(twice, "web", "1440 minutes")
     assert rows(quality.bindings_for(daily, "web"), "schedule") == [("1440 minutes",)]
+    attached = quality.attached_metrics(daily, "web", [quality.ROW_COUNT, quality.INVALID_PESEL_COUNT])
+    assert attached == [(quality.INVALID_PESEL_COUNT, "PESEL")]
+    with pytest.raises(ValueError):
+        quality.attached_metrics(daily, "web", [quality.INVALID_PESEL_COUNT], limit=0)
     assert rows(quality.detach(daily, "web", "PESEL", "INVALID_PESEL_COUNT")) == []
 
 
