@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.operators import pairing
-from pairwright.operators.scoring import Comparison, filter_scores, prepared_name, score_pairs
+from pairwright.operators.estimates import all_known
+from pairwright.operators.scoring import METRICS, Comparison, filter_scores, prepared_name, score_pairs
 
 
 @dataclass(frozen=True)
@@ -70,9 +71,15 @@ class Matching:
         return frame.withColumns({**ready, **fixed}) if ready or fixed else frame
 
     def possible(self, prepared: DataFrame) -> DataFrame:
-        """What the block scores alone do not rule out."""
+        """What one record alone does not rule out.
+
+        A block score may be too low already, and a null value has no score.
+        Said here, before pairing, both sides of a pair filter alike and can
+        share one aggregation.
+        """
         wanted = {alias: self.minimums[alias] for alias in self.constants if alias in self.minimums}
-        return filter_scores(prepared, wanted)
+        needed = [c.column for c in self.compare if c.alias in self.minimums and METRICS[c.metric].strict]
+        return filter_scores(prepared, wanted).where(all_known([*self.block, *needed]))
 
     def profiles(self, records: DataFrame) -> DataFrame:
         """Profiles, prepared for pairing."""

@@ -44,10 +44,10 @@ def _slotted(groups: DataFrame, block: Sequence[str], slot_rows: int) -> DataFra
     """Give each profile a slot; only blocks over one slot's size get several.
 
     The size counts through every profile mark, though each profile passes:
-    with the same columns asked for, Spark reuses the shuffle that made the
-    profiles instead of scanning the records again.
+    with the same columns asked for in the same order, Spark reuses the
+    shuffle that made the profiles instead of scanning the records again.
     """
-    whole = (F.col("profile_members") > 0) & (F.col("profile_last") >= F.col("profile"))
+    whole = (F.col("profile") <= F.col("profile_last")) & (F.col("profile_members") > 0)
     crowded = (
         groups.groupBy(*block)
         .agg(F.count_if(whole).alias("_size"))

@@ -20,6 +20,7 @@ class StringMetric:
     arrow: bool = False  # runs in Python workers; worth sharing by value
     bound: Callable[[Column, Column], Column] | None = None  # cheap upper bound
     same: Callable[[Column], Column] | None = None  # score of a value with itself
+    strict: bool = True  # null on a null side
 
 METRICS: dict[str, StringMetric] = {
     "fuzzy": StringMetric(text.edit_score, bound=text.edit_score_bound, same=text.edit_score_same),
@@ -35,10 +36,14 @@ METRICS: dict[str, StringMetric] = {
     "lcs_length": StringMetric(similarity.lcs_length, arrow=True),
     "lcs_distance": StringMetric(similarity.lcs_distance, arrow=True),
     "fuzzy_subsequence_score": StringMetric(similarity.fuzzy_subsequence_score),
-    "ratio": StringMetric(similarity.ratio, arrow=True, bound=similarity.ratio_bound),
-    "partial_ratio": StringMetric(similarity.partial_ratio, arrow=True),
+    "ratio": StringMetric(similarity.ratio, arrow=True, bound=similarity.ratio_bound, strict=False),
+    "partial_ratio": StringMetric(similarity.partial_ratio, arrow=True, strict=False),
     "token_sort_ratio": StringMetric(
-        similarity.ratio, prepare=similarity.sorted_token_text, arrow=True, bound=similarity.ratio_bound
+        similarity.ratio,
+        prepare=similarity.sorted_token_text,
+        arrow=True,
+        bound=similarity.ratio_bound,
+        strict=False,
     ),
 }
 

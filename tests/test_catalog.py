@@ -77,3 +77,15 @@ def test_plans_prune_and_push_down(spark):
 def test_matching_never_loops_over_all_pairs(spark, name):
     text = plan(catalog.QUERIES[name](spark, FOLDER))
     assert "NestedLoop" not in text and "CartesianProduct" not in text
+
+
+@pytest.mark.parametrize("name", ["duplicate_links", "pair_scores"])
+def test_profiles_are_made_once(spark, name):
+    """Both sides of a pair and the block sizes come from one scan and shuffle."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(catalog.QUERIES[name](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert text.count("FileScan") == 1 and "ReusedExchange" in text
