@@ -32,14 +32,14 @@ STATED = [
     ("cosine_similarity", "string similarity", "string distance", 0.5),
     ("cosine_distance", "string similarity", "string distance", 0.5),
     ("cosine_distance", "string distance", "string", 1 - 1 / math.sqrt(2)),
-    ("ratio", "Łukasz Leszewski S.", "Łukasz Leszewski", 91),
-    ("ratio", "Łukasz Leszewski S.", "Leszewski Łukasz", 57),
-    ("partial_ratio", "Łukasz Leszewski S.", "Łukasz Leszewski", 100),
-    ("partial_ratio", "Łukasz Leszewski", "Łukasz Leszewski S.", 100),
-    ("partial_ratio", "Łukasz Leszewski S.", "Leszewski Łukasz", 62),
-    ("token_sort_ratio", "Łukasz Leszewski S.", "Leszewski Łukasz", 94),
-    ("token_sort_ratio", "Łukasz Leszewski S.", "Leszewski S. Łukasz", 100),
     ("token_sort_ratio", "b  a", "a b", 100),
+    ("ratio", "Łucja Zielińska S.", "Łucja Zielińska", 91),
+    ("ratio", "Łucja Zielińska S.", "Zielińska Łucja", 61),
+    ("partial_ratio", "Łucja Zielińska S.", "Łucja Zielińska", 100),
+    ("partial_ratio", "Łucja Zielińska", "Łucja Zielińska S.", 100),
+    ("partial_ratio", "Łucja Zielińska S.", "Zielińska Łucja", 67),
+    ("token_sort_ratio", "Łucja Zielińska S.", "Zielińska Łucja", 93),
+    ("token_sort_ratio", "Łucja Zielińska S.", "Zielińska S. Łucja", 100),
     ("ratio", "", "", 100),
     ("ratio", "", "a", 0),
 ]

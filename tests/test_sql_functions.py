@@ -26,7 +26,7 @@ PAIRS = [
     ("hyperspace", "cyberscape"),
     ("string similarity", "string distance"),
     ("string string a", "string"),
-    ("Łukasz Leszewski S.", "Leszewski  Łukasz"),
+    ("Łucja Zielińska S.", "Zielińska  Łucja"),
     ("", ""),
     ("", "a"),
     (None, "a"),
