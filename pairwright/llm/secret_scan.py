@@ -29,6 +29,8 @@ ASSIGN = (
     "|[aA][pP][iI]_?[kK][eE][yY])[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 )
 ASSIGN_VALUE = 6
+# What every match of ASSIGN holds, and quicker to rule out.
+ASSIGN_HINT = "[dDtTnNyY][\"']?\\x20*[:=]"
 # A run is matched from its first character to its last, so a minimum length in
 # the pattern gives the same matches as dropping the shorter ones afterwards.
 ACCESS = "AKIA[A-Z0-9]{16,}"
@@ -50,8 +52,11 @@ class CharacterClass:
     bits: float
 
 
+# A run starts where its class starts; the look-ahead asks for a digit before any position is worked out.
 CLASSES = (
-    CharacterClass("[A-Za-z0-9+/_=-]{20,}", ("[a-z]", "[A-Z]", "[0-9]"), 20, 3.65),
+    CharacterClass(
+        "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}", ("[a-z]", "[A-Z]", "[0-9]"), 20, 3.65
+    ),
     CharacterClass("[0-9A-F]{24,}", ("[A-F]", "[0-9]"), 24, 3.05),
 )
 # Strings that look random and are none: sample keys, alphabets, placeholders.
@@ -150,7 +155,6 @@ def _entropy_spans(text: Column, kind: CharacterClass) -> Column:
             ),
         )
 
-    # only runs that hold what the class needs are worth a position
     runs = _spans(text, kind.run, 3)
     return F.flatten(F.transform(runs, spans))
 
@@ -162,7 +166,6 @@ def _named(spans: Column) -> Column:
         ",",
     )
 
-
 NO_SPANS = "array<struct<start:int,kind:int,stop:int>>"
 
 
@@ -171,7 +174,7 @@ def with_spans(docs: DataFrame, text_column: str = "text") -> DataFrame:
     text = text_of(text_column)
     none = F.array().cast(NO_SPANS)
     base = [
-        _spans(text, ASSIGN, 0, value_group=2, least=ASSIGN_VALUE),
+        F.when(text.rlike(ASSIGN_HINT), _spans(text, ASSIGN, 0, value_group=2, least=ASSIGN_VALUE)),
         F.when(F.contains(text, F.lit("AKIA")), _spans(text, ACCESS, 1)),
         _spans(text, HEX, 2),
     ]
