@@ -4,27 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairwright.llm import exact_dedup, secret_scan
+from pairwright.llm import exact_dedup, packing, piece_ids, secret_scan
 from pairwright.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text of ``documents``."""
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token windows of all of ``documents``."""
+    return packing.packing(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts of ``documents``."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every text of ``documents``."""
+    return piece_ids.piece_ids(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 QUERIES: dict[str, Query] = {
     "op2_secret_scan": op2_secret_scan,
+    "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op10_piece_ids": op10_piece_ids,
 }
 
 ORACLES: dict[str, str] = {
