@@ -155,8 +155,10 @@ def packing(
     found = landed(pieces(docs, tokenizer_path, id_column, text_column, capacity, piece), "pieces")
     partial = found.where(F.col("length") < capacity).count()
     groups = max(1, -(-partial // group_pieces))
+    carried = [f for f in found.schema if f.name != "salt"]
+    names = [f.name for f in carried]
     schema = T.StructType(
-        [f for f in found.schema if f.name != "salt"]
+        carried
         + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
     )
 
@@ -170,10 +172,10 @@ def packing(
         order = np.argsort(window, kind="stable")
         rows, window, length = rows.take(pa.array(order)), window[order], length[order]
         end = np.cumsum(length)
-        first = np.diff(window, prefix=-1) != 0
+        first = np.diff(window, prepend=-1) != 0
         offset = end - length - np.repeat((end - length)[first], np.diff(np.append(np.flatnonzero(first), len(window))))
         sequence = (key[0].as_py() << 32) + window
-        out = rows.select([f.name for f in found.schema if f.name != "salt"])
+        out = rows.select(names)
         return out.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     grouped = found.withColumn("pack_group", F.pmod(F.col("salt"), F.lit(groups)))

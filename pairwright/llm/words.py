@@ -22,7 +22,7 @@ def slices(batch: pa.RecordBatch, texts: pa.Array, most_bytes: int = SLICE_BYTES
     if not batch.num_rows:
         return
     part = np.cumsum(sizes_in_bytes(texts)) // most_bytes
-    starts = np.flatnonzero(np.diff(part, prefix=part[0] - 1))
+    starts = np.flatnonzero(np.diff(part, prepend=part[0] - 1))
     for start, stop in zip(starts, [*starts[1:], batch.num_rows], strict=True):
         yield batch.slice(start, stop - start), texts.slice(start, stop - start)
 
