@@ -49,11 +49,21 @@ class Words:
         """The same words, those of no character left out."""
         empty = np.flatnonzero(sizes_in_bytes(self.distinct) == 0)
         if len(empty):
-            keep = self.codes != empty[0]
-            before = np.concatenate([[0], np.cumsum(keep)])
-            self.codes, self.bounds = self.codes[keep], before[self.bounds]
+            self._kept(self.codes != empty[0])
         return self
 
+    def _kept(self, keep: np.ndarray) -> Words:
+        before = np.concatenate([[0], np.cumsum(keep)])
+        self.codes, self.bounds = self.codes[keep], before[self.bounds]
+        return self
+
+    def without_runs(self) -> Words:
+        """The same words, of each run of one word in a text only the first."""
+        keep = np.diff(self.codes, prepend=-1) != 0
+        starts = self.bounds[:-1]
+        keep[starts[starts < len(keep)]] = True
+        return self._kept(keep)
+
 
 def white_space_words(texts: pa.Array) -> Words:
     """Runs of characters other than the ASCII white space ``[\\x20\\x09-\\x0D]``."""
