@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairwright.llm import exact_dedup, packing, piece_ids, secret_scan
+from pairwright.llm import exact_dedup, language_id, packing, piece_ids, quality, secret_scan, toxicity
 from pairwright.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text of ``documents``."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text of ``documents``."""
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
@@ -26,20 +31,33 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text of ``documents``."""
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts of ``documents``."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text of ``documents``."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every text of ``documents``."""
     return piece_ids.piece_ids(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_secret_scan": op2_secret_scan,
     "op4_packing": op4_packing,
+    "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_piece_ids": op10_piece_ids,
 }
 
