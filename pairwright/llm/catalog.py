@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pairwright.llm import exact_dedup, language_id, packing, piece_ids, quality, secret_scan, toxicity
+from pairwright.llm import exact_dedup, language_id, packing, piece_ids, quality, secret_scan, top_k, toxicity
 from pairwright.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of ``embeddings`` of every fiftieth."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text of ``documents``."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -57,10 +63,12 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_top_k": op7_top_k,
     "op9_toxicity": op9_toxicity,
     "op10_piece_ids": op10_piece_ids,
 }
 
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op7_top_k": top_k.ORACLE,
 }
