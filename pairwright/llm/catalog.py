@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import exact_dedup, language_id, packing, piece_ids, quality, secret_scan, top_k, toxicity
+from pairwright.llm import exact_dedup, jaccard_join, language_id, packing, piece_ids, quality, secret_scan, top_k, toxicity
 from pairwright.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of nearly equal texts of ``documents``."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token windows of all of ``documents``."""
     return packing.packing(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
@@ -60,6 +65,7 @@ def op10_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_secret_scan": op2_secret_scan,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
