@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import exact_dedup, jaccard_join, language_id, packing, piece_ids, quality, secret_scan, top_k, toxicity
+from pairwright.llm import exact_dedup, jaccard_join, language_id, packing, piece_ids, quality, repeats, secret_scan, top_k, toxicity
 from pairwright.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated strings of 400 bytes of ``documents``, removed."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text of ``documents``."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_top_k": op7_top_k,
+    "op8_repeats": op8_repeats,
     "op9_toxicity": op9_toxicity,
     "op10_piece_ids": op10_piece_ids,
 }
