@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeats": op8_repeats,
     "op9_toxicity": op9_toxicity,
     "op10_piece_ids": op10_piece_ids,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
