@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.llm.frames import text_of
+from pairwright.llm.frames import text_of, unwrapped, wrapped
 
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -88,23 +88,20 @@ def exact_dedup(
 
 def without_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns; of repeated rows, one."""
-    marks = ("_dedup_hash", "_dedup_sha", "_dedup_size")
-    content = normalised(text_of(text_column))
-    rows = docs.withColumns({marks[0]: content_hash(content), marks[1]: F.sha2(content, 256)})
-    found = groups(docs, id_column, text_column).select(
-        F.col("hash").alias(marks[0]),
-        F.col("text_sha256").alias(marks[1]),
-        F.col("group_size").alias(marks[2]),
-        F.col("keep_id").alias("_dedup_keep"),
-        F.col("longest").alias("_dedup_longest"),
-    )
-    stays = F.col(id_column).eqNullSafe(F.col("_dedup_keep")) & (
-        F.char_length(text_of(text_column)) == F.col("_dedup_longest")
+    text = text_of(text_column)
+    content = normalised(text)
+    rows = wrapped(
+        docs,
+        doc_id=F.col(f"`{id_column}`"),
+        n=F.char_length(text),
+        hash=content_hash(content),
+        text_sha256=F.sha2(content, 256),
     )
-    kept = rows.join(found, [marks[0], marks[1]]).where(stays)
-    alone = kept.where(F.col(marks[2]) == 1)
-    copied = kept.where(F.col(marks[2]) > 1).dropDuplicates([marks[0], marks[1]])
-    return alone.unionByName(copied).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("longest"))
+    kept = rows.join(groups(docs, id_column, text_column), ["hash", "text_sha256"]).where(stays)
+    alone = kept.where(F.col("group_size") == 1)
+    copied = kept.where(F.col("group_size") > 1).dropDuplicates(["hash", "text_sha256"])
+    return unwrapped(alone.unionByName(copied), docs.columns)
 
 
 ORACLE = r"""

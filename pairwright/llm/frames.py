@@ -37,3 +37,18 @@ def held_out(id_column: str = "doc_id") -> Column:
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+ROW = "row"
+
+
+def wrapped(docs: DataFrame, **more: Column) -> DataFrame:
+    """Each row of ``docs`` as one struct ``row``, with ``more`` beside it, so that no names can clash."""
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), *[c.alias(n) for n, c in more.items()]
+    )
+
+
+def unwrapped(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The rows that :func:`wrapped` packed, some columns changed."""
+    return rows.select(*[changed[c].alias(c) if c in changed else F.col(f"{ROW}.`{c}`").alias(c) for c in columns])

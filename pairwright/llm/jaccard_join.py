@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pairwright.llm.components import components
-from pairwright.llm.frames import landed
+from pairwright.llm.frames import landed, unwrapped, wrapped
 from pairwright.llm.subwords import mixed
 from pairwright.llm.words import filled, slices, white_space_words
 
@@ -175,7 +175,8 @@ class _Counter:
         at = (values >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(values), dtype=np.int64)
         order = np.lexsort((of, at))
         cut = np.flatnonzero((np.diff(at[order], prepend=-1) != 0) | (np.diff(of[order], prepend=-2) != 0))
-        rows = [values[order][a:b].view(np.int64) for a, b in zip(cut, [*cut[1:], len(order)], strict=True)]
+        ordered = values[order].view(np.int64)
+        rows = [ordered[a:b] for a, b in zip(cut, [*cut[1:], len(order)], strict=True)]
         who = of[order][cut]
         node = [keys[w] if w >= 0 else None for w in who]
         n = [sizes[w] if w >= 0 else None for w in who]
@@ -536,12 +537,10 @@ def one_of_each(docs: DataFrame, rule: Rule, id_column: str = "doc_id", text_col
     Documents without words stay.
     """
     labels = linked_nodes(docs, text_column, rule)
-    rows = landed(with_nodes(docs, text_column, rule), "nodes")
-    keyed = rows.select(F.col(id_column).alias("doc_id"), F.col("_set.node").alias("node"))
-    low = least_ids(keyed, labels).withColumnsRenamed({"node": "_node", "component_id": "_low"})
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    joined = rows.withColumn("_node", F.col("_set.node")).join(low, "_node", "left")
-    bare = joined.where(F.col("_node").isNull())
-    first = joined.where(F.col("_node").isNotNull() & F.col(id_column).eqNullSafe(F.col("_low")))
-    return bare.select(*own).unionByName(first.dropDuplicates(["_low", "_node"]).select(*own))
-
+    packed = wrapped(docs, doc_id=F.col(f"`{id_column}`"), text=F.col(f"`{text_column}`"))
+    rows = with_nodes(packed, "text", rule).drop("text").withColumn("node", F.col("_set.node"))
+    low = least_ids(landed(rows.select("doc_id", "node"), "nodes"), labels)
+    joined = rows.join(low, "node", "left")
+    bare = joined.where(F.col("node").isNull())
+    first = joined.where(F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return unwrapped(bare.unionByName(first.dropDuplicates(["component_id", "node"])), docs.columns)

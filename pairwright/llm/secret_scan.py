@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.llm.frames import text_of
+from pairwright.llm.frames import text_of, unwrapped, wrapped
 
 # The base patterns.  Letters of the first are there in either case.
 ASSIGN = (
@@ -207,8 +207,7 @@ def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 def masked(docs: DataFrame, text_column: str = "text", mask: str = "*") -> DataFrame:
     """``docs`` with every character of every span replaced, so that lengths stay as they were."""
-    columns = docs.columns
-    text = F.col(f"`{text_column}`")
+    text = F.col("text")
 
     def step(state: Column, span: Column) -> Column:
         start = F.greatest(span["start"], state["at"])
@@ -222,8 +221,12 @@ def masked(docs: DataFrame, text_column: str = "text", mask: str = "*") -> DataF
         )
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("done"))
-    end = F.aggregate("_spans", start, step, lambda s: F.concat(F.array_join(s["done"], ""), F.substring(text, s["at"] + 1, F.char_length(text))))
-    changed = F.when(F.size("_spans") > 0, end).otherwise(text)
-    return with_spans(docs, text_column).select(
-        *[changed.alias(c) if c == text_column else F.col(f"`{c}`") for c in columns]
+    end = F.aggregate(
+        "_spans",
+        start,
+        step,
+        lambda s: F.concat(F.array_join(s["done"], ""), F.substring(text, s["at"] + 1, F.char_length(text))),
     )
+    changed = F.when(F.size("_spans") > 0, end).otherwise(text)
+    rows = with_spans(wrapped(docs, text=F.col(f"`{text_column}`")))
+    return unwrapped(rows, docs.columns, **{text_column: changed})

@@ -1,0 +1,131 @@
+import hashlib
+import math
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from pairwright.llm import exact_dedup, secret_scan
+
+SPACE = re.compile("[\x20\x09-\x0d]")
+
+
+def expected_groups(rows):
+    groups = {}
+    for doc_id, text, *_ in rows:
+        groups.setdefault(SPACE.sub("", text or ""), []).append((len(text or ""), doc_id))
+    out = []
+    for doc_id, text, *_ in rows:
+        content = SPACE.sub("", text or "")
+        members = groups[content]
+        longest = max(n for n, _ in members)
+        keep = min((i for n, i in members if n == longest), key=lambda i: (i is None, i or 0))
+        kept = doc_id == keep and len(text or "") == longest
+        out.append((doc_id, keep, len(members), kept, hashlib.sha256(content.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_groups_match_a_plain_count(documents, edge_rows):
+    got = exact_dedup.exact_dedup(documents(rows=edge_rows)).collect()
+    assert sorted(map(tuple, got), key=str) == expected_groups(edge_rows)
+
+
+def test_texts_that_share_a_hash_stay_apart(documents, edge_rows):
+    same = lambda _: F.lit(b"0")
+    got = exact_dedup.exact_dedup(documents(rows=edge_rows), hashed=same).collect()
+    assert sorted(map(tuple, got), key=str) == expected_groups(edge_rows)
+
+
+def test_one_row_of_each_group_stays_with_its_columns(documents, edge_rows):
+    docs = documents(rows=edge_rows)
+    kept = exact_dedup.without_copies(docs)
+    assert kept.columns == docs.columns
+    texts = [SPACE.sub("", r["text"] or "") for r in kept.collect()]
+    assert len(texts) == len(set(texts)) == len({SPACE.sub("", r[1] or "") for r in edge_rows})
+
+
+def test_empty_tables(documents):
+    assert exact_dedup.exact_dedup(documents()).count() == 0
+    assert secret_scan.secret_scan(documents()).count() == 0
+
+
+ASSIGN = re.compile(
+    r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII
+)
+
+
+def base_spans(text):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(spans)
+
+
+def entropy_spans(text, base):
+    found = set()
+    for kind in secret_scan.CLASSES:
+        run = re.compile(re.sub(r"\(\?.*?\)(?=\[|\()", "", kind.run).replace("(?=[A-Za-z+/_=-]*+[0-9])", ""))
+        for m in run.finditer(text):
+            if not all(re.search(n, m[0]) for n in kind.needs) or re.search(secret_scan.ALLOWED, m[0]):
+                continue
+            hot = []
+            for k in range(len(m[0]) - kind.window + 1):
+                w = m[0][k : k + kind.window]
+                bits = -sum(w.count(c) / len(w) * math.log2(w.count(c) / len(w)) for c in set(w))
+                if bits >= kind.bits:
+                    hot.append(k)
+            if hot:
+                found.add((m.start() + hot[0], 3, m.start() + hot[-1] + kind.window))
+    return sorted(s for s in found if not any(a < s[2] and s[0] < b for a, _, b in base))
+
+
+def named(spans):
+    return ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def secret_texts():
+    rng = random.Random(5)
+    parts = [
+        "token=token:abcdefgh", "Password: hunter2hunter2", "API_KEY = 'short'", "apikey=\"abc.def-ghi\"", "ſecret=abcdef",
+        "AKIA" + "A1B2" * 4, "AKIA123", "xAKIAAKIA" + "Z" * 20, "0123456789abcdef01234567", "deadbeef" * 2,
+        "aB3dE6gH9jK2mN5pQ8sT1vW4", "exampleaB3dE6gH9jK2mN5pQ8sT1vW4", "aaaaaaaaaaaaaaaaaaaaaaaaA1", "89ABCDEF01234567FEDCBA98",
+        "żółw", "🙂", "\n", " ", "secret\" : \"q1w2e3r4t5", "TOKEN==abcdef", "/path/to/some/long/File_Name9/with/words",
+    ]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(0, 9))) for _ in range(150)]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 6))) for _ in range(150)]
+    alphabet = "abcXYZ0123456789+/=_-"
+    return texts + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(15, 60))) for _ in range(100)] + [None, ""]
+
+
+def test_spans_match_plain_patterns_and_windows(documents):
+    texts = secret_texts()
+    got = {r["doc_id"]: r for r in secret_scan.secret_scan(documents(texts)).collect()}
+    assert len(got) == len(texts)
+    for k, text in enumerate(texts):
+        base = base_spans(text or "")
+        spans = sorted(base + entropy_spans(text or "", base))
+        assert got[k]["spans"] == named(spans), text
+        assert got[k]["base_sha256"] == hashlib.sha256(named(base).encode()).hexdigest()
+        assert (got[k]["n_assign"], got[k]["n_access"], got[k]["n_hex"]) == tuple(
+            sum(kind == n for _, kind, _ in base) for n in range(3)
+        )
+    assert any("entropy" in r["spans"] for r in got.values())
+
+
+def test_masking_covers_the_spans_and_nothing_else(documents):
+    texts = secret_texts()
+    docs = documents(texts)
+    out = secret_scan.masked(docs)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    for k, text in enumerate(texts):
+        base = base_spans(text or "")
+        hidden = {p for a, _, b in base + entropy_spans(text or "", base) for p in range(a, b)}
+        want = None if text is None else "".join("*" if p in hidden else c for p, c in enumerate(text))
+        assert got[k] == want
+
+
+def test_edge_rows_have_no_secrets(documents, edge_rows):
+    got = secret_scan.secret_scan(documents(rows=edge_rows)).collect()
+    assert len(got) == len(edge_rows)
+    assert {r["spans"] for r in got} == {""}
