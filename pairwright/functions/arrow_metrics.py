@@ -7,6 +7,7 @@ calls a small helper per pair; Spark still partitions and shuffles the work.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -47,11 +48,23 @@ def window_ratio(left: str, right: str) -> int:
         return 0
     width = len(short)
     masks = _positions(short)
+    # Common characters of the window, whatever their order, bound its common
+    # subsequence; they change by one character out and one in per step.
+    wanted = Counter(short)
+    held = Counter(long[:width])
+    shared = sum(min(n, held[ch]) for ch, n in wanted.items())
     best = 0
     for start in range(len(long) - width + 1):
-        best = max(best, _subsequence_length(masks, width, long[start : start + width]))
-        if best == width:
-            break
+        if start:
+            out, into = long[start - 1], long[start + width - 1]
+            shared -= held[out] <= wanted[out]
+            held[out] -= 1
+            held[into] += 1
+            shared += held[into] <= wanted[into]
+        if shared > best:
+            best = max(best, _subsequence_length(masks, width, long[start : start + width]))
+            if best == width:
+                break
     return round(100 * (best / width))
 
 
@@ -64,12 +77,23 @@ def winkler(left: str, right: str) -> float:
     reach = max(max(len(left), len(right)) // 2 - 1, 0)
     used = [False] * len(right)
     matched_left = []
+    # Places of each character on the right; those that fell behind are not looked at again.
+    places: dict[str, list[int]] = {}
+    for j, ch in enumerate(right):
+        places.setdefault(ch, []).append(j)
+    following = dict.fromkeys(places, 0)
     for i, ch in enumerate(left):
-        for j in range(max(0, i - reach), min(len(right), i + reach + 1)):
-            if not used[j] and right[j] == ch:
-                used[j] = True
-                matched_left.append(ch)
-                break
+        at = places.get(ch)
+        if at is None:
+            continue
+        k = following[ch]
+        while k < len(at) and at[k] < i - reach:
+            k += 1
+        if k < len(at) and at[k] <= i + reach:
+            used[at[k]] = True
+            matched_left.append(ch)
+            k += 1
+        following[ch] = k
     matches = len(matched_left)
     if not matches:
         return 0.0
@@ -87,13 +111,13 @@ def winkler(left: str, right: str) -> float:
 
 
 def _over_pairs(helper, left: pa.Array, right: pa.Array, kind: pa.DataType) -> pa.Array:
-    return pa.array(
-        [
-            None if a is None or b is None else helper(a, b)
-            for a, b in zip(left.to_pylist(), right.to_pylist())
-        ],
-        kind,
-    )
+    """One call per distinct pair of the batch; null on a null side."""
+    pairs = pa.table({"l": left, "r": right}).group_by(["l", "r"], use_threads=False).aggregate([])
+    known = {
+        (a, b): None if a is None or b is None else helper(a, b)
+        for a, b in zip(pairs["l"].to_pylist(), pairs["r"].to_pylist(), strict=True)
+    }
+    return pa.array([known[pair] for pair in zip(left.to_pylist(), right.to_pylist(), strict=True)], kind)
 
 
 @F.arrow_udf(IntegerType())

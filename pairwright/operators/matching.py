@@ -117,6 +117,10 @@ class Matching:
         met = self.meet(self.qualifying_profiles(records))
         return pairing.in_id_order(self.qualify(met), self.values)
 
+    def record_profiles(self, records: DataFrame) -> DataFrame:
+        """(id, profile): which profile each record belongs to, one row per record that can pair."""
+        return pairing.record_profiles(records, self.id_column, self.block, self.values)
+
     def record_pairs(self, links: DataFrame, records: DataFrame, max_pairs: int) -> DataFrame:
         """Every record pair behind the links; refuses past ``max_pairs``."""
         checked = pairing.within_limit(links, max_pairs)

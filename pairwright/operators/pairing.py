@@ -128,6 +128,17 @@ def candidate_pairs(
     return in_id_order(meet_profiles(groups, block, carry, slot_rows=slot_rows), carry)
 
 
+def record_profiles(records: DataFrame, id_column: str, block: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """(id, profile) of every record with a known block.
+
+    Profiles are named within their block, so no pair is formed.  Equal records
+    meet their one profile row; a common profile's join is split by Spark.
+    """
+    names = [*block, *carry]
+    groups = profiles(records, id_column, block, carry).select(*(F.col(c).alias(f"_{c}") for c in names), "profile")
+    return records.join(groups, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]).select(id_column, "profile")
+
+
 def within_limit(links: DataFrame, max_pairs: int) -> DataFrame:
     """Refuse a job that stands for more pairs than the caller is ready for.
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ RESULTS = StructType(
         StructField("batch_id", LongType()),
     ]
 )
+# What tells one series of measurements from another.
+SERIES = ("table_name", "column_name", "metric_name")
 BINDINGS = StructType(
     [StructField(n, StringType()) for n in ("table_name", "column_name", "metric_name", "schedule")]
 )
@@ -98,17 +102,20 @@ def measurements(
     )
 
 
-def record_metrics(stamped: DataFrame, folder: str, batch_id: int) -> None:
-    """Append one batch of measurements; writing it again replaces it.
+def record_metrics(stamped: DataFrame, folder: str, table_name: str, run: str, batch_id: int) -> None:
+    """Append one batch of a table's measurements; writing it again replaces it.
 
-    Every batch owns a folder, so a retried or replayed batch never counts
-    twice.
+    Every batch of every run of every table owns a folder, so a retried or
+    replayed batch never counts twice, and neither another table nor a run that
+    starts to count anew overwrites it.
     """
-    stamped.drop("batch_id").coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+    owner = "/".join(quote(part, safe="") for part in (table_name, run, str(batch_id)))
+    stamped.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{owner}")
 
 
 def read_results(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(RESULTS).parquet(folder)
+    """The measurements of all tables, runs and batches."""
+    return spark.read.schema(RESULTS).option("recursiveFileLookup", "true").parquet(folder)
 
 
 def results_for(results: DataFrame, table_name: str) -> DataFrame:
@@ -117,25 +124,25 @@ def results_for(results: DataFrame, table_name: str) -> DataFrame:
 
 
 def history(results: DataFrame, metric: str | None = None, newest_first: bool = False) -> DataFrame:
-    """(measurement_time, metric_name, value) in time order."""
+    """(measurement_time, table_name, column_name, metric_name, value) in time order."""
     chosen = results if metric is None else results.where(F.col("metric_name") == metric)
     typed = chosen.select(
         F.col("measurement_time").cast("timestamp").alias("measurement_time"),
-        "metric_name",
+        *SERIES,
         F.col("value").cast("double").alias("value"),
     )
     time = F.col("measurement_time")
-    return typed.orderBy(time.desc() if newest_first else time.asc(), "metric_name")
+    return typed.orderBy(time.desc() if newest_first else time.asc(), *SERIES)
 
 
 def latest_metric(results: DataFrame) -> DataFrame:
-    """The newest value of every metric; the later batch wins a tie."""
+    """The newest value of every metric of every column and table; the later batch wins a tie."""
     tie = [F.col("batch_id")] if "batch_id" in results.columns else []
     newest = F.max_by(
         F.struct("measurement_time", "value"), F.struct(F.col("measurement_time"), *tie, F.col("value"))
     )
-    return results.groupBy("metric_name").agg(newest.alias("newest")).select(
-        "metric_name",
+    return results.groupBy(*SERIES).agg(newest.alias("newest")).select(
+        *SERIES,
         F.col("newest.measurement_time").alias("measurement_time"),
         F.col("newest.value").alias("value"),
     )
@@ -194,17 +201,37 @@ def bindings_for(bindings: DataFrame, table_name: str) -> DataFrame:
     return bindings.where(F.col("table_name") == table_name)
 
 
-def attached_metrics(
-    bindings: DataFrame, table_name: str, known: Sequence[Metric], limit: int = 10_000
-) -> list[tuple[Metric, str]]:
-    """The metrics bound to a table, ready for :func:`evaluate`."""
-    rows = bindings_for(bindings, table_name).orderBy("metric_name", "column_name").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} metrics are bound to {table_name}")
+def attached_metrics(bindings: DataFrame, table_name: str, known: Sequence[Metric]) -> list[tuple[Metric, str]]:
+    """The metrics bound to a table, ready for :func:`evaluate`.
+
+    Bindings are written by hand, one for a metric of a column, and each becomes
+    an aggregate of one query.
+    """
+    rows = bindings_for(bindings, table_name).orderBy("metric_name", "column_name").collect()
     by_name = {metric.name: metric for metric in known}
     return [(by_name[row["metric_name"]], row["column_name"]) for row in rows]
 
 
+def measure(
+    tables: Mapping[str, DataFrame],
+    bindings: DataFrame,
+    known: Sequence[Metric],
+    at: datetime | None = None,
+    batch_id: int = 0,
+) -> DataFrame:
+    """Measurements of everything that is bound, one scan per table.
+
+    Tables without bindings are not read; bindings of other tables are left
+    alone.  When to measure is the caller's affair: ``schedule`` is theirs to read.
+    """
+    frames = []
+    for name, table in tables.items():
+        attached = attached_metrics(bindings, name, known)
+        if attached:
+            frames.append(measurements(evaluate(table, attached), name, at, batch_id))
+    return reduce(DataFrame.unionAll, frames) if frames else bindings.sparkSession.createDataFrame([], RESULTS)
+
+
 def matching_names(frame: DataFrame, column: str, pattern: str) -> DataFrame:
     """Rows whose name matches a LIKE pattern."""
     return frame.where(F.col(column).like(pattern))

@@ -17,7 +17,7 @@ class StringMetric:
 
     compare: Callable[[Column, Column], Column]
     prepare: Callable[[Column], Column] | None = None  # per value, before comparing
-    arrow: bool = False  # runs in Python workers; worth sharing by value
+    arrow: bool = False  # runs in Python workers, after all else
     bound: Callable[[Column, Column], Column] | None = None  # cheap upper bound
     same: Callable[[Column], Column] | None = None  # score of a value with itself
     strict: bool = True  # null on a null side
@@ -93,15 +93,13 @@ def score_pairs(
     pairs: DataFrame,
     comparisons: Sequence[Comparison],
     minimums: Mapping[str, float] | None = None,
-    share_values: bool = True,
 ) -> DataFrame:
     """Add one score column per comparison; optionally keep only high scores.
 
     With minimums, length bounds drop hopeless pairs first, then the JVM-side
-    scores filter, and only what is left reaches Python.  Metrics that run in
-    Python are computed once per distinct pair of values and joined back
-    (``share_values``); the join's skew is left to adaptive execution.  A
-    comparison whose column is already there is not computed again.
+    scores filter, and only what is left reaches Python, where each batch scores
+    its distinct pairs of values.  Nothing is shuffled for it.  A comparison whose
+    column is already there is not computed again.
     """
     minimums = dict(minimums or {})
     present = pairs.columns
@@ -121,28 +119,13 @@ def score_pairs(
         scored = scored.withColumns({c.alias: c.score(present) for c in native})
         scored = filter_scores(scored, limits(native))
 
-    by_columns: dict[tuple[str, str], list[Comparison]] = {}
     for c in todo:
         if c.definition.arrow:
-            by_columns.setdefault((c.left, c.right), []).append(c)
-    for (left, right), group in by_columns.items():
-        if share_values:
-            scored = _score_shared(scored, left, right, group)
-        else:
-            scored = scored.withColumns({c.alias: c.score(present) for c in group})
-        scored = filter_scores(scored, limits(group))
+            scored = filter_scores(scored.withColumn(c.alias, c.score(present)), limits([c]))
     aliases = [c.alias for c in comparisons]
     return scored.select(*(c for c in present if c not in aliases), *aliases)
 
 
-def _score_shared(pairs: DataFrame, left: str, right: str, group: Sequence[Comparison]) -> DataFrame:
-    values = pairs.select(F.col(left).alias("_left"), F.col(right).alias("_right")).distinct()
-    renamed = [Comparison("_left", "_right", c.metric, c.alias) for c in group]
-    scores = values.select("_left", "_right", *(c.score().alias(c.alias) for c in renamed))
-    on = [F.col(left).eqNullSafe(F.col("_left")), F.col(right).eqNullSafe(F.col("_right"))]
-    return pairs.join(scores, on).drop("_left", "_right")
-
-
 def filter_scores(scores: DataFrame, minimums: Mapping[str, float]) -> DataFrame:
     """Rows whose named scores all reach their minimum; null scores drop out."""
     for alias, minimum in minimums.items():

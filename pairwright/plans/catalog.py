@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
+from pairwright.functions.similarity import cosine_similarity
+from pairwright.functions.text import clean_tokens, standardize
 from pairwright.operators import (
     combining,
     estimates,
     filters,
     ids,
     listing,
+    pairing,
     quality,
     replies,
     standardizing,
@@ -160,7 +163,7 @@ def build_samples(spark: SparkSession, folder: str) -> DataFrame:
     person = read(spark, folder, "customer").select(
         F.col("c_custkey").alias("c_customer_sk"),
         F.col("c_nationkey").alias("c_current_addr_sk"),
-        F.substring_index("c_name", "#", 1).alias("c_first_name"),
+        F.concat(F.lit("no. "), F.substring_index("c_name", "#", -1)).alias("c_first_name"),
         F.when(F.col("c_custkey") % 5 > 0, F.col("c_mktsegment")).alias("c_last_name"),
     )
     nation = read(spark, folder, "nation")
@@ -197,13 +200,33 @@ def changed_rows(spark: SparkSession, folder: str) -> DataFrame:
 def dictionary_tokens(spark: SparkSession, folder: str) -> DataFrame:
     parts = stand_ins.address_parts(spark, folder).select("cust_key", "address")
     dictionary = stand_ins.small_dictionary(spark)
-    return standardizing.standardize_tokens(parts, "cust_key", "address", dictionary, "ADDRESS", "address_std")
+    return standardizing.standardize_tokens(parts, "address", dictionary, "ADDRESS", "address_std")
 
 
 def dictionary_tokens_joined(spark: SparkSession, folder: str) -> DataFrame:
-    parts = stand_ins.address_parts(spark, folder)
+    """Keys that repeat or are null, and texts that recur: rows stay as they are."""
+    parts = stand_ins.loose_addresses(spark, folder)
     dictionary = stand_ins.small_dictionary(spark)
-    return standardizing.replace_tokens_by_join(parts, "cust_key", "address", dictionary, "ADDRESS")
+    return standardizing.standardize_tokens(parts, "address", dictionary, "ADDRESS", "address_std")
+
+
+def dictionary_tokens_embedded(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows with the terms as part of the expression."""
+    parts = stand_ins.loose_addresses(spark, folder)
+    return standardizing.standardize_tokens(parts, "address", stand_ins.ADDRESS_TERMS, "ADDRESS", "address_std")
+
+
+def text_standards(spark: SparkSession, folder: str) -> DataFrame:
+    """Long texts in several languages: upper case, kept letters, clean tokens, cosine."""
+    documents = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    standard = standardize(F.col("text"))
+    opening = F.concat_ws(" ", F.col("lang"), F.substring("text", 1, 40))
+    return documents.select(
+        "doc_id",
+        standard.alias("standard"),
+        clean_tokens(F.upper("text"), True).alias("tokens"),
+        F.round(cosine_similarity(F.col("text"), opening), 6).alias("cosine"),
+    )
 
 
 def large_changes(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,8 +245,11 @@ def dictionary_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 def city_lookup(spark: SparkSession, folder: str) -> DataFrame:
     customer = read(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    codes = read(spark, folder, "nation").where("n_nationkey > 4")
-    return standardizing.lookup(customer, "c_nationkey", codes, "n_nationkey", "n_name", "match_code")
+    # some customers get a nation that is in no list
+    moved = F.when(F.col("c_custkey") % 6 == 0, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey"))
+    codes = read(spark, folder, "nation")
+    asked = customer.withColumn("c_nationkey", moved)
+    return standardizing.lookup(asked, "c_nationkey", codes, "n_nationkey", "n_name", "match_code")
 
 
 def correct_addresses(spark: SparkSession, folder: str) -> DataFrame:
@@ -285,27 +311,57 @@ def metric_latest(spark: SparkSession, folder: str) -> DataFrame:
     return quality.latest_metric(stand_ins.daily_measurements(spark, folder))
 
 
+KNOWN_METRICS = [quality.INVALID_PESEL_COUNT, quality.NULL_COUNT, quality.ROW_COUNT]
+
+
+def _bindings(spark: SparkSession) -> DataFrame:
+    """What is measured of the two tables, one metric detached again."""
+    bound = quality.bindings_df(spark)
+    for table, column, metric in (
+        ("customer", "pesel", "INVALID_PESEL_COUNT"),
+        ("customer", "pesel", "NULL_COUNT"),
+        ("customer", "c_custkey", "NULL_COUNT"),
+        ("events", "value", "NULL_COUNT"),
+        ("events", "event_type", "NULL_COUNT"),
+        ("events", "event_id", "ROW_COUNT"),
+        ("events", "event_id", "NULL_COUNT"),
+    ):
+        bound = quality.attach(bound, table, column, metric)
+    return quality.set_schedule(quality.detach(bound, "events", "event_id", "NULL_COUNT"), "customer", "1440 minutes")
+
+
 def metric_bindings(spark: SparkSession, folder: str) -> DataFrame:
-    """Bindings for every event type, one detached, one added, one period set."""
-    types = read(spark, folder, "events").select("event_type").distinct()
-    found = types.select(
-        F.lit("events").alias("table_name"),
-        F.lit("value").alias("column_name"),
-        F.concat("event_type", F.lit("_count")).alias("metric_name"),
-        F.lit("5 minutes").alias("schedule"),
-    )
-    kept = quality.detach(found, "events", "value", "view_count")
-    added = quality.attach(kept, "customer", "pesel", "INVALID_PESEL_COUNT")
-    changed = quality.set_schedule(added, "customer", "1440 minutes")
-    return quality.matching_names(changed, "metric_name", "%COUNT").unionByName(
-        quality.bindings_for(changed, "events")
-    )
+    """Everything that is bound, measured, with the period it is bound for."""
+    bound = _bindings(spark)
+    measured = quality.measure(stand_ins.two_tables(spark, folder), bound, KNOWN_METRICS)
+    return measured.join(bound, list(quality.SERIES)).select(*quality.SERIES, "schedule", "value")
+
+
+def metric_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tables and several columns under one metric, recorded in one folder and read back."""
+    results = shared_folder(spark, "measured")
+    bound = _bindings(spark)
+    for name, table in stand_ins.two_tables(spark, folder).items():
+        for run in ("first", "second"):
+            stamped = quality.measure({name: table}, bound, KNOWN_METRICS)
+            quality.record_metrics(stamped, results, name, run, 0)
+    recorded = quality.read_results(spark, results)
+    counted = recorded.groupBy(*quality.SERIES).agg(F.count(F.lit(1)).alias("measured"))
+    return quality.latest_metric(recorded).drop("measurement_time").join(counted, list(quality.SERIES))
+
+
+def metric_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """The metrics outside the core schema that are bound, with the rows they measure."""
+    known = quality.outside_core(quality.metrics_df(spark, KNOWN_METRICS))
+    measured = quality.measure(stand_ins.two_tables(spark, folder), _bindings(spark), KNOWN_METRICS)
+    return known.join(measured, "metric_name").select("schema_name", "metric_name", "table_name", "value")
 
 
 def monitor_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Measure the events as a stream and read the newest values back."""
+    """Measure the events as a stream and read the newest values back; an error's value is missing."""
     schema = read(spark, folder, "events").schema
     stream = spark.readStream.schema(schema).parquet(f"{folder}/events*.parquet")
+    stream = stream.withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
     results, marks = shared_folder(spark, "results"), shared_folder(spark, "marks")
     metrics = [(quality.ROW_COUNT, "event_id"), (quality.NULL_COUNT, "value")]
     monitor(stream, metrics, "events", results, marks, every=None).awaitTermination()
@@ -348,6 +404,31 @@ def duplicate_links(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(stand_ins.part_job().links(stand_ins.part_records(spark, folder)))
 
 
+def large_block_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates of a few large blocks in which every record differs, counted per record."""
+    pairs = stand_ins.customer_job().candidates(stand_ins.customer_records(spark, folder))
+    counted = pairs.groupBy("segment", F.col("profile1").alias("cust_id"))
+    return counted.agg(F.sum("pairs").cast("long").alias("pairs"), F.max("profile2").alias("last_partner"))
+
+
+def large_block_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of a segment whose names are nearly the same."""
+    links = stand_ins.customer_job().links(stand_ins.customer_records(spark, folder))
+    return _rounded(links).select("segment", "profile1", "profile2", "pairs", "name_fuzzy")
+
+
+def record_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Which profile each record belongs to."""
+    return stand_ins.part_job().record_profiles(stand_ins.part_records(spark, folder))
+
+
+def duplicate_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Every record pair behind the probable duplicates of parts that agree in brand."""
+    job, records = stand_ins.part_job(), stand_ins.part_records(spark, folder)
+    links = job.links(records).where("lname1 = lname2")
+    return _rounded(pairing.spell_out(links, records, job.id_column, job.block, job.values))
+
+
 def candidate_preview(spark: SparkSession, folder: str) -> DataFrame:
     """The first ten record pairs with the values that will be compared."""
     records = stand_ins.part_records(spark, folder)
@@ -410,6 +491,8 @@ QUERIES: dict[str, Query] = {
     "changed_rows": changed_rows,
     "dictionary_tokens": dictionary_tokens,
     "dictionary_tokens_joined": dictionary_tokens_joined,
+    "dictionary_tokens_embedded": dictionary_tokens_embedded,
+    "text_standards": text_standards,
     "large_changes": large_changes,
     "dictionary_checks": dictionary_checks,
     "city_lookup": city_lookup,
@@ -421,12 +504,18 @@ QUERIES: dict[str, Query] = {
     "metric_history": metric_history,
     "metric_latest": metric_latest,
     "metric_bindings": metric_bindings,
+    "metric_tables": metric_tables,
+    "metric_listing": metric_listing,
     "monitor_stream": monitor_stream,
     "pair_estimate": pair_estimate,
     "block_sizes": block_sizes,
     "block_pair_count": block_pair_count,
     "candidate_pairs": candidate_pairs,
     "candidate_preview": candidate_preview,
+    "large_block_candidates": large_block_candidates,
+    "large_block_links": large_block_links,
+    "record_profiles": record_profiles,
+    "duplicate_records": duplicate_records,
     "pair_scores": pair_scores,
     "score_preview": score_preview,
     "duplicate_links": duplicate_links,

@@ -7,6 +7,7 @@ prunes and shares work.
 
 from __future__ import annotations
 
+# Fixed values, as in the operators: kept characters here, check weights and reply patterns below.
 KEPT = "[^A-Z0-9ĄĆĘŁŃÓŚŹŻ ]"
 
 
@@ -127,6 +128,21 @@ written AS (
   SELECT a.cust_key, a.address, CASE WHEN a.address <> s.address THEN s.address END AS address_std
   FROM addr a LEFT JOIN standard_address s USING (cust_key))"""
 
+LOOSE = f"""WITH loose AS (
+  SELECT CASE WHEN p_partkey % 7 > 0 THEN (p_partkey % 5)::VARCHAR END AS cust_key, upper(p_name) || '  ' || upper(p_type) AS address
+  FROM part),
+texts AS (SELECT DISTINCT address FROM loose),
+words AS (
+  SELECT address, unnest(string_split(address, ' ')) AS word,
+         generate_subscripts(string_split(address, ' '), 1) AS idx FROM texts),
+standard AS (
+  SELECT address,
+    trim(regexp_replace(string_agg(coalesce(d.term, word), ' ' ORDER BY idx), '[^A-Z0-9]+', ' ', 'g')) AS found
+  FROM words LEFT JOIN (SELECT * FROM {TERMS} WHERE context = 'ADDRESS') d ON word = d.token
+  WHERE word > '' GROUP BY address)
+SELECT cust_key, address, CASE WHEN address <> found THEN found END AS address_std
+FROM loose LEFT JOIN standard USING (address)"""
+
 TEN = "lpad((c_custkey * 7919 + 12345)::VARCHAR, 10, '0')"
 CHECK = "((10 - (" + " + ".join(
     f"substr(ten, {place}, 1)::INTEGER * {weight}"
@@ -149,6 +165,15 @@ DAILY = """daily AS (
   SELECT date_trunc('day', ts)::TIMESTAMP AS measurement_time, event_type || '_count' AS metric_name,
          count(*)::DOUBLE AS value FROM events GROUP BY ALL)"""
 
+MEASURED = f"""measured AS (
+  SELECT 'customer' AS table_name, 'pesel' AS column_name, 'INVALID_PESEL_COUNT' AS metric_name,
+    (count(*) FILTER {MALFORMED})::DOUBLE AS value FROM people
+  UNION ALL SELECT 'customer', 'pesel', 'NULL_COUNT', (count(*) FILTER (pesel IS NULL))::DOUBLE FROM people
+  UNION ALL SELECT 'customer', 'c_custkey', 'NULL_COUNT', (count(*) FILTER (c_custkey IS NULL))::DOUBLE FROM people
+  UNION ALL SELECT 'events', 'value', 'NULL_COUNT', (count(*) FILTER (value IS NULL OR event_type = 'error'))::DOUBLE FROM events
+  UNION ALL SELECT 'events', 'event_type', 'NULL_COUNT', (count(*) FILTER (event_type IS NULL))::DOUBLE FROM events
+  UNION ALL SELECT 'events', 'event_id', 'ROW_COUNT', count(*)::DOUBLE FROM events)"""
+
 ALIGNED = "s_suppkey AS c_custkey, s_name AS c_name, s_nationkey AS c_nationkey, s_acctbal AS c_acctbal"
 
 ORACLES: dict[str, str] = {
@@ -180,7 +205,7 @@ ORACLES: dict[str, str] = {
           WHEN 1 THEN p_size::VARCHAR || 'A' WHEN 2 THEN p_size::VARCHAR END AS house_number FROM part)
         WHERE regexp_full_match(house_number, '.*[^0-9].*')""",
     "build_samples": f"""WITH person AS (
-          SELECT c_custkey, c_nationkey, split_part(c_name, '#', 1) AS first_name,
+          SELECT c_custkey, c_nationkey, 'no. ' || split_part(c_name, '#', 2) AS first_name,
             CASE WHEN c_custkey % 5 > 0 THEN c_mktsegment END AS last_name FROM customer),
         place AS (
           SELECT n_nationkey, n_nationkey || ' ' || n_name || ' ' ||
@@ -198,15 +223,27 @@ ORACLES: dict[str, str] = {
     "dictionary_values": f"WITH {NAMED} SELECT * FROM standard",
     "changed_rows": f"WITH {NAMED} SELECT * FROM standard WHERE fname <> fname_std",
     "dictionary_tokens": f"WITH {TOKENS} SELECT * FROM written",
-    "dictionary_tokens_joined": f"WITH {TOKENS} SELECT * FROM standard_address",
+    "dictionary_tokens_joined": LOOSE,
+    "dictionary_tokens_embedded": LOOSE,
+    "text_standards": r"""WITH d AS (SELECT doc_id, text, lang || ' ' || substr(text, 1, 40) AS opening FROM documents),
+        lw AS (SELECT doc_id, unnest(regexp_extract_all(text, '\w+')) AS w FROM d),
+        rw AS (SELECT doc_id, unnest(regexp_extract_all(opening, '\w+')) AS w FROM d),
+        lc AS (SELECT doc_id, w, count(*) AS n FROM lw GROUP BY ALL), rc AS (SELECT doc_id, w, count(*) AS n FROM rw GROUP BY ALL),
+        ln AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM lc GROUP BY ALL), rn AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM rc GROUP BY ALL),
+        dot AS (SELECT doc_id, sum(lc.n * rc.n) AS hit FROM lc JOIN rc USING (doc_id, w) GROUP BY ALL)
+        SELECT doc_id, regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9ĄĆĘŁŃÓŚŹŻ ]', '', 'g') AS standard,
+          trim(regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9ĄĆĘŁŃÓŚŹŻ]+', ' ', 'g')) AS tokens,
+          round(coalesce(hit, 0) / (ln.norm * rn.norm), 6) AS cosine
+        FROM d LEFT JOIN ln USING (doc_id) LEFT JOIN rn USING (doc_id) LEFT JOIN dot USING (doc_id)""",
     "large_changes": f"WITH {TOKENS} SELECT * FROM written WHERE levenshtein(address, address_std) > 3",
     "dictionary_checks": """WITH keys AS (
           SELECT p_brand AS token, p_type AS context, count(*) AS entries,
             count(*) FILTER (p_size <= 3) AS with_null FROM part GROUP BY ALL)
         SELECT token, context, entries, 'null' AS problem FROM keys WHERE with_null > 0
         UNION ALL SELECT token, context, entries, 'duplicate' FROM keys WHERE entries > 1""",
-    "city_lookup": """SELECT c_custkey, c_nationkey, n_name AS match_code FROM customer
-        LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey > 4""",
+    "city_lookup": """SELECT c_custkey, c.c_nationkey, n_name AS match_code FROM (
+          SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS c_nationkey
+          FROM customer) c LEFT JOIN nation ON c.c_nationkey = n_nationkey""",
     "correct_addresses": """SELECT c_custkey, r_name, n_name,
           CASE WHEN r_name = 'ASIA' THEN 'no idea'
             ELSE 'City: ' || r_name || ', Street: ' || n_name || ', Poland' END AS llm,
@@ -228,20 +265,19 @@ ORACLES: dict[str, str] = {
           (count(*) FILTER {MALFORMED})::DOUBLE AS value FROM people
         UNION ALL SELECT 'pesel', 'NULL_COUNT', (count(*) FILTER (pesel IS NULL))::DOUBLE FROM people
         UNION ALL SELECT 'c_custkey', 'ROW_COUNT', count(*)::DOUBLE FROM people""",
-    "metric_history": f"""WITH {DAILY} SELECT measurement_time, metric_name, value FROM daily
+    "metric_history": f"""WITH {DAILY} SELECT measurement_time, 'events' AS table_name,
+          'event_type' AS column_name, metric_name, value FROM daily
         WHERE metric_name = 'error_count' ORDER BY measurement_time DESC""",
-    "metric_latest": f"""WITH {DAILY} SELECT metric_name, max(measurement_time) AS measurement_time,
+    "metric_latest": f"""WITH {DAILY} SELECT 'events' AS table_name, 'event_type' AS column_name,
+        metric_name, max(measurement_time) AS measurement_time,
         max_by(value, measurement_time) AS value FROM daily GROUP BY metric_name""",
-    "metric_bindings": """WITH found AS (
-          SELECT DISTINCT 'events' AS table_name, 'value' AS column_name,
-            event_type || '_count' AS metric_name, '5 minutes' AS schedule
-          FROM events WHERE event_type <> 'view'),
-        changed AS (SELECT * FROM found
-          UNION ALL SELECT 'customer', 'pesel', 'INVALID_PESEL_COUNT', '1440 minutes')
-        SELECT * FROM changed WHERE metric_name LIKE '%COUNT'
-        UNION ALL SELECT * FROM changed WHERE table_name = 'events'""",
+    "metric_bindings": f"""WITH {IDENTIFIERS}, {MEASURED}
+        SELECT *, CASE table_name WHEN 'customer' THEN '1440 minutes' ELSE '5 minutes' END AS schedule FROM measured""",
+    "metric_tables": f"WITH {IDENTIFIERS}, {MEASURED} SELECT *, 2::BIGINT AS measured FROM measured",
+    "metric_listing": f"""WITH {IDENTIFIERS}, {MEASURED} SELECT 'QUALITY_METRICS' AS schema_name, metric_name, table_name, value
+        FROM measured WHERE metric_name = 'INVALID_PESEL_COUNT'""",
     "monitor_stream": """SELECT 'ROW_COUNT' AS metric_name, count(*)::DOUBLE AS value FROM events
-        UNION ALL SELECT 'NULL_COUNT', (count(*) FILTER (value IS NULL))::DOUBLE FROM events""",
+        UNION ALL SELECT 'NULL_COUNT', (count(*) FILTER (value IS NULL OR event_type = 'error'))::DOUBLE FROM events""",
     "pair_estimate": f"""WITH {RECORDS}, sizes AS (SELECT fname, count(*) AS n FROM rec GROUP BY fname)
         SELECT 'none' AS blocking, 1::BIGINT AS blocks, count(*) AS records, count(*) AS largest_block,
           count(*) * count(*) AS ordered_pairs, (count(*) * (count(*) - 1)) // 2 AS candidate_pairs FROM rec
@@ -258,6 +294,19 @@ ORACLES: dict[str, str] = {
     "duplicate_links": f"""WITH {RECORDS}, {PROFILES}
         SELECT * FROM (SELECT {PROFILE_PAIR}, {_scores(FIRST, LAST, PLACE)} FROM {PROFILE_JOIN})
         WHERE fname_soundex >= 0.4 AND fname_fuzzy >= 0.4 AND lname_fuzzy >= 0.4 AND address_fuzzy >= 0.4""",
+    "large_block_candidates": f"""WITH c AS (SELECT c_custkey, {_std('c_mktsegment')} AS segment FROM customer)
+        SELECT a.segment, a.c_custkey AS cust_id, count(*) AS pairs, max(b.c_custkey) AS last_partner
+        FROM c a JOIN c b ON a.segment = b.segment AND a.c_custkey < b.c_custkey GROUP BY ALL""",
+    "large_block_links": f"""WITH c AS (SELECT c_custkey, c_name, {_std('c_mktsegment')} AS segment FROM customer)
+        SELECT a.segment, a.c_custkey AS profile1, b.c_custkey AS profile2, 1::BIGINT AS pairs,
+          round({_fuzzy('a.c_name', 'b.c_name')}, 6) AS name_fuzzy
+        FROM c a JOIN c b ON a.segment = b.segment AND a.c_custkey < b.c_custkey
+        WHERE {_fuzzy('a.c_name', 'b.c_name')} >= 0.9""",
+    "record_profiles": f"WITH {RECORDS}, {PROFILES} SELECT cust_id, profile FROM tagged",
+    "duplicate_records": f"""WITH {RECORDS}, {RECORD_PAIRS}
+        SELECT * FROM (SELECT cust_id1, cust_id2, fname1 AS fname, lname1, lname2, address1, address2, {_scores(*PAIR_VALUES)}
+          FROM pairs WHERE lname1 = lname2)
+        WHERE fname_soundex >= 0.4 AND fname_fuzzy >= 0.4 AND lname_fuzzy >= 0.4 AND address_fuzzy >= 0.4""",
     "candidate_preview": f"""WITH {RECORDS}, {RECORD_PAIRS}
         SELECT * FROM pairs ORDER BY cust_id1 || '-' || cust_id2 LIMIT 10""",
     "score_preview": f"""WITH {RECORDS}, {RECORD_PAIRS}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairwright.functions import identifiers, text
+from pairwright.operators.matching import Compare, Matching
 from pairwright.plans.customers import matching_job
 from pairwright.sources.dictionaries import dictionary_df
 
@@ -77,7 +78,7 @@ def daily_measurements(spark: SparkSession, folder: str) -> DataFrame:
     return (
         events.groupBy(day, name)
         .agg(F.count(F.lit(1)).cast("double").alias("value"))
-        .withColumn("table_name", F.lit("events"))
+        .withColumns({"table_name": F.lit("events"), "column_name": F.lit("event_type")})
     )
 
 
@@ -92,3 +93,38 @@ def address_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 def small_dictionary(spark: SparkSession) -> DataFrame:
     return dictionary_df(spark, DICTIONARY_ROWS)
+
+
+ADDRESS_TERMS = {token: term for token, term, context in DICTIONARY_ROWS if context == "ADDRESS"}
+
+
+def loose_addresses(spark: SparkSession, folder: str) -> DataFrame:
+    """Address lines under keys that repeat or are missing; names recur, so texts do as well."""
+    part = read(spark, folder, "part")
+    return part.select(
+        F.when(F.col("p_partkey") % 7 > 0, (F.col("p_partkey") % 5).cast("string")).alias("cust_key"),
+        F.concat_ws("  ", F.upper("p_name"), F.upper("p_type")).alias("address"),
+    )
+
+
+def customer_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers in a few large blocks, each with a name of its own."""
+    return read(spark, folder, "customer").select(
+        F.col("c_custkey").alias("cust_id"),
+        text.standardize(F.col("c_mktsegment")).alias("segment"),
+        F.col("c_name").alias("name"),
+    )
+
+
+def customer_job() -> Matching:
+    """Compare names within a segment; slots are small, so that small tables have several."""
+    return Matching("cust_id", ["segment"], [Compare("name", "fuzzy", "name_fuzzy")], {"name_fuzzy": 0.9}, slot_rows=64)
+
+
+def two_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Two tables with an identifier or a missing value each."""
+    people = customer_identifiers(spark, folder)
+    events = read(spark, folder, "events").select(
+        "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value"), "event_type"
+    )
+    return {"customer": people, "events": events}

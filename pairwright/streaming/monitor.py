@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pairwright.operators import quality
@@ -23,14 +24,18 @@ def monitor(
 
     The metrics are running aggregates of the stream, so each firing reads
     only what arrived since the last one and yet reports on everything.  A
-    batch is written under its id, so a replay after a failure replaces it.
-    ``every=None`` measures what is there now and stops.
+    batch is written under its id, so a replay after a failure replaces it; the
+    run's own id is kept beside the checkpoint, so a stream that starts anew with
+    another checkpoint leaves the earlier results alone.  A period in which
+    nothing arrived writes nothing, as nothing can have changed.  ``every=None``
+    measures what is there now and stops.
     """
     values = quality.evaluate(stream, metrics)
+    run = _run_id(stream.sparkSession, checkpoint)
 
     def record(batch: DataFrame, batch_id: int) -> None:
         stamped = quality.measurements(batch, table_name, batch_id=batch_id)
-        quality.record_metrics(stamped, results, batch_id)
+        quality.record_metrics(stamped, results, table_name, run, batch_id)
 
     writer = (
         values.writeStream.outputMode("complete")
@@ -39,3 +44,13 @@ def monitor(
     )
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return writer.trigger(**trigger).start()
+
+
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id kept beside a checkpoint, made on first use.
+
+    It is a small table in the same store, so that any driver finds it.
+    """
+    place = f"{checkpoint.rstrip('/')}-run"
+    spark.createDataFrame([(uuid.uuid4().hex,)], "run string").coalesce(1).write.mode("ignore").parquet(place)
+    return spark.read.schema("run string").parquet(place).first()["run"]

@@ -69,7 +69,7 @@ def test_plans_prune_and_push_down(spark):
     text = plan(catalog.pair_estimate(spark, FOLDER))
     assert "ReadSchema: struct<p_name:string>" in text and "CartesianProduct" not in text
     assert "PushedFilters: [IsNotNull(p_name)" in plan(catalog.duplicate_links(spark, FOLDER))
-    narrow = plan(catalog.dictionary_tokens(spark, FOLDER))
+    narrow = plan(catalog.dictionary_tokens_embedded(spark, FOLDER))
     assert "Exchange" not in narrow and "BatchEvalPython" not in narrow
 
 

@@ -172,15 +172,30 @@ def test_block_key_need_not_be_compared(records):
 ARROW = ["jaro_winkler_similarity", "ratio", "partial_ratio", "token_sort_ratio", "lcs_length"]
 
 
-def test_shared_scoring_equals_direct_scoring(spark, rows):
+def test_scores_with_minimums_are_the_high_ones(spark, rows):
     data = [(i, LASTS[i % 7], CITIES[i % 5]) for i in range(70)]
     pairs = spark.createDataFrame(data, "k int, a string, b string")
     comparisons = [Comparison("a", "b", m, m) for m in [*ARROW, "fuzzy", "soundex"]]
-    shared, direct = score_pairs(pairs, comparisons), score_pairs(pairs, comparisons, share_values=False)
-    assert shared.columns == ["k", "a", "b", *(c.alias for c in comparisons)]
-    assert rows(shared) == rows(direct)
+    scored = score_pairs(pairs, comparisons)
+    assert scored.columns == ["k", "a", "b", *(c.alias for c in comparisons)]
+    assert scored.count() == 70
     minimums = {"ratio": 30, "fuzzy": 0.2}
-    assert rows(score_pairs(pairs, comparisons, minimums)) == rows(direct.where("ratio >= 30 and fuzzy >= 0.2"))
+    assert rows(score_pairs(pairs, comparisons, minimums)) == rows(scored.where("ratio >= 30 and fuzzy >= 0.2"))
+
+
+def test_python_metrics_run_once_per_pair(spark):
+    """One build of the pairs and one Python step, whatever the minimum."""
+    records = spark.createDataFrame([(i, f"n{i % 3}", f"name {i}") for i in range(30)], "id int, block string, name string")
+    job = Matching("id", ["block"], [Compare("name", "jaro_winkler_similarity", "s")], {"s": 0.8})
+    text = job.links(records)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ArrowEvalPython") == 1 and text.count("SortMergeJoin") + text.count("HashJoin") <= 4
+
+
+def test_record_profiles_name_every_record(spark, rows):
+    data = [(1, "a", "x"), (2, "a", "x"), (3, "a", None), (4, "a", None), (5, None, "x"), (6, "b", "x")]
+    records = spark.createDataFrame(data, "id int, block string, name string")
+    job = Matching("id", ["block"], [Compare("name", "fuzzy", "s")])
+    assert rows(job.record_profiles(records)) == [(1, 1), (2, 1), (3, 3), (4, 3), (6, 6)]
 
 
 def test_customer_workflow(spark, rows):

@@ -49,16 +49,19 @@ EXPECTED = {1: "12 9TH AVE", 2: "MAXINE ST ST", 3: "DZKA 5", 7: "PLAIN 1", 8: "A
 
 def test_tokens_by_join(spark):
     df = spark.createDataFrame(ADDRESSES, "cust_key int, address string")
-    out = standardizing.replace_tokens_by_join(df, "cust_key", "address", dictionary_df(spark), "ADDRESS")
-    assert {r.cust_key: r.address for r in out.collect()} == EXPECTED
+    out = standardizing.token_standards(df, "address", dictionary_df(spark), "ADDRESS")
+    assert {r.text: r.standard for r in out.collect()} == {dict(ADDRESSES)[k]: v for k, v in EXPECTED.items()}
 
 
-@pytest.mark.parametrize("embed_limit", [1000, 3])
-def test_tokens_written_back(spark, embed_limit):
+def address_terms(spark):
+    return {r._token: r._term for r in standardizing.context_terms(dictionary_df(spark), "ADDRESS").collect()}
+
+
+@pytest.mark.parametrize("embedded", [True, False])
+def test_tokens_written_back(spark, embedded):
     df = spark.createDataFrame(ADDRESSES, "cust_key int, address string")
-    out = standardizing.standardize_tokens(
-        df, "cust_key", "address", dictionary_df(spark), "ADDRESS", "address_std", embed_limit=embed_limit
-    )
+    dictionary = address_terms(spark) if embedded else dictionary_df(spark)
+    out = standardizing.standardize_tokens(df, "address", dictionary, "ADDRESS", "address_std")
     expected = {k: EXPECTED.get(k) if EXPECTED.get(k) != a else None for k, a in ADDRESSES}
     assert {r.cust_key: r.address_std for r in out.collect()} == expected
     far = standardizing.large_changes(out, "address", "address_std", 5)
@@ -70,15 +73,19 @@ def test_tokens_written_back(spark, embed_limit):
 def test_both_token_forms_agree(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "k int, a string")
     dictionary = dictionary_df(spark, [("LANE", "LN", "ADDRESS"), ("A", "B", "ADDRESS"), ("B", "X", "NAME")])
-    joined = standardizing.replace_tokens_by_join(df, "k", "a", dictionary, "ADDRESS")
-    terms = standardizing.small_terms(dictionary, "ADDRESS")
-    mapped = df.select("k", standardizing.replace_tokens(F.col("a"), terms).alias("a")).where("a is not null")
-    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, mapped.collect()))
+    joined = standardizing.standardize_tokens(df, "a", dictionary, "ADDRESS", "s")
+    mapped = standardizing.standardize_tokens(df, "a", {"LANE": "LN", "A": "B"}, "ADDRESS", "s")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, mapped.collect()))
 
 
-def test_small_terms_refuses_large_dictionaries(spark):
-    assert standardizing.small_terms(dictionary_df(spark), "NAME", 20) is None
-    assert len(standardizing.small_terms(dictionary_df(spark), "NAME", 21)) == 21
+@pytest.mark.parametrize("embedded", [True, False])
+def test_token_replacement_needs_no_unique_key(spark, embedded):
+    rows = [(1, "12 OAK STREET"), (1, "7 ELM AVENUE"), (None, "3 PINE LANE"), (None, "3 PINE LANE"), (2, "12 OAK STREET")]
+    df = spark.createDataFrame(rows, "k int, a string")
+    dictionary = address_terms(spark) if embedded else dictionary_df(spark)
+    out = standardizing.standardize_tokens(df, "a", dictionary, "ADDRESS", "s")
+    short = {"12 OAK STREET": "12 OAK ST", "7 ELM AVENUE": "7 ELM AVE", "3 PINE LANE": "3 PINE LN"}
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(str((k, a, short[a])) for k, a in rows)
 
 
 def test_samples(spark, rows):
@@ -95,7 +102,7 @@ def test_samples(spark, rows):
     assert rows(samples) == [("1", "10", "MAX", "OHARA", "5 OAK AVENUE", None, "TX", "1")]
     done = customers.standardize_samples(samples.withColumn("fname", F.lit("MAXINE")), dictionary_df(spark))
     assert rows(done, "fname_std", "address_std") == [("MAX", "5 OAK AVE")]
-    assert standardizing.build_samples(person, address, cap=0).count() == 0
+    assert standardizing.capped(samples, 0, ["cust_key"]).count() == 0
 
 
 def test_candidate_terms(spark, rows):
