@@ -45,8 +45,8 @@ from pairwright.llm.words import filled, sizes_in_bytes, slices
 LENGTH = 400
 GRAM = 48
 # Bytes parsed at once, bytes ordered at once, phrases of one trigger ordered together.
-STRETCH = 4 << 20
-ORDERED = 2 << 20
+STRETCH = 1 << 20
+ORDERED = 1 << 20
 TOGETHER = 256
 FACTOR = 0x9E3779B97F4A7C15 | 5
 INVERSE = pow(FACTOR, -1, 1 << 64)
@@ -225,9 +225,9 @@ def edges(dictionary: DataFrame, docs: DataFrame, text_column: str, length: int,
     both = texts.join(wanted.hint("shuffle_hash"), "text_key").select("text_key", "text", "phrases")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part, _ in (x for batch in batches for x in slices(batch, batch.column("text"), STRETCH)):
             rows: list[tuple] = []
-            for key, text, phrases in zip(*(batch.column(c).to_pylist() for c in ("text_key", "text", "phrases")), strict=True):
+            for key, text, phrases in zip(*(part.column(c).to_pylist() for c in ("text_key", "text", "phrases")), strict=True):
                 raw = text.encode()
                 for p in phrases:
                     rows += spelled(key, raw, p)
@@ -323,9 +323,9 @@ def without_repeats(
     texts = texts.select(F.unhex(F.md5("text")).alias("text_key"), "text").groupBy("text_key").agg(F.first("text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part, _ in (x for batch in batches for x in slices(batch, batch.column("text"), STRETCH)):
             keys, gone, spans, digests = [], [], [], []
-            for key, text, found in zip(*(batch.column(c).to_pylist() for c in ("text_key", "text", "ranges")), strict=True):
+            for key, text, found in zip(*(part.column(c).to_pylist() for c in ("text_key", "text", "ranges")), strict=True):
                 kept, n, runs_ = _kept(text.encode(), found)
                 digest = hashlib.sha256()
                 for piece in kept:
