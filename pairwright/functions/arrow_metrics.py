@@ -120,16 +120,20 @@ def _over_pairs(helper, left: pa.Array, right: pa.Array, kind: pa.DataType) -> p
     return pa.array([known[pair] for pair in zip(left.to_pylist(), right.to_pylist(), strict=True)], kind)
 
 
-@F.arrow_udf(IntegerType())
-def common_subsequence(left: pa.Array, right: pa.Array) -> pa.Array:
-    return _over_pairs(subsequence_length, left, right, pa.int32())
+def _once(helper, spark_type, kind: pa.DataType):
+    """A UDF over two texts that Spark evaluates once per row.
 
+    It is marked as not deterministic, though it is: else a filter on its result
+    is pushed below it and evaluates it a second time.
+    """
 
-@F.arrow_udf(IntegerType())
-def best_window_ratio(left: pa.Array, right: pa.Array) -> pa.Array:
-    return _over_pairs(window_ratio, left, right, pa.int32())
+    def score(left: pa.Array, right: pa.Array) -> pa.Array:
+        return _over_pairs(helper, left, right, kind)
 
+    score.__name__ = helper.__name__
+    return F.arrow_udf(score, spark_type).asNondeterministic()
 
-@F.arrow_udf(DoubleType())
-def jaro_winkler(left: pa.Array, right: pa.Array) -> pa.Array:
-    return _over_pairs(winkler, left, right, pa.float64())
+
+common_subsequence = _once(subsequence_length, IntegerType(), pa.int32())
+best_window_ratio = _once(window_ratio, IntegerType(), pa.int32())
+jaro_winkler = _once(winkler, DoubleType(), pa.float64())
