@@ -1,8 +1,8 @@
 """The first record pairs in key order, and the records behind them.
 
 A listing of the first k pairs does not need the other pairs.  The pair key is
-the text ``id1-id2``; the dash sorts before every digit, so keys sort by the
-text of id1 and then of id2.  That lets the listing start from the records
+the text ``id1-id2`` of whole-number ids; the dash sorts before every digit, so
+keys sort by the text of id1 and then of id2.  That lets the listing start from the records
 that come first as id1 and look up only their partners.
 """
 
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from pairwright.operators import pairing
 from pairwright.operators.estimates import all_known
@@ -77,6 +78,8 @@ def first_pairs(
     enough, one pass over all profile pairs finds out which records have a
     partner at all.  Every way is exact; only the effort differs.
     """
+    if not isinstance(records.schema[job.id_column].dataType, IntegralType):
+        raise TypeError(f"{job.id_column} must hold whole numbers: the order of the pair key rests on it")
     ensure_checkpoint_dir(records.sparkSession)
     few, many = probes or (max(5, count // 10), max(1000, 10 * count))
     known = records.where(all_known(job.block))

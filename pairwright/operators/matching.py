@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pairwright.operators import pairing
 from pairwright.operators.estimates import all_known
 from pairwright.operators.scoring import METRICS, Comparison, filter_scores, prepared_name, score_pairs
+from pairwright.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -122,6 +123,10 @@ class Matching:
         return pairing.record_profiles(records, self.id_column, self.block, self.values)
 
     def record_pairs(self, links: DataFrame, records: DataFrame, max_pairs: int) -> DataFrame:
-        """Every record pair behind the links; refuses past ``max_pairs``."""
-        checked = pairing.within_limit(links, max_pairs)
+        """Every record pair behind the links; refuses past ``max_pairs``.
+
+        The links are written to the shared folder, so counting does not score them twice.
+        """
+        ensure_checkpoint_dir(links.sparkSession)
+        checked = pairing.within_limit(links.checkpoint(), max_pairs)
         return pairing.spell_out(checked, records, self.id_column, self.block, self.values)

@@ -82,12 +82,16 @@ def _customer_lines(spark: SparkSession, folder: str) -> str:
     """Write customers as comma-separated lines, some of them broken.
 
     By the key's remainder: 1 a word for a number, 2 a missing field, 3 a
-    text over its length, 4 to 6 the null tokens, 7 a quoted comma and quote.
+    text over its length, 4 to 6 the null tokens, 7 a quoted comma and quote,
+    8 the same with a padded word for a number, 9 a quote that stays open.
     """
     kind = F.col("c_custkey") % 10
-    name = F.when(kind == 7, F.concat(F.lit('"a, ""b"" '), F.col("c_name"), F.lit('"'))).otherwise(F.col("c_name"))
+    quoted = F.concat(F.lit('"a, ""b"" '), F.col("c_name"), F.lit('"'))
+    open_quote = F.concat(F.lit('"'), F.col("c_name"))
+    name = F.when(kind.isin(7, 8), quoted).when(kind == 9, open_quote).otherwise(F.col("c_name"))
     balance = (
         F.when(kind == 1, F.lit("none"))
+        .when(kind == 8, F.lit(" none "))
         .when(kind == 4, F.lit(""))
         .when(kind == 5, F.lit("NULL"))
         .when(kind == 6, F.lit("null"))
@@ -116,6 +120,23 @@ def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return rejects.select("raw", F.array_join("reason", "; ").alias("reason"))
 
 
+def csv_semicolon(spark: SparkSession, folder: str) -> DataFrame:
+    """A file with semicolons, read by name: commas are text there."""
+    target = shared_folder(spark, "nation-lines")
+    name = F.concat(F.col("n_name"), F.lit(", "), F.col("n_regionkey").cast("string"))
+    lines = read(spark, folder, "nation").select(F.concat_ws(";", F.col("n_nationkey").cast("string"), name).alias("value"))
+    lines.write.options(header="true", quote="", sep="\u0001").csv(target)
+    return files.read_csv(spark, target, StructType([typed("n_nationkey", LongType()), text("n_name", 100)]), files.SEMICOLON)
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The folders of a partitioned table, listed without reading it, and whether they hold anything."""
+    target = shared_folder(spark, "segments")
+    read(spark, folder, "customer").write.partitionBy("c_mktsegment").parquet(target)
+    listed = files.list_files(spark, target).select(F.regexp_extract("path", "c_mktsegment=([^/]+)/", 1).alias("segment"), "length")
+    return listed.where("segment > ''").groupBy("segment").agg((F.sum("length") > 0).alias("filled"))
+
+
 # --- standardization -----------------------------------------------------------
 
 
@@ -479,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "union_fillers": union_fillers,
     "csv_load": csv_load,
     "csv_rejects": csv_rejects,
+    "csv_semicolon": csv_semicolon,
+    "list_files": list_files,
     "standardize_table": standardize_table,
     "stable_ids": stable_ids,
     "stable_ids_ordered": stable_ids_ordered,

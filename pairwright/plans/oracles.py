@@ -187,14 +187,18 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal, ' ', s_suppkey::VARCHAR FROM supplier""",
     "csv_load": """SELECT c_custkey, CASE WHEN c_custkey % 10 = 7 THEN 'a, "b" ' || c_name ELSE c_name END AS c_name,
           CASE WHEN c_custkey % 10 IN (4, 5, 6) THEN NULL ELSE c_acctbal END AS c_acctbal, c_mktsegment
-        FROM customer WHERE c_custkey % 10 NOT IN (1, 2, 3) OR (c_custkey % 10 = 3 AND length(c_mktsegment) * 2 <= 10)""",
+        FROM customer WHERE c_custkey % 10 NOT IN (1, 2, 3, 8, 9) OR (c_custkey % 10 = 3 AND length(c_mktsegment) * 2 <= 10)""",
     "csv_rejects": """SELECT CASE c_custkey % 10
             WHEN 1 THEN c_custkey || ',' || c_name || ',none,' || c_mktsegment
             WHEN 2 THEN c_custkey || ',' || c_name
+            WHEN 8 THEN c_custkey || ',"a, ""b"" ' || c_name || '", none ,' || c_mktsegment
+            WHEN 9 THEN c_custkey || ',"' || c_name || ',' || c_acctbal || ',' || c_mktsegment
             ELSE c_custkey || ',' || c_name || ',' || c_acctbal || ',' || c_mktsegment || c_mktsegment END AS raw,
           CASE c_custkey % 10 WHEN 1 THEN 'cast c_acctbal' WHEN 2 THEN 'field count'
-            ELSE 'length c_mktsegment' END AS reason
-        FROM customer WHERE c_custkey % 10 IN (1, 2) OR (c_custkey % 10 = 3 AND length(c_mktsegment) * 2 > 10)""",
+            WHEN 8 THEN 'cast c_acctbal' WHEN 9 THEN 'open quote' ELSE 'length c_mktsegment' END AS reason
+        FROM customer WHERE c_custkey % 10 IN (1, 2, 8, 9) OR (c_custkey % 10 = 3 AND length(c_mktsegment) * 2 > 10)""",
+    "csv_semicolon": "SELECT n_nationkey, n_name || ', ' || n_regionkey AS n_name FROM nation",
+    "list_files": "SELECT DISTINCT c_mktsegment AS segment, true AS filled FROM customer",
     "standardize_table": f"""SELECT p_partkey, {_std('p_name')} AS p_name, {_std('p_brand')} AS p_brand,
         trim({_std('p_type')}) AS p_type FROM part""",
     "stable_ids": "SELECT count(*) AS ids, 1::BIGINT AS first_id, count(*) AS last_id FROM orders",

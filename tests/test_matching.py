@@ -211,3 +211,10 @@ def test_customer_workflow(spark, rows):
     assert records.columns == ["CUST_ID", *customers.MATCHING_COLUMNS]
     out = customers.probable_duplicates(records)
     assert {r.PESEL for r in out.collect()} == {"1", "2"} and out.columns[0] == "pair_key"
+
+
+def test_listing_refuses_ids_that_are_no_whole_numbers(spark):
+    records = spark.createDataFrame([("A", "x", "y"), ("A 1", "x", "y")], "id string, block string, name string")
+    job = Matching("id", ["block"], [Compare("name", "fuzzy", "s")], {"s": 0.5})
+    with pytest.raises(TypeError, match="whole numbers"):
+        listing.first_pairs(records, job, 10)
