@@ -40,6 +40,8 @@ BUCKETS = 1 << 18
 LENGTHS = range(3, 6)
 DIMENSIONS = 4
 STEPS = 60
+# Pull of the embeddings towards 0 in each step.
+DECAY = 1e-6
 
 
 @dataclass(frozen=True)
@@ -115,6 +117,8 @@ def fit(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
     ends = np.append(starts[1:], len(words.codes))
     counts = np.add.reduceat(subwords[words.codes], starts) + EMPTY_NGRAMS
     text_window_first, text_window_last = first[some], np.append(first[some][1:], len(starts))
+    per_text = text_window_last - text_window_first
+    text_of_window = np.repeat(np.arange(len(some)), per_text)
 
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (len(used), DIMENSIONS))
@@ -127,18 +131,19 @@ def fit(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
         mean = np.add.reduceat(by_word[words.codes], starts) / counts[:, None]
         logits = mean @ softmax + bias
         z = logits[:, 1] - logits[:, 0]
-        # the most toxic window of each text
+        # of a toxic text first all windows count alike, then more and more the most toxic one;
+        # of a clean text all windows count, and the most toxic one as much as all
         top = np.array([a + int(np.argmax(z[a:b])) for a, b in zip(text_window_first, text_window_last, strict=True)])
-        p = 1 / (1 + np.exp(-np.clip(z[top], -50, 50)))
-        slope = (p - label) * weight
+        lean = np.where(label == 1, step / STEPS, 0.5)
+        share = ((1 - lean) * weight / per_text)[text_of_window]
+        share[top] += lean * weight
+        slope = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - label[text_of_window]) * share
         both = np.stack([-slope, slope], axis=1)
-        grad_mean = both @ softmax.T / counts[top][:, None]
-        span = ends[top] - starts[top]
-        at = np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span) + np.repeat(starts[top], span)
-        grad_word = _by(words.codes[at], np.repeat(grad_mean, span, axis=0), len(words.distinct))
+        grad_mean = both @ softmax.T / counts[:, None]
+        grad_word = _by(words.codes, np.repeat(grad_mean, ends - starts, axis=0), len(words.distinct))
         grads = (
-            _by(local, grad_word[owner], len(used)),
-            mean[top].T @ both,
+            _by(local, grad_word[owner], len(used)) + DECAY * vectors,
+            mean.T @ both,
             both.sum(axis=0),
         )
         rate = 1.0 * (1 - step / STEPS)
