@@ -41,14 +41,17 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pairwright.llm.components import components
-from pairwright.llm.frames import landed, unwrapped, wrapped
+from pairwright.llm.frames import landed, text_of, unwrapped, wrapped
 from pairwright.llm.subwords import mixed
 from pairwright.llm.words import filled, slices, white_space_words
 
-# Shingles counted by one task, nodes that a task counts together, members of a list's part.
+# Bytes of text shingled at once, shingles counted by one task, nodes that a task counts
+# together, members of a list's part.
+SHINGLED_BYTES = 2 << 20
 RANGE_SHINGLES = 2_000_000
 TOGETHER = 2_000
 PART = 1_024
@@ -109,21 +112,40 @@ def node_of(shingles: np.ndarray) -> int:
     return int(np.array([xxhash.xxh3_64_intdigest(shingles.tobytes())], dtype=np.uint64).view(np.int64)[0])
 
 
-def with_nodes(docs: DataFrame, text_column: str, rule: Rule, name: str = "_set") -> DataFrame:
-    """``docs`` with a struct of ``node`` (null without words) and ``n``, the set's size."""
+def text_nodes(docs: DataFrame, id_column: str, text_column: str, rule: Rule) -> DataFrame:
+    """``doc_id, text_key, node, n, first`` of every document, from one reading of the texts.
 
-    @F.arrow_udf("struct<node long, n long>")
-    def nodes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-            node, n = [], []
-            for _, some in slices(batch, filled(texts)):
-                for s in shingle_sets(filled(some), rule.words):
-                    node.append(node_of(s) if len(s) else None)
-                    n.append(len(s))
-            yield pa.StructArray.from_arrays([pa.array(node, pa.int64()), pa.array(n, pa.int64())], ["node", "n"])
+    ``node`` is null without words, ``n`` is the set's size, ``first`` its first
+    shingles in hash order, ``text_key`` a 128-bit hash of the text.
+    """
+    rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("text"))
+    rows = rows.withColumn("text_key", F.unhex(F.md5("text")))
+    schema = T.StructType(
+        [
+            rows.schema["doc_id"],
+            T.StructField("text_key", T.BinaryType()),
+            T.StructField("node", T.LongType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("first", T.ArrayType(T.LongType())),
+        ]
+    )
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in slices(batch, filled(batch.column("text")), SHINGLED_BYTES):
+                sets = shingle_sets(filled(texts), rule.words)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("text_key"),
+                        pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        _list_array([s[: rule.first(len(s))].view(np.int64) for s in sets], pa.int64()),
+                    ],
+                    names=schema.names,
+                )
 
-    return docs.withColumn(name, nodes(F.col(f"`{text_column}`")))
+    return rows.mapInArrow(named, schema)
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -235,45 +257,41 @@ def _ranges_log2(shingles: int) -> int:
     return max(0, int(np.ceil(np.log2(max(1, shingles) / RANGE_SHINGLES))))
 
 
-def candidates_by_first(docs: DataFrame, text_column: str, rule: Rule) -> DataFrame:
+def candidates_by_first(rows: DataFrame, rule: Rule) -> DataFrame:
     """Nodes that share enough of their first shingles to have a partner."""
-    rows = docs.select(F.col(text_column).alias("text"))
-    # at least a blank or an end follows each word, so this bounds the shingles
-    characters = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    bits = _ranges_log2(characters * (100 - rule.percent) // 100)
+    bits = _ranges_log2(rows.agg(F.sum(F.size("first"))).first()[0] or 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter(bits)
         for batch in batches:
-            for _, texts in slices(batch, filled(batch.column("text"))):
-                for s in shingle_sets(filled(texts), rule.words):
-                    n = len(s)
-                    if n and counter.add(node_of(s), n, s[: rule.first(n)]):
-                        yield counter.rows()
+            columns = (batch.column("node").to_pylist(), batch.column("n").to_pylist(), _lists(batch.column("first")))
+            for node, n, first in zip(*columns, strict=True):
+                if counter.add(node, n, first.view(np.uint64)):
+                    yield counter.rows()
         if counter.nodes:
             yield counter.rows()
 
     least = F.ceil(F.col("n") * rule.percent / 100)
     need = F.floor(least * (100 - rule.percent) / 100) + 1
-    counted = landed(rows.mapInArrow(count, COUNTED), "first")
-    return _enough(counted, need)
+    known = rows.where(F.col("node").isNotNull()).select("node", "n", "first")
+    return _enough(landed(known.mapInArrow(count, COUNTED), "first"), need)
 
 
-def whole_sets(docs: DataFrame, text_column: str, rule: Rule, nodes: DataFrame) -> DataFrame:
+def whole_sets(docs: DataFrame, text_column: str, rule: Rule, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node`` and ``shingles`` of the given nodes, from one text of each."""
-    rows = with_nodes(docs.select(F.col(text_column).alias("text")), "text", rule)
-    texts = rows.select(F.col("_set.node").alias("node"), "text").where(F.col("node").isNotNull())
-    one = texts.groupBy("node").agg(F.first("text").alias("text")).join(nodes.hint("shuffle_hash"), "node", "left_semi")
+    chosen = rows.join(nodes, "node").groupBy("node").agg(F.min("text_key").alias("text_key"))
+    texts = docs.select(text_of(text_column).alias("text")).select(F.unhex(F.md5("text")).alias("text_key"), "text")
+    one = texts.groupBy("text_key").agg(F.first("text").alias("text")).join(chosen.hint("shuffle_hash"), "text_key")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, some in slices(batch, filled(batch.column("text"))):
+            for part, some in slices(batch, filled(batch.column("text")), SHINGLED_BYTES):
                 sets = [s.view(np.int64) for s in shingle_sets(filled(some), rule.words)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), _list_array(sets, pa.int64())], names=["node", "shingles"]
                 )
 
-    return one.mapInArrow(whole, "node long, shingles array<long>")
+    return one.select("node", "text").mapInArrow(whole, "node long, shingles array<long>")
 
 
 def candidates_by_all(sets: DataFrame, rule: Rule) -> DataFrame:
@@ -329,7 +347,9 @@ def short_lists(sets: DataFrame, rule: Rule) -> DataFrame:
         sets.select("node", F.size("shingles").cast("long").alias("n"), sketched("shingles").alias("sketch")), "sketches"
     )
     postings = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    # written first, so that the join reads two plain shuffles and a common shingle can be split
     lists = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
+    lists = landed(lists, "lists")
     shared = landed(postings.join(lists.hint("shuffle_hash"), "shingle"), "postings")
     order = Window.partitionBy("node").orderBy("members", "shingle")
     whole = Window.partitionBy("node")
@@ -496,10 +516,10 @@ def links(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return both.where(linked("set_a", "set_b")).select("a", "b")
 
 
-def linked_nodes(docs: DataFrame, text_column: str, rule: Rule) -> DataFrame:
+def linked_nodes(docs: DataFrame, text_column: str, rule: Rule, rows: DataFrame) -> DataFrame:
     """``node`` and ``label`` of the nodes that are linked with another."""
-    maybe = landed(candidates_by_first(docs, text_column, rule), "maybe")
-    sets = landed(whole_sets(docs, text_column, rule, maybe), "sets")
+    maybe = landed(candidates_by_first(rows, rule), "maybe")
+    sets = landed(whole_sets(docs, text_column, rule, rows, maybe), "sets")
     likely = landed(candidates_by_all(sets, rule), "likely")
     sets = landed(sets.join(likely, "node", "left_semi"), "sets")
     cells = landed(short_lists(sets, rule), "cells")
@@ -510,19 +530,6 @@ def linked_nodes(docs: DataFrame, text_column: str, rule: Rule) -> DataFrame:
     return components(found.unionByName(across)) if not across.isEmpty() else labels
 
 
-def jaccard_join(
-    docs: DataFrame, rule: Rule | None = None, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """Every document with the size of its set and the least id that its links reach."""
-    rule = rule or Rule()
-    labels = linked_nodes(docs, text_column, rule)
-    rows = with_nodes(docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")), "text", rule)
-    rows = landed(rows.select("doc_id", F.col("_set.node").alias("node"), F.col("_set.n").alias("n_shingles")), "nodes")
-    return rows.join(least_ids(rows, labels), "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
-
-
 def least_ids(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``node`` and ``component_id``, the least ``doc_id`` of its component's rows."""
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("low"))
@@ -531,16 +538,29 @@ def least_ids(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(low, "label").select("node", "component_id")
 
 
+def jaccard_join(
+    docs: DataFrame, rule: Rule | None = None, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """Every document with the size of its set and the least id that its links reach."""
+    rule = rule or Rule()
+    rows = landed(text_nodes(docs, id_column, text_column, rule), "nodes")
+    low = least_ids(rows, linked_nodes(docs, text_column, rule, rows))
+    return rows.join(low, "node", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
+
 def one_of_each(docs: DataFrame, rule: Rule, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with the least id of their component, one of each, with their own columns.
 
     Documents without words stay.
     """
-    labels = linked_nodes(docs, text_column, rule)
-    packed = wrapped(docs, doc_id=F.col(f"`{id_column}`"), text=F.col(f"`{text_column}`"))
-    rows = with_nodes(packed, "text", rule).drop("text").withColumn("node", F.col("_set.node"))
-    low = least_ids(landed(rows.select("doc_id", "node"), "nodes"), labels)
-    joined = rows.join(low, "node", "left")
+    rows = landed(text_nodes(docs, id_column, text_column, rule), "nodes")
+    low = least_ids(rows, linked_nodes(docs, text_column, rule, rows))
+    keys = rows.where(F.col("node").isNotNull()).select("text_key", "node").distinct()
+    first = keys.join(low, "node").select("text_key", "node", "component_id")
+    packed = wrapped(docs, doc_id=F.col(f"`{id_column}`"), text_key=F.unhex(F.md5(text_of(text_column))))
+    joined = packed.join(first, "text_key", "left")
     bare = joined.where(F.col("node").isNull())
-    first = joined.where(F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return unwrapped(bare.unionByName(first.dropDuplicates(["component_id", "node"])), docs.columns)
+    chosen = joined.where(F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return unwrapped(bare.unionByName(chosen.dropDuplicates(["component_id", "node"])), docs.columns)

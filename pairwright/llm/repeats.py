@@ -282,7 +282,9 @@ def repeated_ranges(docs: DataFrame, text_column: str, length: int, gram: int) -
     triggers = phrases.groupBy("trigger").agg(
         F.count(F.lit(1)).alias("places"), F.min("phrase").alias("low"), F.max("phrase").alias("high")
     )
+    # written first, so that the join reads two plain shuffles and a common trigger can be split
     twice = triggers.where(F.col("places") > 1).select("trigger", (F.col("low") < F.col("high")).alias("several"))
+    twice = landed(twice, "twice")
     again = landed(phrases.join(twice.hint("shuffle_hash"), "trigger"), "again")
     home = F.min(F.struct("text_key", "start", "size", "at")).alias("home")
     dictionary = landed(
