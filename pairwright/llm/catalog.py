@@ -83,6 +83,9 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_secret_scan": secret_scan.ORACLE,
+    "op3_jaccard_join": jaccard_join.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op7_top_k": top_k.ORACLE,
+    "op8_repeats": repeats.ORACLE,
 }

@@ -357,3 +357,24 @@ def without_repeats(
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("digest", "whole").alias("kept_sha256"),
     )
+
+
+ORACLE = r"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS h,
+    octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT rid, h, unnest(range(0, n - 399)) AS p FROM t WHERE n >= 400),
+k AS (SELECT rid, p, md5_number(h[p + 1:p + 400]) AS m FROM w),
+r AS (SELECT rid, p FROM k WHERE m IN (SELECT m FROM k GROUP BY m HAVING count(*) > 1)),
+f AS (SELECT rid, p, CASE WHEN p > lag(p) OVER (PARTITION BY rid ORDER BY p) + 400 THEN 1 ELSE 0 END AS fresh FROM r),
+g AS (SELECT rid, p, sum(fresh) OVER (PARTITION BY rid ORDER BY p) AS run FROM f),
+span AS (SELECT rid, min(p) AS a, max(p) + 400 AS b FROM g GROUP BY rid, run),
+gap AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS since FROM span),
+cut AS (
+  SELECT rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(hex(h[since + 1:a]), '' ORDER BY a) AS kept
+  FROM gap JOIN t USING (rid) GROUP BY rid
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(CASE WHEN n_spans > 0 THEN unhex(kept || hex(h[last + 1:])) ELSE h END) AS kept_sha256
+FROM t LEFT JOIN cut USING (rid)
+"""

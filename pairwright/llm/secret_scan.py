@@ -230,3 +230,59 @@ def masked(docs: DataFrame, text_column: str = "text", mask: str = "*") -> DataF
     changed = F.when(F.size("_spans") > 0, end).otherwise(text)
     rows = with_spans(wrapped(docs, text=F.col(f"`{text_column}`")))
     return unwrapped(rows, docs.columns, **{text_column: changed})
+
+
+def _matches(kind: int, pattern: str, group: int, gate: str) -> str:
+    """SQL for one pattern's matches, one row each, with the piece of text before it."""
+    return f"""SELECT rid, {kind} AS k, unnest(range(1, len(whole) + 1)) AS i, unnest(whole) AS whole, unnest(value) AS value,
+    unnest(piece[1:len(whole)]) AS piece
+  FROM (SELECT rid, regexp_extract_all(text, '{pattern}') AS whole, regexp_extract_all(text, '{pattern}', {group}) AS value,
+    string_split_regex(text, '{pattern}') AS piece FROM t WHERE regexp_matches(text, '{gate or pattern}'))"""
+
+
+def _sql(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+_BASE = [(0, _sql(ASSIGN), 2, ""), (1, ACCESS, 0, ""), (2, HEX, 0, "")]
+_RUNS = [(3, "[A-Za-z0-9+/_=-]{20,}", 0, ""), (4, "[0-9A-F]{24,}", 0, "")]
+_HOT = """SELECT rid, a + min(w) AS a, a + max(w) + {window} AS b FROM (
+    SELECT rid, i, a, whole, unnest(range(0, length(whole) - {window} + 1)) AS w FROM placed
+    WHERE k = {kind} AND length(whole) >= {window} AND NOT regexp_matches(whole, '{allowed}') AND {needs})
+  WHERE list_aggregate(string_split(substr(whole, w::INTEGER + 1, {window}), ''), 'entropy') >= {bits} - 1e-9
+  GROUP BY rid, i, a"""
+_ENTROPY = " UNION ".join(
+    _HOT.format(
+        window=c.window,
+        kind=3 + n,
+        bits=c.bits,
+        allowed=ALLOWED,
+        needs=" AND ".join(f"regexp_matches(whole, '{need}')" for need in c.needs),
+    )
+    for n, c in enumerate(CLASSES)
+)
+ORACLE = f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(_matches(*x) for x in _BASE + _RUNS)}),
+placed AS (
+  SELECT *, (sum(length(piece)) OVER before + coalesce(sum(length(whole)) OVER earlier, 0))::BIGINT AS a
+  FROM m WINDOW before AS (PARTITION BY rid, k ORDER BY i),
+    earlier AS (PARTITION BY rid, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+base AS (SELECT rid, k, a, a + length(whole) AS b FROM placed WHERE k IN (1, 2) OR k = 0 AND length(value) >= {ASSIGN_VALUE}),
+entropy AS ({_ENTROPY}),
+more AS (
+  SELECT rid, 3 AS k, a, b FROM entropy e
+  WHERE NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = e.rid AND x.a < e.b AND e.a < x.b)
+),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][k + 1] || ':' || a || ':' || b AS name
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM more)),
+told AS (
+  SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    string_agg(name, ',' ORDER BY a, k) FILTER (k < 3) AS base, string_agg(name, ',' ORDER BY a, k) AS spans
+  FROM named GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN told USING (rid)
+"""
