@@ -6,8 +6,8 @@ Two texts link when their sets of word shingles overlap by at least a share
 shingles in the other.  The search uses that bound in each of its steps.
 
 1. *Counting.*  Equal sets are one node.  In hash order, a linked node has more
-   than ``d`` shared shingles among its first ``2 d + 1``; most texts have not,
-   and are done.  Of the rest, whole sets are counted the same way: more than
+   than ``d / 2`` shared shingles among its first ``3 d / 2 + 1``; most texts have
+   not, and are done.  Of the rest, whole sets are counted the same way: more than
    ``d`` shingles that occur nowhere else, and there is no partner.
 2. *Divide.*  A remaining node's ``d + 1`` shortest lists (shingles of its own
    alone first) hold every partner at least once; its longer lists are skipped.
@@ -31,7 +31,7 @@ repeat or be null, and a component's id is its least id that is not null.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +39,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -52,7 +52,7 @@ from pairwright.llm.words import filled, slices, white_space_words
 # Bytes of text shingled at once, shingles counted by one task, nodes that a task counts
 # together, members of a list's part.
 SHINGLED_BYTES = 2 << 20
-RANGE_SHINGLES = 2_000_000
+RANGE_SHINGLES = 500_000
 TOGETHER = 2_000
 PART = 1_024
 
@@ -70,12 +70,12 @@ class Rule:
 
     def first(self, n: int) -> int:
         """How many shingles are counted first."""
-        return min(n, 2 * self.lacks(n) + 1)
+        return min(n, self.lacks(n) + self.lacks(n) // 2 + 1)
 
-    def first_shared(self, n: int) -> int:
+    def first_shared(self, n: np.ndarray | int) -> np.ndarray | int:
         """How many of the first must be shared: as many as for the smallest partner."""
         least = -(-n * self.percent // 100)
-        return self.lacks(least) + 1
+        return self.lacks(least) // 2 + 1
 
     def links(self, overlap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return 100 * overlap >= self.percent * (a + b - overlap)
@@ -183,10 +183,15 @@ class _Counter:
         return len(self.nodes) >= TOGETHER
 
     def rows(self) -> pa.RecordBatch:
-        """Rows ``range, instance, node, n, known, shingles``; range -1 holds what is known here."""
+        """One row per range with the sets' shingles there, and one of range -1 with what is known here.
+
+        ``nodes`` and ``sizes`` say whose the ``shingles`` are, ``marked`` are those
+        of several sets.  In range -1, ``sizes`` are the sets' and ``shingles``
+        the numbers of shared ones.
+        """
         self.turn += 1
         instance = (self.partition << 32) + self.turn
-        keys, sizes = list(self.nodes), [v[0] for v in self.nodes.values()]
+        keys, sizes = np.array(list(self.nodes)), np.array([v[0] for v in self.nodes.values()])
         flat = np.concatenate([v[1] for v in self.nodes.values()])
         owner = np.repeat(np.arange(len(keys)), [len(v[1]) for v in self.nodes.values()])
         values, inverse, times = np.unique(flat, return_inverse=True, return_counts=True)
@@ -196,60 +201,81 @@ class _Counter:
         of[times > 1] = -1  # many hold it: no node to tell
         at = (values >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(values), dtype=np.int64)
         order = np.lexsort((of, at))
-        cut = np.flatnonzero((np.diff(at[order], prepend=-1) != 0) | (np.diff(of[order], prepend=-2) != 0))
-        ordered = values[order].view(np.int64)
-        rows = [ordered[a:b] for a, b in zip(cut, [*cut[1:], len(order)], strict=True)]
-        who = of[order][cut]
-        node = [keys[w] if w >= 0 else None for w in who]
-        n = [sizes[w] if w >= 0 else None for w in who]
-        size = len(keys)
+        values, of, at = values[order].view(np.int64), of[order], at[order]
+        starts = np.flatnonzero(np.diff(at, prepend=-1) != 0)
+        ranges, nodes, runs, shingles, marked = [-1], [keys], [sizes], [known], [values[:0]]
+        for start, stop in zip(starts.tolist(), [*starts[1:].tolist(), len(at)], strict=True):
+            first = start + int(np.searchsorted(of[start:stop], 0))
+            own, counts = np.unique(of[first:stop], return_counts=True)
+            ranges.append(int(at[start]))
+            nodes.append(keys[own])
+            runs.append(counts)
+            shingles.append(values[first:stop])
+            marked.append(values[start:first])
         batch = pa.RecordBatch.from_arrays(
             [
-                pa.concat_arrays([pa.array(at[order][cut], pa.int64()), pa.array(np.full(size, -1), pa.int64())]),
-                pa.array(np.full(len(cut) + size, instance), pa.int64()),
-                pa.array(node + keys, pa.int64()),
-                pa.array(n + sizes, pa.int64()),
-                pa.array([0] * len(cut) + known.tolist(), pa.int64()),
-                pa.concat_arrays([_list_array(rows, pa.int64()), _list_array([np.empty(0, np.int64)] * size, pa.int64())]),
+                pa.array(ranges, pa.int64()),
+                pa.array([instance] * len(ranges), pa.int64()),
+                *(_list_array(x, pa.int64()) for x in (nodes, runs, shingles, marked)),
             ],
-            names=["range", "instance", "node", "n", "known", "shingles"],
+            names=["range", "instance", "nodes", "sizes", "shingles", "marked"],
         )
         self.clear()
         return batch
 
 
-COUNTED = "range long, instance long, node long, n long, known long, shingles array<long>"
+COUNTED = "range long, instance long, nodes array<long>, sizes array<long>, shingles array<long>, marked array<long>"
+SHARED = "instance long, nodes array<long>, sizes array<long>, shared array<long>"
 
 
 def _range_counts(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """How many of each instance's shingles in a range other nodes hold as well."""
-    lists = _lists(rows.column("shingles").combine_chunks())
-    flat = np.concatenate(lists)
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    nodes = rows.column("node").combine_chunks()
-    marked = pc.is_null(nodes).to_numpy(zero_copy_only=False)
-    node = pc.fill_null(nodes, 0).to_numpy(zero_copy_only=False)
-    values, inverse = np.unique(flat, return_inverse=True)
+    """How many of each set's shingles in a range other sets hold as well."""
+    nodes, sizes, shingles, marked = (
+        _lists(rows.column(c).combine_chunks()) for c in ("nodes", "sizes", "shingles", "marked")
+    )
+    own = np.concatenate(shingles)
+    node = np.repeat(np.concatenate(nodes), np.concatenate(sizes))
+    values, inverse = np.unique(np.concatenate([own, *marked]), return_inverse=True)
     shared = np.zeros(len(values), dtype=bool)
-    shared[inverse[marked[row]]] = True
+    shared[inverse[len(own) :]] = True
     # two different nodes: the least and the greatest differ
-    one = ~marked[row]
     low, high = np.full(len(values), np.iinfo(np.int64).max), np.full(len(values), np.iinfo(np.int64).min)
-    np.minimum.at(low, inverse[one], node[row[one]])
-    np.maximum.at(high, inverse[one], node[row[one]])
+    np.minimum.at(low, inverse[: len(own)], node)
+    np.maximum.at(high, inverse[: len(own)], node)
     shared |= low < high
-    count = np.bincount(row[shared[inverse]], minlength=len(lists))
-    keep = ~marked & (count > 0)
-    return rows.select(["instance", "node", "n"]).filter(pa.array(keep)).append_column("known", pa.array(count[keep]))
+    running = np.concatenate([[0], np.cumsum(shared[inverse[: len(own)]])])
+    ends = np.cumsum(np.concatenate(sizes))
+    counts = running[ends] - running[ends - np.concatenate(sizes)]
+    bounds = np.cumsum([len(x) for x in nodes])[:-1]
+    return pa.table(
+        {
+            "instance": rows.column("instance"),
+            "nodes": _list_array(nodes, pa.int64()),
+            "sizes": _list_array([x[:0] for x in nodes], pa.int64()),
+            "shared": _list_array(np.split(counts, bounds), pa.int64()),
+        }
+    )
+
+
+def _enough(counted: DataFrame, need: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Nodes of which at least ``need`` of their sizes are shared.
 
+    A node may be counted in several instances; each counts all of it.  Both uses
+    of ``counted`` read the same files in the same parts, so instances are the same.
+    """
+    ranges = counted.where(F.col("range") >= 0).groupBy("range").applyInArrow(_range_counts, SHARED)
+    here = counted.where(F.col("range") < 0).select("instance", "nodes", "sizes", F.col("shingles").alias("shared"))
+
+    def reached(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        nodes, sizes, shared = (_lists(rows.column(c).combine_chunks()) for c in ("nodes", "sizes", "shared"))
+        whole = next(k for k, x in enumerate(sizes) if len(x))
+        order = np.argsort(nodes[whole])
+        known, n = nodes[whole][order], sizes[whole][order]
+        at = np.searchsorted(known, np.concatenate(nodes))
+        total = np.bincount(at, weights=np.concatenate(shared), minlength=len(known))
+        return pa.table({"node": pa.array(known[total >= need(n)], pa.int64())})
 
-def _enough(counted: DataFrame, need: Column) -> DataFrame:
-    """Nodes of which enough shingles are shared.  A node may be counted in several places; each counts all of it."""
-    spread = counted.where(F.col("range") >= 0)
-    ranges = spread.groupBy("range").applyInArrow(_range_counts, "instance long, node long, n long, known long")
-    here = counted.where(F.col("range") < 0).select("instance", "node", "n", "known")
-    each = here.unionByName(ranges).groupBy("instance", "node", "n").agg(F.sum("known").alias("shared"))
-    return each.where(F.col("shared") >= need).select("node").distinct()
+    return here.unionByName(ranges).groupBy("instance").applyInArrow(reached, "node long").distinct()
 
 
 def _ranges_log2(shingles: int) -> int:
@@ -271,10 +297,8 @@ def candidates_by_first(rows: DataFrame, rule: Rule) -> DataFrame:
         if counter.nodes:
             yield counter.rows()
 
-    least = F.ceil(F.col("n") * rule.percent / 100)
-    need = F.floor(least * (100 - rule.percent) / 100) + 1
     known = rows.where(F.col("node").isNotNull()).select("node", "n", "first")
-    return _enough(landed(known.mapInArrow(count, COUNTED), "first"), need)
+    return _enough(known.mapInArrow(count, COUNTED), rule.first_shared)
 
 
 def whole_sets(docs: DataFrame, text_column: str, rule: Rule, rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -308,8 +332,7 @@ def candidates_by_all(sets: DataFrame, rule: Rule) -> DataFrame:
         if counter.nodes:
             yield counter.rows()
 
-    counted = landed(sets.mapInArrow(count, COUNTED), "all")
-    return _enough(counted, F.ceil(F.col("n") * rule.percent / 100))
+    return _enough(sets.mapInArrow(count, COUNTED), lambda n: n - rule.lacks(n))
 
 
 def sketch_words(n: int) -> int:
@@ -564,3 +587,22 @@ def one_of_each(docs: DataFrame, rule: Rule, id_column: str = "doc_id", text_col
     bare = joined.where(F.col("node").isNull())
     chosen = joined.where(F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
     return unwrapped(bare.unionByName(chosen.dropDuplicates(["component_id", "node"])), docs.columns)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.n + y.n - shared)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reach JOIN link ON other = a
+), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM least LEFT JOIN n USING (doc_id)
+"""

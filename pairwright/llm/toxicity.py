@@ -18,7 +18,7 @@ toxic rows among those seen, or 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -94,9 +94,9 @@ def windows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(bounds[:-1], per_text) + nth * WINDOW, first
 
 
-def _by(owner: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Sums of rows by owner."""
-    return np.stack([np.bincount(owner, weights=rows[:, d], minlength=size) for d in range(rows.shape[1])], axis=1)
+def _each(sums: Callable[[np.ndarray], np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """``sums`` of one dimension after the other, so that only one is spread out at a time."""
+    return np.stack([sums(rows[:, d]) for d in range(rows.shape[1])], axis=1)
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
@@ -127,8 +127,8 @@ def fit(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
     memory = [np.full(p.shape, 1e-8) for p in (vectors, softmax, bias)]
     weight = np.where(label == 1, 0.5 / max(label.sum(), 1), 0.5 / max((1 - label).sum(), 1))
     for step in range(STEPS):
-        by_word = np.add.reduceat(vectors[local], word_start)
-        mean = np.add.reduceat(by_word[words.codes], starts) / counts[:, None]
+        by_word = _each(lambda v: np.add.reduceat(v[local], word_start), vectors)
+        mean = _each(lambda v: np.add.reduceat(v[words.codes], starts), by_word) / counts[:, None]
         logits = mean @ softmax + bias
         z = logits[:, 1] - logits[:, 0]
         # of a toxic text first all windows count alike, then more and more the most toxic one;
@@ -140,9 +140,12 @@ def fit(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
         slope = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - label[text_of_window]) * share
         both = np.stack([-slope, slope], axis=1)
         grad_mean = both @ softmax.T / counts[:, None]
-        grad_word = _by(words.codes, np.repeat(grad_mean, ends - starts, axis=0), len(words.distinct))
+        size = len(words.distinct)
+        spread = lambda v: np.bincount(words.codes, weights=np.repeat(v, ends - starts), minlength=size)
+        grad_word = _each(spread, grad_mean)
+        grad_vectors = _each(lambda v: np.bincount(local, weights=v[owner], minlength=len(used)), grad_word)
         grads = (
-            _by(local, grad_word[owner], len(used)) + DECAY * vectors,
+            grad_vectors + DECAY * vectors,
             mean.T @ both,
             both.sum(axis=0),
         )
