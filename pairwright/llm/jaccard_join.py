@@ -373,7 +373,7 @@ def short_lists(sets: DataFrame, rule: Rule) -> DataFrame:
     # written first, so that the join reads two plain shuffles and a common shingle can be split
     lists = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
     lists = landed(lists, "lists")
-    shared = landed(postings.join(lists.hint("shuffle_hash"), "shingle"), "postings")
+    shared = postings.join(lists.hint("shuffle_hash"), "shingle")
     order = Window.partitionBy("node").orderBy("members", "shingle")
     whole = Window.partitionBy("node")
     # of the d + 1 shortest lists, those of the node alone come first
