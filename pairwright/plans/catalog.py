@@ -444,10 +444,9 @@ def record_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def duplicate_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record pair behind the probable duplicates of parts that agree in brand."""
+    """Every record pair behind the probable duplicates of parts."""
     job, records = stand_ins.part_job(), stand_ins.part_records(spark, folder)
-    links = job.links(records).where("lname1 = lname2")
-    return _rounded(pairing.spell_out(links, records, job.id_column, job.block, job.values))
+    return _rounded(pairing.spell_out(job.links(records), records, job.id_column, job.block, job.values))
 
 
 def candidate_preview(spark: SparkSession, folder: str) -> DataFrame:
