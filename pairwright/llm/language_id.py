@@ -1,6 +1,7 @@
 """Language ID: n-grams looked up in bit-sliced Bloom filters of all languages at once.
 
-Each position of the filter holds one bit per language.  The bit-wise and of a
+Each position of the filter holds one bit per language, in as many words of 64
+bits as the languages need.  The bit-wise and of a
 few positions gives all languages that may hold an n-gram.  A document's hits
 per language are counted over the n-grams of its words; a filter that is filled
 to a share ``f`` answers ``f ** hashes`` of foreign n-grams by chance, and the
@@ -8,7 +9,8 @@ counts are corrected for that.  The language with the largest corrected count
 wins; its share of all corrected counts is the score.
 
 The filters are filled from a bounded sample of texts of each language
-(``PER_LANGUAGE``, at most ``LANGUAGES``) with the n-grams at home there.
+(``PER_LANGUAGE``) with the n-grams at home there.  Every language of a row that
+is not held out is learned, however many there are.
 Defined cases: ``und`` with score 0 for a null text or one without a letter, and
 for every text if nothing could be learned; of equal counts the language first
 in the alphabet wins; a text without any known n-gram gets it with score 0.
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,11 @@ from pyspark.sql import functions as F
 
 from pairwright.llm.frames import held_out
 from pairwright.llm.subwords import EDGES, mixed, ngrams
-from pairwright.llm.training import sample
+from pairwright.llm.training import sample_of_every_label
 from pairwright.llm.words import SLICE_BYTES, Words, filled, sizes_in_bytes, white_space_words
 
 PER_LANGUAGE = 400
-LANGUAGES = 64
+WORD_BITS = 64
 POSITIONS = 1 << 21
 HASHES = 2
 HOME = 0.2
@@ -54,23 +57,29 @@ def _positions(hashes: np.ndarray) -> list[np.ndarray]:
     ]
 
 
+def _bit(words: np.ndarray, k: int) -> np.ndarray:
+    """Whether the words that hold language ``k`` have its bit."""
+    return (words >> np.uint64(k % WORD_BITS) & np.uint64(1)).astype(bool)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Languages and the filter: a mask of languages at each position."""
+    """Languages and the filter: at each position a mask of languages, one bit each, in words of 64 bits."""
 
     languages: list[str]
     masks: np.ndarray
 
+    @cached_property
     def false_positives(self) -> np.ndarray:
         """Chance that a language's filter holds an n-gram that was never put in."""
-        fill = [np.count_nonzero(self.masks >> np.uint64(k) & np.uint64(1)) / POSITIONS for k in range(len(self.languages))]
+        fill = [np.count_nonzero(_bit(self.masks[:, k // WORD_BITS], k)) / POSITIONS for k in range(len(self.languages))]
         return np.array(fill) ** HASHES
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
         names: list[str] = []
         scores = np.zeros(len(texts))
-        chance = self.false_positives()
+        chance = self.false_positives
         part = np.cumsum(sizes_in_bytes(texts)) // SLICE_BYTES
         cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -82,16 +91,16 @@ class Model:
         words = text_words(texts)
         count, size = len(self.languages), len(words.distinct)
         hashes, owner = word_ngrams(words.distinct)
-        found = np.full(len(hashes), ~np.uint64(0), dtype=np.uint64)
-        for at in _positions(hashes):
-            found &= self.masks[at]
+        positions = _positions(hashes)
         asked = np.bincount(owner, minlength=size)
         letter = pc.match_substring_regex(words.distinct, r"\pL").to_numpy(zero_copy_only=False)
         sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[words.codes])])[words.bounds])
         n = sums(asked)
         corrected = np.zeros((len(texts), max(count, 1)))
         for k in range(count):
-            hits = np.bincount(owner[(found >> np.uint64(k) & np.uint64(1)).astype(bool)], minlength=size)
+            if k % WORD_BITS == 0:
+                found = np.bitwise_and.reduce([self.masks[at, k // WORD_BITS] for at in positions])
+            hits = np.bincount(owner[_bit(found, k)], minlength=size)
             corrected[:, k] = np.maximum((sums(hits) - n * chance[k]) / (1 - min(chance[k], 0.999)), 0)
         best = corrected.argmax(axis=1)
         total = corrected.sum(axis=1)
@@ -107,7 +116,7 @@ def fit(texts: pa.Array, languages: list[str]) -> Model:
     ``HOME`` of the rate at which the texts of any one language hold it.
     """
     names = sorted(set(languages))
-    masks = np.zeros(POSITIONS, dtype=np.uint64)
+    masks = np.zeros((POSITIONS, max(1, -(-len(names) // WORD_BITS))), dtype=np.uint64)
     of = np.array(languages)
     grams, rates = [], []
     for name in names:
@@ -124,13 +133,13 @@ def fit(texts: pa.Array, languages: list[str]) -> Model:
     bounds = np.cumsum([0, *map(len, grams)])
     for k in range(len(names)):
         for at in _positions(grams[k][at_home[bounds[k] : bounds[k + 1]]]):
-            masks[at] |= np.uint64(1) << np.uint64(k)
+            masks[at, k // WORD_BITS] |= np.uint64(1) << np.uint64(k % WORD_BITS)
     return Model(names, masks)
 
 
 def fit_on(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Filters learned from a bounded sample of documents that are not held out."""
-    rows = sample(docs, docs, F.col("lang"), per_language, LANGUAGES)
+    rows = sample_of_every_label(docs, F.col("lang"), per_language)
     return fit(rows.column("text").combine_chunks(), rows.column("label").to_pylist())
 
 

@@ -18,16 +18,17 @@ from pairwright.llm.frames import held_out
 MOST_CHARACTERS = 200_000
 
 
-def sample_ids(labelled: DataFrame, label: Column, per_class: int, classes: int) -> DataFrame:
-    """At most ``per_class`` ids of each of the ``classes`` most frequent labels: ``doc_id``, ``label``."""
+def sample_ids(labelled: DataFrame, label: Column, per_class: int, classes: int | None) -> DataFrame:
+    """At most ``per_class`` ids of each of the ``classes`` most frequent labels, or of all: ``doc_id``, ``label``."""
     rows = labelled.select("doc_id", label.alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out()
     )
-    known = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(classes).select("label")
+    if classes is not None:
+        known = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(classes).select("label")
+        rows = rows.join(F.broadcast(known), "label")
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     return (
-        rows.join(F.broadcast(known), "label")
-        .withColumn("nth", F.row_number().over(order))
+        rows.withColumn("nth", F.row_number().over(order))
         .where(F.col("nth") <= per_class)
         .select("doc_id", "label")
     )
@@ -50,3 +51,31 @@ def sample(
         .select("text", "label")
         .toArrow()
     )
+
+
+def sample_of_every_label(docs: DataFrame, label: Column, per_class: int, text_column: str = "text") -> pa.Table:
+    """At most ``per_class`` rows of each label of ``docs`` itself, ``text`` and ``label``, however many labels there are.
+
+    A label whose sampled texts are all longer than ``MOST_CHARACTERS`` is
+    learned from their openings, so that none is left out.
+    """
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    ids = sample_ids(docs, label, per_class, None).distinct()
+    found = docs.select("doc_id", label.alias("label"), text.alias("text")).join(F.broadcast(ids), ["doc_id", "label"])
+    of_label = Window.partitionBy("label")
+    return (
+        found.select(
+            "label",
+            (F.char_length("text") > MOST_CHARACTERS).alias("long"),
+            F.xxhash64("doc_id").alias("by_id"),
+            F.xxhash64("text").alias("by_text"),
+            F.substring("text", 1, MOST_CHARACTERS).alias("text"),
+        )
+        .withColumn("nth", F.row_number().over(of_label.orderBy("long", "by_id", "by_text")))
+        .where(F.col("nth") <= per_class)
+        .withColumn("none_short", F.min("long").over(of_label))
+        .where(~F.col("long") | F.col("none_short"))
+        .orderBy("by_id", "by_text", "label")
+        .select("text", "label")
+        .toArrow()
+    )

@@ -83,3 +83,15 @@ def test_texts_without_letters_are_undetermined(documents):
     )]
     got = {r["doc_id"]: r["lang_pred"] for r in language_id.language_id(documents(rows=rows)).collect()}
     assert [got[k] for k in (20, 21, 22, 23, 24)] == ["und", "und", "und", "en", "de"]
+
+
+def test_every_language_is_learned_however_many_there_are(documents):
+    """150 languages with words of their own, the last one with fewer and longer texts than the others."""
+    letters = "abcdefghijklmno"
+    words = [f"{a}{b}{a}{b * 2}{a} {b}{a * 3}{b * 2}{a}" for a in letters for b in letters if a != b][:150]
+    rows = [(150 * n + k, w, f"l{k:03d}", "s", 0) for n in range(10) for k, w in enumerate(words[:149])]
+    rows += [(9000 + n, (words[149] + " ") * 20_000, "l149", "s", 0) for n in range(4)]
+    found = language_id.language_id(documents(rows=rows)).select("doc_id", "lang_pred")
+    got = {r["doc_id"]: r["lang_pred"] for r in found.collect()}
+    assert len(got) == len(rows)
+    assert [(r[0], got[r[0]]) for r in rows if got[r[0]] != r[2]] == []
