@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pairwright.llm.components import components
-from pairwright.llm.frames import landed, text_of, unwrapped, wrapped
+from pairwright.llm.frames import ROW, landed, text_of, unwrapped, wrapped
 from pairwright.llm.subwords import mixed
 from pairwright.llm.words import filled, slices, white_space_words
 
@@ -554,11 +554,11 @@ def linked_nodes(docs: DataFrame, text_column: str, rule: Rule, rows: DataFrame)
 
 
 def least_ids(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """``node`` and ``component_id``, the least ``doc_id`` of its component's rows."""
+    """``node``, ``label`` of its component and ``component_id``, the least ``doc_id`` of the component's rows."""
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("low"))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     low = named.groupBy("label").agg(F.min("low").alias("component_id"))
-    return named.join(low, "label").select("node", "component_id")
+    return named.join(low, "label").select("node", "label", "component_id")
 
 
 def jaccard_join(
@@ -574,19 +574,20 @@ def jaccard_join(
 
 
 def one_of_each(docs: DataFrame, rule: Rule, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the least id of their component, one of each, with their own columns.
+    """One row of ``docs`` of each component, with its own columns: that of the least id, then least node and text key.
 
-    Documents without words stay.
+    A null id counts only where its component has no other.  Documents without words stay.
     """
     rows = landed(text_nodes(docs, id_column, text_column, rule), "nodes")
     low = least_ids(rows, linked_nodes(docs, text_column, rule, rows))
     keys = rows.where(F.col("node").isNotNull()).select("text_key", "node").distinct()
-    first = keys.join(low, "node").select("text_key", "node", "component_id")
+    first = keys.join(low, "node").select("text_key", "node", "label", "component_id")
     packed = wrapped(docs, doc_id=F.col(f"`{id_column}`"), text_key=F.unhex(F.md5(text_of(text_column))))
     joined = packed.join(first, "text_key", "left")
-    bare = joined.where(F.col("node").isNull())
-    chosen = joined.where(F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return unwrapped(bare.unionByName(chosen.dropDuplicates(["component_id", "node"])), docs.columns)
+    bare = joined.where(F.col("node").isNull()).select(ROW)
+    least = joined.where(F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = least.groupBy("label").agg(F.min_by(ROW, F.struct("node", "text_key")).alias(ROW)).select(ROW)
+    return unwrapped(bare.unionByName(chosen), docs.columns)
 
 
 ORACLE = r"""

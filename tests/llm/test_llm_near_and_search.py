@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pairwright.llm import jaccard_join, repeats, top_k
 from pairwright.llm.components import components
 
@@ -93,6 +94,28 @@ def test_one_of_each_component_stays(documents, edge_rows):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, n, c in found if n} | set(bare))
 
 
+@pytest.mark.parametrize("rule", [jaccard_join.Rule(), corpus_pipeline.NEAR])
+def test_one_row_of_each_group_stays_when_ids_are_null_or_repeat(documents, edge_rows, rule):
+    rng = random.Random(9)
+    rows = edge_rows + [(1000 + k, *r) for k, *r in near_rows()]
+    for ids in ([None] * 4, [50] * 4, [None, 61, 60, None, 60], [70]):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(120)]
+        texts = [" ".join(words[: 120 - k]) for k in range(len(ids))]
+        rows += [(i, t, "en", "s", len(t)) for i, t in zip(ids, texts, strict=True)]
+    # Brute force by place in the list, so that null and repeated ids stay apart.
+    numbered = [(k, *r[1:]) for k, r in enumerate(rows)]
+    groups = {}
+    for k, n, component in expected_components(numbered, rule):
+        groups.setdefault(component if n else ("bare", k), []).append(k)
+    want = [min((rows[k][0] for k in g if rows[k][0] is not None), default=None) for g in groups.values()]
+    kept = jaccard_join.one_of_each(documents(rows=rows), rule).select("doc_id", "text").collect()
+    assert sorted(map(str, want)) == sorted(str(r["doc_id"]) for r in kept)
+    place = {(r[0], r[1]): k for k, r in enumerate(rows)}
+    group_of = {k: c for c, g in groups.items() for k in g if not isinstance(c, tuple)}
+    found = [group_of[place[r["doc_id"], r["text"]]] for r in kept if place[r["doc_id"], r["text"]] in group_of]
+    assert len(found) == len(set(found)) == len(set(group_of.values()))
+
+
 def test_sketches_never_overrate_a_difference():
     rng = np.random.default_rng(1)
     for n in (5, 60, 300, 2000):
