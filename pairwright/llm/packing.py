@@ -1,7 +1,7 @@
 """Packing: documents cut into pieces, pieces dealt to token windows by differencing.
 
 A document's ids end with one closing id.  Whole windows of them are cut off
-first; what is left is cut into pieces of at most ``piece`` ids.  The pieces are
+first, each a sequence of its own that no group sees; what is left is cut into pieces of at most ``piece`` ids.  The pieces are
 dealt at random to groups of bounded size, and each group is packed by
 Karmarkar-Karp differencing into as many windows as its ids need: partial
 partitions are merged, the two with the largest spread first, so that the fuller
@@ -39,6 +39,8 @@ from pairwright.llm.words import filled, slices
 CAPACITY = 2048
 PIECE = 512
 GROUP_PIECES = 1024
+# Sequences that are one whole window are numbered from here, those of the groups below.
+WHOLE_IDS = 1 << 62
 CLOSING_ID = 1
 
 
@@ -153,8 +155,8 @@ def packing(
 ) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
     found = landed(pieces(docs, tokenizer_path, id_column, text_column, capacity, piece), "pieces")
-    partial = found.where(F.col("length") < capacity).count()
-    groups = max(1, -(-partial // group_pieces))
+    partial = found.where(F.col("length") < capacity)
+    groups = max(1, -(-partial.count() // group_pieces))
     carried = [f for f in found.schema if f.name != "salt"]
     names = [f.name for f in carried]
     schema = T.StructType(
@@ -164,11 +166,7 @@ def packing(
 
     def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         length = rows.column("length").to_numpy()
-        window = np.empty(len(length), dtype=np.int64)
-        part = length < capacity
-        window[part] = pack_group(length[part], capacity)
-        used = int(window[part].max()) + 1 if part.any() else 0
-        window[~part] = used + np.arange(int((~part).sum()))
+        window = pack_group(length, capacity)
         order = np.argsort(window, kind="stable")
         rows, window, length = rows.take(pa.array(order)), window[order], length[order]
         end = np.cumsum(length)
@@ -178,5 +176,10 @@ def packing(
         out = rows.select(names)
         return out.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    grouped = found.withColumn("pack_group", F.pmod(F.col("salt"), F.lit(groups)))
-    return grouped.groupBy("pack_group").applyInArrow(pack, schema)
+    grouped = partial.withColumn("pack_group", F.pmod(F.col("salt"), F.lit(groups)))
+    whole = found.where(F.col("length") >= capacity).select(
+        *names,
+        (F.lit(WHOLE_IDS) + F.monotonically_increasing_id()).alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"),
+    )
+    return grouped.groupBy("pack_group").applyInArrow(pack, schema).unionByName(whole)

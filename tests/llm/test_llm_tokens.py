@@ -107,3 +107,17 @@ def test_every_id_lies_in_one_piece(documents, edge_rows):
             by_doc[(doc_id, len(ids))].remove(piece)
     assert not any(by_doc.values())
     assert packing.packing(documents(), BYTES).count() == 0
+
+
+def test_whole_windows_stay_out_of_the_groups(documents):
+    long = " ".join(f"word{k % 977}" for k in range(20_000))
+    got = packing.packing(documents([long, "short", None, long + " end"]), BYTES).collect()
+    whole = [r for r in got if r["length"] == packing.CAPACITY]
+    assert len(whole) > 20
+    assert all(r["sequence_id"] >= packing.WHOLE_IDS and r["offset"] == 0 for r in whole)
+    assert len({r["sequence_id"] for r in whole}) == len(whole)
+    assert all(r["sequence_id"] < packing.WHOLE_IDS for r in got if r["length"] < packing.CAPACITY)
+    for k in range(4):
+        of_doc = sorted((r["start"], r["length"], r["doc_tokens"]) for r in got if r["doc_id"] == k)
+        ends = [s + n for s, n, _ in of_doc]
+        assert [s for s, *_ in of_doc] == [0, *ends[:-1]] and ends[-1] == of_doc[0][2]
