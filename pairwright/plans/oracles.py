@@ -309,7 +309,7 @@ ORACLES: dict[str, str] = {
     "record_profiles": f"WITH {RECORDS}, {PROFILES} SELECT cust_id, profile FROM tagged",
     "duplicate_records": f"""WITH {RECORDS}, {RECORD_PAIRS}
         SELECT * FROM (SELECT cust_id1, cust_id2, fname1 AS fname, lname1, lname2, address1, address2, {_scores(*PAIR_VALUES)}
-          FROM pairs WHERE lname1 = lname2)
+          FROM pairs)
         WHERE fname_soundex >= 0.4 AND fname_fuzzy >= 0.4 AND lname_fuzzy >= 0.4 AND address_fuzzy >= 0.4""",
     "candidate_preview": f"""WITH {RECORDS}, {RECORD_PAIRS}
         SELECT * FROM pairs ORDER BY cust_id1 || '-' || cust_id2 LIMIT 10""",
