@@ -20,9 +20,29 @@ def landed(df: DataFrame, purpose: str) -> DataFrame:
 
     A lost executor then costs a read of these files, never the work before.
     """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch().landed(df, purpose)
+
+
+class Scratch:
+    """Tables written on the way to a result, removed when all that is made of them is written itself."""
+
+    def __init__(self) -> None:
+        self.written: list[tuple[SparkSession, str]] = []
+
+    def landed(self, df: DataFrame, purpose: str) -> DataFrame:
+        """As :func:`landed`."""
+        spark = df.sparkSession
+        path = shared_folder(spark, purpose)
+        df.write.parquet(path)
+        self.written.append((spark, path))
+        return spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Remove the tables, through the file system that Spark wrote them with."""
+        for spark, path in self.written:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.written = []
 
 
 def held_out(id_column: str = "doc_id") -> Column:

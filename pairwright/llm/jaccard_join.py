@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pairwright.llm.components import components
-from pairwright.llm.frames import ROW, landed, text_of, unwrapped, wrapped
+from pairwright.llm.frames import Scratch, landed, text_of, unwrapped, wrapped
 from pairwright.llm.subwords import mixed
 from pairwright.llm.words import filled, slices, white_space_words
 
@@ -55,6 +55,8 @@ SHINGLED_BYTES = 2 << 20
 RANGE_SHINGLES = 500_000
 TOGETHER = 2_000
 PART = 1_024
+# A text holds a word where this matches.
+WORD = r"[^\x20\x09-\x0D]"
 
 
 @dataclass(frozen=True)
@@ -354,7 +356,7 @@ def folded(sketches: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
 
 
-def short_lists(sets: DataFrame, rule: Rule) -> DataFrame:
+def short_lists(sets: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     """Cells: members of the lists that some node cannot skip.
 
     Columns ``shingle, i, j, side, node, n, short, sketch``; side 0 is the part
@@ -366,13 +368,13 @@ def short_lists(sets: DataFrame, rule: Rule) -> DataFrame:
         for column in batches:
             yield pa.array([sketch(s).tobytes() for s in _lists(column)], pa.binary())
 
-    nodes = landed(
+    nodes = scratch.landed(
         sets.select("node", F.size("shingles").cast("long").alias("n"), sketched("shingles").alias("sketch")), "sketches"
     )
     postings = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     # written first, so that the join reads two plain shuffles and a common shingle can be split
     lists = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
-    lists = landed(lists, "lists")
+    lists = scratch.landed(lists, "lists")
     shared = postings.join(lists.hint("shuffle_hash"), "shingle")
     order = Window.partitionBy("node").orderBy("members", "shingle")
     whole = Window.partitionBy("node")
@@ -380,7 +382,7 @@ def short_lists(sets: DataFrame, rule: Rule) -> DataFrame:
     alone = F.col("n") - F.count(F.lit(1)).over(whole)
     lacks = F.floor(F.col("n") * (100 - rule.percent) / 100)
     ranked = shared.withColumn("short", F.row_number().over(order) <= lacks + 1 - alone)
-    ranked = landed(ranked.select("shingle", "node", "members", "short"), "ranked")
+    ranked = scratch.landed(ranked.select("shingle", "node", "members", "short"), "ranked")
     wanted = ranked.where("short").select("shingle").distinct()
     members = ranked.join(wanted.hint("shuffle_hash"), "shingle", "left_semi").join(nodes, "node")
     parts = F.ceil(F.col("members") / PART).cast("int")
@@ -541,15 +543,19 @@ def links(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 def linked_nodes(docs: DataFrame, text_column: str, rule: Rule, rows: DataFrame) -> DataFrame:
     """``node`` and ``label`` of the nodes that are linked with another."""
-    maybe = landed(candidates_by_first(rows, rule), "maybe")
-    sets = landed(whole_sets(docs, text_column, rule, rows, maybe), "sets")
-    likely = landed(candidates_by_all(sets, rule), "likely")
-    sets = landed(sets.join(likely, "node", "left_semi"), "sets")
-    cells = landed(short_lists(sets, rule), "cells")
+    early, late = Scratch(), Scratch()
+    maybe = early.landed(candidates_by_first(rows, rule), "maybe")
+    all_sets = early.landed(whole_sets(docs, text_column, rule, rows, maybe), "sets")
+    likely = early.landed(candidates_by_all(all_sets, rule), "likely")
+    sets = late.landed(all_sets.join(likely, "node", "left_semi"), "sets")
+    early.clear()
+    cells = late.landed(short_lists(sets, rule, early), "cells")
+    early.clear()
     found = landed(links(close_pairs(cells, rule, forest=True), sets, rule), "links")
     labels = components(found)
     named = cells.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     across = landed(links(close_pairs(named, rule, forest=False), sets, rule), "links")
+    late.clear()
     return components(found.unionByName(across)) if not across.isEmpty() else labels
 
 
@@ -580,14 +586,27 @@ def one_of_each(docs: DataFrame, rule: Rule, id_column: str = "doc_id", text_col
     """
     rows = landed(text_nodes(docs, id_column, text_column, rule), "nodes")
     low = least_ids(rows, linked_nodes(docs, text_column, rule, rows))
-    keys = rows.where(F.col("node").isNotNull()).select("text_key", "node").distinct()
-    first = keys.join(low, "node").select("text_key", "node", "label", "component_id")
-    packed = wrapped(docs, doc_id=F.col(f"`{id_column}`"), text_key=F.unhex(F.md5(text_of(text_column))))
-    joined = packed.join(first, "text_key", "left")
-    bare = joined.where(F.col("node").isNull()).select(ROW)
-    least = joined.where(F.col("node").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = least.groupBy("label").agg(F.min_by(ROW, F.struct("node", "text_key")).alias(ROW)).select(ROW)
-    return unwrapped(bare.unionByName(chosen), docs.columns)
+    # chosen among narrow rows, so that texts move once
+    named = rows.where(F.col("node").isNotNull()).select("doc_id", "text_key", "node").join(low, "node")
+    least = named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stays = least.groupBy("label").agg(
+        F.min_by(F.struct("doc_id", "text_key"), F.struct("node", "text_key")).alias("key"),
+    )
+    stays = stays.join(_repeated(least), F.col("key.text_key") == F.col("again"), "left")
+    stays = landed(stays.select("key.doc_id", "key.text_key", F.col("again").isNotNull().alias("repeated")), "stays")
+    text = text_of(text_column)
+    bare = wrapped(docs.where(~text.rlike(WORD)))
+    packed = wrapped(docs, _id=F.col(f"`{id_column}`"), _key=F.unhex(F.md5(text)))
+    kept = packed.join(stays, (F.col("_key") == F.col("text_key")) & F.col("_id").eqNullSafe(F.col("doc_id")))
+    alone = kept.where(~F.col("repeated"))
+    one = kept.where("repeated").dropDuplicates(["_key"])
+    return unwrapped(bare.unionByName(alone.select("row")).unionByName(one.select("row")), docs.columns)
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """``again``: keys of the texts that several rows have under one id."""
+    counted = rows.groupBy("text_key", "doc_id").agg(F.count(F.lit(1)).alias("times"))
+    return counted.where(F.col("times") > 1).select(F.col("text_key").alias("again")).distinct()
 
 
 ORACLE = r"""
