@@ -9,12 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import exact_dedup, jaccard_join, language_id, packing, piece_ids, quality, repeats, secret_scan, top_k, toxicity
+from pairwright.llm import byte_pairs, exact_dedup, jaccard_join, language_id, packing, piece_ids, quality, repeats, secret_scan, top_k, toxicity
 from pairwright.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -68,6 +69,11 @@ def op10_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_ids.piece_ids(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded bytes of every text of ``documents``, by ranks."""
+    return byte_pairs.byte_pairs(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_secret_scan": op2_secret_scan,
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeats": op8_repeats,
     "op9_toxicity": op9_toxicity,
     "op10_piece_ids": op10_piece_ids,
+    "op13_byte_pairs": op13_byte_pairs,
     "pipeline": corpus_pipeline.run,
 }
 
