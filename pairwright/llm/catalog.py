@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import byte_pairs, exact_dedup, jaccard_join, language_id, packing, piece_ids, quality, repeats, secret_scan, top_k, toxicity
+from pairwright.llm import byte_pairs, exact_dedup, jaccard_join, language_id, merkle, packing, piece_ids, quality, repeats, secret_scan, top_k, toxicity
 from pairwright.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,11 @@ def op10_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_ids.piece_ids(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all ``documents`` against their manifest, some rows tampered with."""
+    return merkle.checked_copy(table(spark, sf_dir, "documents"))
+
+
 def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every text of ``documents``, by ranks."""
     return byte_pairs.byte_pairs(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeats": op8_repeats,
     "op9_toxicity": op9_toxicity,
     "op10_piece_ids": op10_piece_ids,
+    "op11_merkle": op11_merkle,
     "op13_byte_pairs": op13_byte_pairs,
     "pipeline": corpus_pipeline.run,
 }
@@ -95,4 +101,5 @@ ORACLES: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op7_top_k": top_k.ORACLE,
     "op8_repeats": repeats.ORACLE,
+    "op11_merkle": merkle.ORACLE,
 }
