@@ -57,6 +57,15 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(value[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
 
 
+def token_bytes(path: str) -> dict[int, bytes]:
+    """The bytes of every token but the special ones, by id."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    special = {t["content"] for t in described["added_tokens"]}
+    value = {letter: b for b, letter in _byte_letters().items()}
+    return {i: bytes(value[c] for c in token) for token, i in described["model"]["vocab"].items() if token not in special}
+
+
 class ByteIds:
     """Encodes texts; ids of chunks seen before come from memory of bounded size."""
 
@@ -81,13 +90,14 @@ class ByteIds:
             self.chunks[chunk] = found
         return found
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text."""
+    def encode(self, texts: pa.Array, after_space: bool = False) -> list[np.ndarray]:
+        """Ids of each text, or of each text with a space before it."""
         words = space_words(texts)
         codes, bounds = words.codes.astype(np.int64), words.bounds
         distinct = words.distinct.to_pylist()
         firsts = words.distinct.take(pa.array(codes[bounds[:-1]])).dictionary_encode()
-        codes[bounds[:-1]] = len(distinct) + firsts.indices.to_numpy(zero_copy_only=False)
+        if not after_space:
+            codes[bounds[:-1]] = len(distinct) + firsts.indices.to_numpy(zero_copy_only=False)
         spelled = [self.chunk(" " + w) for w in distinct] + [self.chunk(w) for w in firsts.dictionary.to_pylist()]
         lengths = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
         starts = np.cumsum(lengths) - lengths
@@ -97,7 +107,7 @@ class ByteIds:
         # neighbouring, leading or trailing spaces: cut by pattern instead
         empty = np.array([w == "" for w in distinct] + [w == "" for w in firsts.dictionary.to_pylist()])
         odd = np.add.reduceat(empty[codes], bounds[:-1]) > 0 if len(codes) else []
-        for k in np.flatnonzero(odd & (sizes_in_bytes(texts) > 0)):
-            chunks = CHUNKS.findall(texts[int(k)].as_py())
+        for k in np.flatnonzero(odd & (sizes_in_bytes(texts) + after_space > 0)):
+            chunks = CHUNKS.findall(" " * after_space + texts[int(k)].as_py())
             out[k] = np.frombuffer(b"".join(map(self.chunk, chunks)), dtype="<u4")
         return out

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairwright.llm import byte_pairs, exact_dedup, jaccard_join, language_id, merkle, packing, piece_ids, quality, repeats, secret_scan, top_k, toxicity
+from pairwright.llm import alignment, byte_pairs, exact_dedup, jaccard_join, language_id, merkle, packing, piece_ids, quality, repeats, secret_scan, top_k, toxicity
 from pairwright.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.checked_copy(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two vocabularies that end together, in every text of ``documents``."""
+    return alignment.alignment(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL)
+
+
 def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every text of ``documents``, by ranks."""
     return byte_pairs.byte_pairs(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_piece_ids": op10_piece_ids,
     "op11_merkle": op11_merkle,
+    "op12_alignment": op12_alignment,
     "op13_byte_pairs": op13_byte_pairs,
     "pipeline": corpus_pipeline.run,
 }
