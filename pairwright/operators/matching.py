@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.operators import pairing
+from pairwright.operators import pairing, segments
 from pairwright.operators.estimates import all_known
 from pairwright.operators.scoring import METRICS, Comparison, filter_scores, prepared_name, score_pairs
 from pairwright.session import ensure_checkpoint_dir
@@ -93,6 +93,23 @@ class Matching:
         """Pairs of profiles, sides not settled."""
         return pairing.meet_profiles(groups, self.block, self.carried, self.constants, self.slot_rows)
 
+    def meet_likely(self, groups: DataFrame) -> DataFrame:
+        """Pairs of profiles, without most of those that cannot reach the minimums.
+
+        Where an edit score has a high minimum, only values that share a segment meet.
+        """
+        high = [
+            (self.minimums[c.alias], c.column)
+            for c in self.compare
+            if c.metric == "fuzzy" and c.column not in self.block and self.minimums.get(c.alias, 0) >= segments.LEAST_MINIMUM
+        ]
+        if not high:
+            return self.meet(groups)
+        minimum, column = max(high)
+        return segments.meet_by_segments(
+            groups, self.block, self.carried, column, minimum, self.constants, self.slot_rows
+        )
+
     def score(self, pairs: DataFrame) -> DataFrame:
         """All scores, nothing filtered."""
         return self._tidy(score_pairs(pairs, self.comparisons))
@@ -115,7 +132,7 @@ class Matching:
 
     def links(self, records: DataFrame) -> DataFrame:
         """The profile pairs that are probable duplicates."""
-        met = self.meet(self.qualifying_profiles(records))
+        met = self.meet_likely(self.qualifying_profiles(records))
         return pairing.in_id_order(self.qualify(met), self.values)
 
     def record_profiles(self, records: DataFrame) -> DataFrame:
