@@ -47,6 +47,12 @@ def words(value: Column) -> Column:
     return F.regexp_extract_all(value, F.lit(r"\w+"), F.lit(0))
 
 
+def word_jaccard_similarity(left: Column, right: Column) -> Column:
+    """Shared over all words, as sets; null when neither side has words."""
+    shared = F.size(F.array_intersect(words(left), words(right))).cast("double")
+    return F.try_divide(shared, F.size(F.array_union(words(left), words(right))).cast("double"))
+
+
 def cosine_similarity(left: Column, right: Column) -> Column:
     """Cosine of the two word-count vectors.
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairwright.operators import pairing, segments
+from pairwright.operators import pairing, segments, token_sets
 from pairwright.operators.estimates import all_known
 from pairwright.operators.scoring import METRICS, Comparison, filter_scores, prepared_name, score_pairs
 from pairwright.session import ensure_checkpoint_dir
@@ -96,19 +96,23 @@ class Matching:
     def meet_likely(self, groups: DataFrame) -> DataFrame:
         """Pairs of profiles, without most of those that cannot reach the minimums.
 
-        Where an edit score has a high minimum, only values that share a segment meet.
+        Where an edit score has a high minimum, only values that share a segment
+        meet; where a score of token sets has one, only sets that share a rare token.
         """
-        high = [
-            (self.minimums[c.alias], c.column)
-            for c in self.compare
-            if c.metric == "fuzzy" and c.column not in self.block and self.minimums.get(c.alias, 0) >= segments.LEAST_MINIMUM
-        ]
-        if not high:
-            return self.meet(groups)
-        minimum, column = max(high)
-        return segments.meet_by_segments(
-            groups, self.block, self.carried, column, minimum, self.constants, self.slot_rows
-        )
+        limited = [(self.minimums[c.alias], c) for c in self.compare if c.column not in self.block and c.alias in self.minimums]
+        edits = [(m, c.column) for m, c in limited if c.metric == "fuzzy" and m >= segments.LEAST_MINIMUM]
+        if edits:
+            minimum, column = max(edits)
+            return segments.meet_by_segments(
+                groups, self.block, self.carried, column, minimum, self.constants, self.slot_rows
+            )
+        sets = [(m, c.column, c.metric) for m, c in limited if METRICS[c.metric].tokens and m > 0]
+        if sets:
+            minimum, column, metric = max(sets)
+            return token_sets.meet_by_tokens(
+                groups, self.block, self.carried, column, METRICS[metric].tokens, minimum, self.constants, self.slot_rows
+            )
+        return self.meet(groups)
 
     def score(self, pairs: DataFrame) -> DataFrame:
         """All scores, nothing filtered."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.functions import similarity, text
+from pairwright.operators.token_sets import TokenMetric
 
 
 @dataclass(frozen=True)
@@ -21,15 +22,18 @@ class StringMetric:
     bound: Callable[[Column, Column], Column] | None = None  # cheap upper bound
     same: Callable[[Column], Column] | None = None  # score of a value with itself
     strict: bool = True  # null on a null side
+    tokens: TokenMetric | None = None  # what pairs over a minimum must share
+
 
 METRICS: dict[str, StringMetric] = {
     "fuzzy": StringMetric(text.edit_score, bound=text.edit_score_bound, same=text.edit_score_same),
     "soundex": StringMetric(text.edit_score, prepare=text.soundex, same=text.edit_score_same),
     "levenshtein": StringMetric(similarity.levenshtein_distance),
     "hamming": StringMetric(similarity.hamming_distance),
-    "jaccard_similarity": StringMetric(similarity.jaccard_similarity),
+    "jaccard_similarity": StringMetric(similarity.jaccard_similarity, tokens=TokenMetric(similarity.characters, False)),
     "jaccard_distance": StringMetric(similarity.jaccard_distance),
-    "cosine_similarity": StringMetric(similarity.cosine_similarity),
+    "cosine_similarity": StringMetric(similarity.cosine_similarity, tokens=TokenMetric(similarity.words, True)),
+    "word_jaccard_similarity": StringMetric(similarity.word_jaccard_similarity, tokens=TokenMetric(similarity.words, False)),
     "cosine_distance": StringMetric(similarity.cosine_distance),
     "jaro_winkler_similarity": StringMetric(similarity.jaro_winkler_similarity, arrow=True),
     "jaro_winkler_distance": StringMetric(similarity.jaro_winkler_distance, arrow=True),
