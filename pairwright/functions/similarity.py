@@ -181,6 +181,49 @@ def ratio_bound(left: Column, right: Column) -> Column:
     return ratio_from_lcs(left, right, F.least(F.length(left), F.length(right)))
 
 
+# Counts in a letter signature; characters that share one only loosen its bounds.
+LETTERS = 32
+
+
+def letter_counts(value: Column) -> Column:
+    """How many characters of a string fall to each of ``LETTERS`` counts."""
+    places = F.transform(characters(value), lambda ch: F.pmod(F.ascii(ch), F.lit(LETTERS)))
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(LETTERS - 1)), lambda k: F.size(F.filter(places, lambda place: place == k))
+    )
+
+
+def common_letters(left: Column, right: Column) -> Column:
+    """The most characters that two strings can have in common, whatever their order, from their signatures."""
+    least = F.zip_with(left, right, lambda a, b: F.least(a, b))
+    return F.aggregate(least, F.lit(0), lambda total, n: total + n)
+
+
+def jaro_winkler_bound(left: Column, right: Column, common: Column) -> Column:
+    """An upper bound of Jaro-Winkler: all common letters match and none is out of order."""
+    shared = common.cast("double")
+    jaro = (shared / F.length(left) + shared / F.length(right) + F.lit(1.0)) / F.lit(3.0)
+    starts = [F.substring(left, 1, k) == F.substring(right, 1, k) for k in (1, 2, 3, 4)]
+    longest = [F.least(F.length(left), F.length(right)) >= k for k in (1, 2, 3, 4)]
+    prefix = sum((F.when(same & long, 1).otherwise(0) for same, long in zip(starts, longest, strict=True)), F.lit(0))
+    boosted = jaro + F.lit(0.1) * prefix * (F.lit(1.0) - jaro) + F.lit(1e-12)
+    bound = F.when(common == 0, F.lit(0.0)).when(jaro < 0.7, jaro + F.lit(1e-12)).otherwise(boosted)
+    return F.when(left == right, F.lit(1.0)).when(F.least(F.length(left), F.length(right)) == 0, F.lit(0.0)).otherwise(bound)
+
+
+def ratio_letter_bound(left: Column, right: Column, common: Column) -> Column:
+    """An upper bound of :func:`ratio` from the common letters."""
+    return ratio_from_lcs(left, right, common)
+
+
+def partial_ratio_bound(left: Column, right: Column, common: Column) -> Column:
+    """An upper bound of :func:`partial_ratio`: a window has no more of the shorter text's letters than the longer text."""
+    short = F.least(F.length(left), F.length(right))
+    share = F.try_divide(common.cast("double"), short.cast("double"))
+    known = left.isNotNull() & right.isNotNull()
+    return F.when(known & (left == right), F.lit(100)).when(known, F.bround(F.lit(100.0) * F.coalesce(share, F.lit(1.0))).cast("int")).otherwise(F.lit(0))
+
+
 def partial_ratio(left: Column, right: Column) -> Column:
     """Best ratio of the shorter text with equally long windows of the longer."""
     return F.coalesce(arrow_metrics.best_window_ratio(left, right), F.lit(0))

@@ -118,7 +118,7 @@ def _leads_with_partners(known: DataFrame, job: Matching, count: int) -> DataFra
         )
     )
     groups = job.qualifying_profiles(known)
-    links = job.qualify(job.meet(groups)).select(ends.alias("end"))
+    links = job.qualify(job.meet_likely(groups)).select(ends.alias("end"))
     reach = links.groupBy("end.profile").agg(F.max("end.reach").alias("reach"))
     names = [*job.block, *job.values]
     reaching = groups.join(reach, "profile").select(*(F.col(c).alias(f"_{c}") for c in names), "reach")

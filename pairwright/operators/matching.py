@@ -8,9 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairwright.functions.similarity import letter_counts
 from pairwright.operators import pairing, segments, token_sets
 from pairwright.operators.estimates import all_known
-from pairwright.operators.scoring import METRICS, Comparison, filter_scores, prepared_name, score_pairs
+from pairwright.operators.scoring import METRICS, Comparison, filter_scores, letters_name, prepared_name, score_pairs
 from pairwright.session import ensure_checkpoint_dir
 
 
@@ -42,11 +43,25 @@ class Matching:
     def _prepared(self) -> list[Compare]:
         return [c for c in self.compare if c.column not in self.block and self._comparison(c).definition.prepare]
 
+    @property
+    def _lettered(self) -> list[Compare]:
+        """What is compared by letters before it is scored."""
+        return [
+            c
+            for c in self.compare
+            if c.column not in self.block and c.alias in self.minimums and METRICS[c.metric].letter_bound
+        ]
+
+    @property
+    def _ready(self) -> list[str]:
+        """Names of what is prepared once per profile."""
+        names = [prepared_name(c.column, c.metric) for c in self._prepared]
+        return list(dict.fromkeys([*names, *(letters_name(c.column, c.metric) for c in self._lettered)]))
+
     @property
     def carried(self) -> list[str]:
         """Compared columns and what was prepared from them."""
-        ready = [prepared_name(c.column, c.metric) for c in self._prepared]
-        return [*self.values, *dict.fromkeys(ready)]
+        return [*self.values, *self._ready]
 
     @property
     def constants(self) -> list[str]:
@@ -69,7 +84,12 @@ class Matching:
             for c in self._prepared
         }
         fixed = {c.alias: self._comparison(c).score() for c in self.compare if c.column in self.block}
-        return frame.withColumns({**ready, **fixed}) if ready or fixed else frame
+        frame = frame.withColumns({**ready, **fixed}) if ready or fixed else frame
+        letters = {}
+        for c in self._lettered:
+            name = prepared_name(c.column, c.metric)
+            letters[letters_name(c.column, c.metric)] = letter_counts(F.col(name if name in frame.columns else c.column))
+        return frame.withColumns(letters) if letters else frame
 
     def possible(self, prepared: DataFrame) -> DataFrame:
         """What one record alone does not rule out.
@@ -123,8 +143,7 @@ class Matching:
         return self._tidy(score_pairs(pairs, self.comparisons, self.minimums))
 
     def _tidy(self, scored: DataFrame) -> DataFrame:
-        ready = {prepared_name(c.column, c.metric) for c in self._prepared}
-        return scored.drop(*(f"{name}{side}" for name in ready for side in (1, 2)))
+        return scored.drop(*(f"{name}{side}" for name in self._ready for side in (1, 2)))
 
     def candidates(self, records: DataFrame) -> DataFrame:
         """Candidate pairs by profile, with the number of record pairs each."""

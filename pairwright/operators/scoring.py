@@ -20,6 +20,7 @@ class StringMetric:
     prepare: Callable[[Column], Column] | None = None  # per value, before comparing
     arrow: bool = False  # runs in Python workers, after all else
     bound: Callable[[Column, Column], Column] | None = None  # cheap upper bound
+    letter_bound: Callable[[Column, Column, Column], Column] | None = None  # a closer one, from the common letters
     same: Callable[[Column], Column] | None = None  # score of a value with itself
     strict: bool = True  # null on a null side
     tokens: TokenMetric | None = None  # what pairs over a minimum must share
@@ -35,18 +36,29 @@ METRICS: dict[str, StringMetric] = {
     "cosine_similarity": StringMetric(similarity.cosine_similarity, tokens=TokenMetric(similarity.words, True)),
     "word_jaccard_similarity": StringMetric(similarity.word_jaccard_similarity, tokens=TokenMetric(similarity.words, False)),
     "cosine_distance": StringMetric(similarity.cosine_distance),
-    "jaro_winkler_similarity": StringMetric(similarity.jaro_winkler_similarity, arrow=True),
+    "jaro_winkler_similarity": StringMetric(
+        similarity.jaro_winkler_similarity, arrow=True, letter_bound=similarity.jaro_winkler_bound
+    ),
     "jaro_winkler_distance": StringMetric(similarity.jaro_winkler_distance, arrow=True),
-    "lcs_length": StringMetric(similarity.lcs_length, arrow=True),
+    "lcs_length": StringMetric(similarity.lcs_length, arrow=True, letter_bound=lambda left, right, common: common),
     "lcs_distance": StringMetric(similarity.lcs_distance, arrow=True),
     "fuzzy_subsequence_score": StringMetric(similarity.fuzzy_subsequence_score),
-    "ratio": StringMetric(similarity.ratio, arrow=True, bound=similarity.ratio_bound, strict=False),
-    "partial_ratio": StringMetric(similarity.partial_ratio, arrow=True, strict=False),
+    "ratio": StringMetric(
+        similarity.ratio,
+        arrow=True,
+        bound=similarity.ratio_bound,
+        letter_bound=similarity.ratio_letter_bound,
+        strict=False,
+    ),
+    "partial_ratio": StringMetric(
+        similarity.partial_ratio, arrow=True, letter_bound=similarity.partial_ratio_bound, strict=False
+    ),
     "token_sort_ratio": StringMetric(
         similarity.ratio,
         prepare=similarity.sorted_token_text,
         arrow=True,
         bound=similarity.ratio_bound,
+        letter_bound=similarity.ratio_letter_bound,
         strict=False,
     ),
 }
@@ -88,11 +100,42 @@ class Comparison:
         )
 
 
+    def letter_bound(self, present: Sequence[str] = ()) -> Column | None:
+        """The closer bound; letter signatures are taken from the frame where it holds them."""
+        if self.definition.letter_bound is None:
+            return None
+        sides = [self.operand(c, present) for c in (self.left, self.right)]
+        names = [letters_name(c, self.metric) for c in (self.left, self.right)]
+        counts = [
+            F.col(n) if n in present else similarity.letter_counts(side) for n, side in zip(names, sides, strict=True)
+        ]
+        return self.definition.letter_bound(*sides, similarity.common_letters(*counts))
+
+
+def letters_name(column: str, metric: str) -> str:
+    """The column that holds the letter signature of a value prepared for a metric."""
+    return f"_letters_{metric}_{column}"
+
+
 def prepared_name(column: str, metric: str) -> str:
     """The column that holds a value prepared for a metric ahead of pairing."""
     return f"_{metric}_{column}"
 
 
+def possible_pairs(
+    pairs: DataFrame, comparisons: Sequence[Comparison], minimums: Mapping[str, float]
+) -> DataFrame:
+    """The pairs that the bounds do not rule out, lengths first and common letters then."""
+    present = pairs.columns
+    limited = [c for c in comparisons if c.alias in minimums and c.alias not in present]
+    for bounds in (Comparison.bound, Comparison.letter_bound):
+        for c in limited:
+            bound = bounds(c, present)
+            if bound is not None:
+                pairs = pairs.where(bound >= F.lit(minimums[c.alias]))
+    return pairs
+
+
 def score_pairs(
     pairs: DataFrame,
     comparisons: Sequence[Comparison],
@@ -100,7 +143,7 @@ def score_pairs(
 ) -> DataFrame:
     """Add one score column per comparison; optionally keep only high scores.
 
-    With minimums, length bounds drop hopeless pairs first, then the JVM-side
+    With minimums, bounds drop hopeless pairs first, then the JVM-side
     scores filter, and only what is left reaches Python, where each batch scores
     its distinct pairs of values.  Nothing is shuffled for it.  A comparison whose
     column is already there is not computed again.
@@ -108,11 +151,7 @@ def score_pairs(
     minimums = dict(minimums or {})
     present = pairs.columns
     todo = [c for c in comparisons if c.alias not in present]
-    scored = pairs
-    for c in todo:
-        bound = c.bound(present) if c.alias in minimums else None
-        if bound is not None:
-            scored = scored.where(bound >= F.lit(minimums[c.alias]))
+    scored = possible_pairs(pairs, comparisons, minimums)
 
     def limits(group: Sequence[Comparison]) -> dict[str, float]:
         return {c.alias: minimums[c.alias] for c in group if c.alias in minimums}

@@ -438,6 +438,25 @@ def large_block_links(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(links).select("segment", "profile1", "profile2", "pairs", "name_fuzzy")
 
 
+def similar_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of one language and source that share most of their words, as a folded list of pairs."""
+    links = stand_ins.document_job("word_jaccard_similarity", 0.8).links(stand_ins.document_records(spark, folder))
+    return _rounded(links).select("lang", "source", "profile1", "profile2", "pairs", "score")
+
+
+def similar_word_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by the cosine of their word counts."""
+    links = stand_ins.document_job("cosine_similarity", 0.9).links(stand_ins.document_records(spark, folder))
+    return _rounded(links).select("lang", "source", "profile1", "profile2", "pairs", "score")
+
+
+def similar_part_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of one brand's parts that consist of nearly the same characters."""
+    part = read(spark, folder, "part").select("p_partkey", "p_brand", "p_name")
+    links = stand_ins.part_name_job("jaccard_similarity", 0.8).links(part)
+    return _rounded(links).select("p_brand", "profile1", "profile2", "pairs", "score")
+
+
 def record_profiles(spark: SparkSession, folder: str) -> DataFrame:
     """Which profile each record belongs to."""
     return stand_ins.part_job().record_profiles(stand_ins.part_records(spark, folder))
@@ -493,6 +512,14 @@ def score_minimum(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("p_partkey", "token_sort_ratio")
 
 
+def score_minimums(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs that reach a minimum in three metrics of which each is bounded by lengths or common letters first."""
+    pairs = stand_ins.neighbour_pairs(spark, folder)
+    minimums = {"ratio": 60, "jaro_winkler_similarity": 0.7, "lcs_length": 12}
+    comparisons = [Comparison("left_text", "right_text", m, m) for m in minimums]
+    return _rounded(score_pairs(pairs, comparisons, minimums).select("p_partkey", *minimums))
+
+
 QUERIES: dict[str, Query] = {
     "row_counts": row_counts,
     "union_sources": union_sources,
@@ -536,6 +563,9 @@ QUERIES: dict[str, Query] = {
     "candidate_preview": candidate_preview,
     "large_block_candidates": large_block_candidates,
     "large_block_links": large_block_links,
+    "similar_documents": similar_documents,
+    "similar_word_counts": similar_word_counts,
+    "similar_part_names": similar_part_names,
     "record_profiles": record_profiles,
     "duplicate_records": duplicate_records,
     "pair_scores": pair_scores,
@@ -554,4 +584,5 @@ QUERIES: dict[str, Query] = {
     "score_partial": _scored("partial_ratio"),
     "score_token_sort": _scored("token_sort_ratio"),
     "score_minimum": score_minimum,
+    "score_minimums": score_minimums,
 }

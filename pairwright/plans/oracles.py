@@ -387,3 +387,52 @@ _TOKEN_SORT = f"""WITH {NEIGHBOURS}, vals AS (SELECT DISTINCT l, r FROM pairs){S
     SELECT p_partkey, token_sort_ratio FROM pairs JOIN scored USING (l, r)"""
 ORACLES["score_token_sort"] = _TOKEN_SORT
 ORACLES["score_minimum"] = f"{_TOKEN_SORT} WHERE token_sort_ratio >= 80"
+
+
+# Record pairs of a block with their score, counted by the least ids of equal values.
+_FOLDED = """value AS (SELECT {block}, {text} AS v, min({key}) AS profile FROM {table}
+    WHERE {known} AND {text} IS NOT NULL GROUP BY ALL),
+  one AS (SELECT t.{key} AS id, v.profile FROM {table} t JOIN value v ON {same} AND t.{text} = v.v),
+  folded AS (
+    SELECT {named}, least(x.profile, y.profile) AS profile1, greatest(x.profile, y.profile) AS profile2,
+      count(*) AS pairs, round(max(score), 6) AS score
+    FROM scored JOIN one x ON x.id = scored.a JOIN one y ON y.id = scored.b GROUP BY ALL)"""
+
+
+def _folded(table: str, key: str, block: list[str], text: str) -> str:
+    return _FOLDED.format(
+        table=table,
+        key=key,
+        text=text,
+        block=", ".join(block),
+        known=" AND ".join(f"{b} IS NOT NULL" for b in block),
+        same=" AND ".join(f"t.{b} = v.{b}" for b in block),
+        named=", ".join(f"scored.{b}" for b in block),
+    )
+
+
+_DOCUMENT_WORDS = r"""word AS (
+    SELECT doc_id, lang, source, w, count(*) AS n
+    FROM (SELECT doc_id, lang, source, unnest(regexp_extract_all(text, '\w+')) AS w FROM documents) GROUP BY ALL)"""
+_SAME_BLOCK = "a.lang = b.lang AND a.source = b.source AND a.doc_id < b.doc_id AND a.w = b.w"
+ORACLES["similar_documents"] = f"""WITH {_DOCUMENT_WORDS}, size AS (SELECT doc_id, count(*) AS n FROM word GROUP BY doc_id),
+  shared AS (SELECT a.lang, a.source, a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM word a JOIN word b ON {_SAME_BLOCK} GROUP BY ALL),
+  scored AS (
+    SELECT lang, source, a, b, c::DOUBLE / (x.n + y.n - c) AS score
+    FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE c::DOUBLE / (x.n + y.n - c) >= 0.8),
+  {_folded('documents', 'doc_id', ['lang', 'source'], 'text')} SELECT * FROM folded"""
+ORACLES["similar_word_counts"] = f"""WITH {_DOCUMENT_WORDS}, norm AS (SELECT doc_id, sqrt(sum(n * n)) AS n FROM word GROUP BY doc_id),
+  shared AS (SELECT a.lang, a.source, a.doc_id AS a, b.doc_id AS b, sum(a.n * b.n) AS c FROM word a JOIN word b ON {_SAME_BLOCK} GROUP BY ALL),
+  scored AS (
+    SELECT lang, source, a, b, c / (x.n * y.n) AS score
+    FROM shared JOIN norm x ON x.doc_id = a JOIN norm y ON y.doc_id = b WHERE c / (x.n * y.n) >= 0.9),
+  {_folded('documents', 'doc_id', ['lang', 'source'], 'text')} SELECT * FROM folded"""
+ORACLES["similar_part_names"] = f"""WITH scored AS (
+    SELECT x.p_brand, x.p_partkey AS a, y.p_partkey AS b, jaccard(x.p_name, y.p_name) AS score
+    FROM part x JOIN part y ON x.p_brand = y.p_brand AND x.p_partkey < y.p_partkey WHERE jaccard(x.p_name, y.p_name) >= 0.8),
+  {_folded('part', 'p_partkey', ['p_brand'], 'p_name')} SELECT * FROM folded"""
+ORACLES["score_minimums"] = f"""WITH {NEIGHBOURS}, vals AS (SELECT DISTINCT l, r FROM pairs),
+    scored AS (SELECT l, r, {_lcs('l', 'r')}::INTEGER AS lcs_length, {_ratio(_lcs('l', 'r'), 'l', 'r')} AS ratio,
+      jaro_winkler_similarity(l, r) AS jw FROM vals)
+    SELECT p_partkey, ratio, round(jw, 6) AS jaro_winkler_similarity, lcs_length
+    FROM pairs JOIN scored USING (l, r) WHERE ratio >= 60 AND jw >= 0.7 AND lcs_length >= 12"""

@@ -128,3 +128,18 @@ def two_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value"), "event_type"
     )
     return {"customer": people, "events": events}
+
+
+def document_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of a language and source."""
+    return read(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+
+
+def document_job(metric: str, minimum: float) -> Matching:
+    """Compare the words of documents of the same language and source."""
+    return Matching("doc_id", ["lang", "source"], [Compare("text", metric, "score")], {"score": minimum})
+
+
+def part_name_job(metric: str, minimum: float) -> Matching:
+    """Compare the names of parts of one brand."""
+    return Matching("p_partkey", ["p_brand"], [Compare("p_name", metric, "score")], {"score": minimum})
