@@ -88,10 +88,10 @@ def evaluate(df: DataFrame, metrics: Sequence[tuple[Metric, str]]) -> DataFrame:
 
 
 def measurements(
-    values: DataFrame, table_name: str, at: datetime | None = None, batch_id: int = 0
+    values: DataFrame, table_name: str, at: datetime | Column | None = None, batch_id: int = 0
 ) -> DataFrame:
-    """Stamp evaluated values as rows of the results table."""
-    moment = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    """Stamp evaluated values as rows of the results table, with a time or a column of times."""
+    moment = F.current_timestamp() if at is None else at if isinstance(at, Column) else F.lit(at).cast("timestamp")
     return values.select(
         moment.alias("measurement_time"),
         F.lit(table_name).alias("table_name"),
@@ -113,6 +113,11 @@ def record_metrics(stamped: DataFrame, folder: str, table_name: str, run: str, b
     stamped.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{owner}")
 
 
+def no_results(spark: SparkSession) -> DataFrame:
+    """The results of tables that were never measured."""
+    return spark.createDataFrame([], RESULTS)
+
+
 def read_results(spark: SparkSession, folder: str) -> DataFrame:
     """The measurements of all tables, runs and batches."""
     return spark.read.schema(RESULTS).option("recursiveFileLookup", "true").parquet(folder)
@@ -222,7 +227,7 @@ def measure(
     """Measurements of everything that is bound, one scan per table.
 
     Tables without bindings are not read; bindings of other tables are left
-    alone.  When to measure is the caller's affair: ``schedule`` is theirs to read.
+    alone.  What is due by its ``schedule`` is told by :mod:`pairwright.operators.periods`.
     """
     frames = []
     for name, table in tables.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pairwright.operators import (
     ids,
     listing,
     pairing,
+    periods,
     quality,
     replies,
     standardizing,
@@ -29,7 +31,9 @@ from pairwright.plans.stand_ins import read
 from pairwright.session import shared_folder
 from pairwright.sources import dictionaries, files
 from pairwright.sources.schemas import text, typed
+from pairwright.streaming.changes import measure_changes
 from pairwright.streaming.monitor import monitor
+from pairwright.streaming.windows import monitor_windowed as windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +82,11 @@ LOADED_CUSTOMER = StructType(
 )
 
 
+LOADED_CUSTOMER_NAMES = StructType(
+    [typed("c_custkey", LongType()), text("c_name", 60), typed("c_acctbal", DoubleType()), text("c_mktsegment", 10)]
+)
+
+
 def _customer_lines(spark: SparkSession, folder: str) -> str:
     """Write customers as comma-separated lines, some of them broken.
 
@@ -120,6 +129,19 @@ def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return rejects.select("raw", F.array_join("reason", "; ").alias("reason"))
 
 
+def csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers whose names hold quoted line breaks, commas and quotes, from files that are read in splits."""
+    quoted = F.concat(F.lit('"'), F.col("c_name"), F.lit('\n""'), F.col("c_mktsegment"), F.lit('"",\n"'))
+    name = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).otherwise(quoted)
+    key = F.when(F.col("c_custkey") % 7 == 0, F.lit("none")).otherwise(F.col("c_custkey").cast("string"))
+    target = shared_folder(spark, "broken-lines")
+    fields = F.concat_ws(",", key, name, F.col("c_acctbal").cast("string"), F.col("c_mktsegment"))
+    # line by line, as the writer would put quotes of its own around a line break
+    lines = read(spark, folder, "customer").select(F.explode(F.split(fields, "\n")).alias("value"))
+    lines.write.options(header="true", quote="", sep="\u0001", emptyValue="").csv(target)
+    return files.read_csv(spark, target, LOADED_CUSTOMER_NAMES, files.COMMA_MULTILINE)
+
+
 def csv_semicolon(spark: SparkSession, folder: str) -> DataFrame:
     """A file with semicolons, read by name: commas are text there."""
     target = shared_folder(spark, "nation-lines")
@@ -389,6 +411,55 @@ def monitor_stream(spark: SparkSession, folder: str) -> DataFrame:
     return quality.latest_metric(quality.read_results(spark, results)).select("metric_name", "value")
 
 
+def monitor_windowed(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per five minutes, each window recorded when nothing on time can fall into it any more."""
+    schema = read(spark, folder, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/events*.parquet")
+    value = F.when(F.col("event_type") != "error", F.col("value"))
+    stream = stream.select("event_id", F.col("ts").cast("timestamp").alias("ts"), value.alias("value"))
+    results, marks = shared_folder(spark, "results"), shared_folder(spark, "marks")
+    metrics = [(quality.ROW_COUNT, "event_id"), (quality.NULL_COUNT, "value")]
+    windowed(stream, metrics, "ts", "events", results, marks, every=None).awaitTermination()
+    recorded = quality.read_results(spark, results)
+    return recorded.select(F.col("measurement_time").cast("string").alias("window_end"), "metric_name", "value")
+
+
+# Minutes after the first measurement at which a caller comes round.
+ROUNDS = (0, 4, 5, 11, 31)
+
+
+def metric_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tables of different periods, measured at some moments as far as they are due, and what was missed."""
+    bound = quality.set_schedule(_bindings(spark), "customer", "10 minutes")
+    tables = stand_ins.two_tables(spark, folder)
+    results, told = quality.no_results(spark), []
+    for number, minutes in enumerate(ROUNDS):
+        now = datetime(2025, 1, 1) + timedelta(minutes=minutes)
+        missed = periods.due(bound, results, now).select(*quality.SERIES, "missed")
+        measured = periods.measure_due(tables, bound, results, KNOWN_METRICS, now, number)
+        told.append(measured.join(missed, list(quality.SERIES)))
+        results = results.unionByName(measured)
+    rounds = told[0]
+    for more in told[1:]:
+        rounds = rounds.unionByName(more)
+    return rounds.select(F.col("batch_id").alias("round"), *quality.SERIES, "value", "missed")
+
+
+def monitor_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """A table that gets rows, loses some, has some written anew, and is left alone; measured after each change."""
+    people = stand_ins.customer_identifiers(spark, folder)
+    table, results, state = (shared_folder(spark, n) for n in ("changing", "results", "state"))
+    metrics = [(quality.ROW_COUNT, "c_custkey"), (quality.INVALID_PESEL_COUNT, "pesel")]
+    # which third of the customers a part holds after each step
+    steps = ({"a": 0, "b": 1}, {"c": 2}, {"b": 0}, {}, {"a": None})
+    for step in steps:
+        for part, third in step.items():
+            rows = people.where("false" if third is None else f"c_custkey % 3 = {third}")
+            rows.write.mode("overwrite").parquet(f"{table}/part={part}")
+        measure_changes(spark, table, people.schema, metrics, "customer", results, state)
+    return quality.read_results(spark, results).select(F.col("batch_id").alias("step"), "metric_name", "value")
+
+
 # --- matching ------------------------------------------------------------------
 
 
@@ -526,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "union_fillers": union_fillers,
     "csv_load": csv_load,
     "csv_rejects": csv_rejects,
+    "csv_line_breaks": csv_line_breaks,
     "csv_semicolon": csv_semicolon,
     "list_files": list_files,
     "standardize_table": standardize_table,
@@ -556,6 +628,9 @@ QUERIES: dict[str, Query] = {
     "metric_tables": metric_tables,
     "metric_listing": metric_listing,
     "monitor_stream": monitor_stream,
+    "monitor_windowed": monitor_windowed,
+    "monitor_changes": monitor_changes,
+    "metric_periods": metric_periods,
     "pair_estimate": pair_estimate,
     "block_sizes": block_sizes,
     "block_pair_count": block_pair_count,

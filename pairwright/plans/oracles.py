@@ -436,3 +436,31 @@ ORACLES["score_minimums"] = f"""WITH {NEIGHBOURS}, vals AS (SELECT DISTINCT l, r
       jaro_winkler_similarity(l, r) AS jw FROM vals)
     SELECT p_partkey, ratio, round(jw, 6) AS jaro_winkler_similarity, lcs_length
     FROM pairs JOIN scored USING (l, r) WHERE ratio >= 60 AND jw >= 0.7 AND lcs_length >= 12"""
+
+
+ORACLES["csv_line_breaks"] = """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name
+    ELSE c_name || chr(10) || '"' || c_mktsegment || '",' || chr(10) END AS c_name, c_acctbal, c_mktsegment
+  FROM customer WHERE c_custkey % 7 <> 0"""
+ORACLES["monitor_windowed"] = """WITH span AS (
+    SELECT time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS stop, count(*)::DOUBLE AS n,
+      (count(*) FILTER (value IS NULL OR event_type = 'error'))::DOUBLE AS missing FROM events GROUP BY ALL),
+  final AS (SELECT * FROM span WHERE stop <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events))
+  SELECT strftime(stop, '%Y-%m-%d %H:%M:%S') AS window_end, 'ROW_COUNT' AS metric_name, n AS value FROM final
+  UNION ALL SELECT strftime(stop, '%Y-%m-%d %H:%M:%S'), 'NULL_COUNT', missing FROM final"""
+ORACLES["monitor_changes"] = f"""WITH {IDENTIFIERS}, held AS (
+    SELECT * FROM (VALUES (1, 0), (1, 1), (2, 0), (2, 1), (2, 2), (3, 0), (3, 0), (3, 2), (4, 0), (4, 0), (4, 2), (5, 0), (5, 2))
+      AS t(step, third)),
+  seen AS (SELECT step, pesel FROM held JOIN people ON c_custkey % 3 = third)
+  SELECT step::BIGINT AS step, 'ROW_COUNT' AS metric_name, count(*)::DOUBLE AS value FROM seen GROUP BY step
+  UNION ALL SELECT step, 'INVALID_PESEL_COUNT', (count(*) FILTER {MALFORMED})::DOUBLE FROM seen GROUP BY step"""
+ORACLES["metric_periods"] = f"""WITH RECURSIVE {IDENTIFIERS}, {MEASURED},
+  times AS (SELECT * FROM (VALUES (0, 0), (1, 4), (2, 5), (3, 11), (4, 31)) AS t(round, minute)),
+  fired AS (
+    SELECT table_name, period, 0 AS round, 0 AS latest, true AS fires, 0 AS missed
+    FROM (VALUES ('customer', 10), ('events', 5)) AS t(table_name, period)
+    UNION ALL
+    SELECT table_name, period, times.round, CASE WHEN minute - latest >= period THEN minute ELSE latest END,
+      minute - latest >= period, (minute - latest) // period - 1
+    FROM fired JOIN times ON times.round = fired.round + 1)
+  SELECT round::BIGINT AS round, table_name, column_name, metric_name, value, missed::BIGINT AS missed
+  FROM fired JOIN measured USING (table_name) WHERE fires"""

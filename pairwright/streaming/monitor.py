@@ -27,11 +27,12 @@ def monitor(
     batch is written under its id, so a replay after a failure replaces it; the
     run's own id is kept beside the checkpoint, so a stream that starts anew with
     another checkpoint leaves the earlier results alone.  A period in which
-    nothing arrived writes nothing, as nothing can have changed.  ``every=None``
+    nothing arrived writes nothing, as nothing can have changed; a table that loses or
+    rewrites rows is for :mod:`pairwright.streaming.changes`.  ``every=None``
     measures what is there now and stops.
     """
     values = quality.evaluate(stream, metrics)
-    run = _run_id(stream.sparkSession, checkpoint)
+    run = run_id(stream.sparkSession, checkpoint)
 
     def record(batch: DataFrame, batch_id: int) -> None:
         stamped = quality.measurements(batch, table_name, batch_id=batch_id)
@@ -46,7 +47,7 @@ def monitor(
     return writer.trigger(**trigger).start()
 
 
-def _run_id(spark: SparkSession, checkpoint: str) -> str:
+def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The id kept beside a checkpoint, made on first use.
 
     It is a small table in the same store, so that any driver finds it.
