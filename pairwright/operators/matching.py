@@ -33,11 +33,13 @@ class Matching:
     compare: Sequence[Compare] = ()
     minimums: Mapping[str, float] = field(default_factory=dict)
     slot_rows: int = pairing.SLOT_ROWS
+    also: Sequence[str] = ()  # carried without being compared
 
     @property
     def values(self) -> list[str]:
-        """Compared columns outside the block: what tells profiles apart."""
-        return list(dict.fromkeys(c.column for c in self.compare if c.column not in self.block))
+        """Columns outside the block that tell profiles apart: those compared, and those carried besides."""
+        wanted = [*(c.column for c in self.compare), *self.also]
+        return list(dict.fromkeys(c for c in wanted if c not in self.block))
 
     @property
     def _prepared(self) -> list[Compare]:

@@ -21,10 +21,11 @@ from pairwright.operators import (
     periods,
     quality,
     replies,
+    rules,
     standardizing,
 )
 from pairwright.operators.combining import Source
-from pairwright.operators.matching import Matching
+from pairwright.operators.matching import Compare, Matching
 from pairwright.operators.scoring import Comparison, score_pairs
 from pairwright.plans import stand_ins
 from pairwright.plans.stand_ins import read
@@ -509,6 +510,18 @@ def large_block_links(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(links).select("segment", "profile1", "profile2", "pairs", "name_fuzzy")
 
 
+def several_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts that agree in their name, their brand or the start of their type, and are similar; each pair by its first rule."""
+    parts = stand_ins.part_records(spark, folder).withColumn("kind", F.substring_index("address", " ", 1))
+    compare = [Compare("address", "fuzzy", "address_fuzzy"), Compare("lname", "fuzzy", "lname_fuzzy")]
+    minimums = {"address_fuzzy": 0.5, "lname_fuzzy": 0.5}
+    links = rules.rule_links(parts, "cust_id", [["fname"], ["lname"], ["kind"]], compare, minimums)
+    total = F.sum(F.col("pairs") * F.col("address_fuzzy")).alias("address")
+    brands = F.least("lname1", "lname2").alias("one"), F.greatest("lname1", "lname2").alias("other")
+    told = links.groupBy("rule", *brands).agg(F.sum("pairs").cast("long").alias("pairs"), total)
+    return told.withColumn("address", F.round(F.col("address").cast("double"), 3))
+
+
 def similar_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of one language and source that share most of their words, as a folded list of pairs."""
     links = stand_ins.document_job("word_jaccard_similarity", 0.8).links(stand_ins.document_records(spark, folder))
@@ -638,6 +651,7 @@ QUERIES: dict[str, Query] = {
     "candidate_preview": candidate_preview,
     "large_block_candidates": large_block_candidates,
     "large_block_links": large_block_links,
+    "several_rules": several_rules,
     "similar_documents": similar_documents,
     "similar_word_counts": similar_word_counts,
     "similar_part_names": similar_part_names,

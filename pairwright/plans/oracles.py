@@ -464,3 +464,12 @@ ORACLES["metric_periods"] = f"""WITH RECURSIVE {IDENTIFIERS}, {MEASURED},
     FROM fired JOIN times ON times.round = fired.round + 1)
   SELECT round::BIGINT AS round, table_name, column_name, metric_name, value, missed::BIGINT AS missed
   FROM fired JOIN measured USING (table_name) WHERE fires"""
+
+ORACLES["several_rules"] = f"""WITH {RECORDS}, kinds AS (SELECT *, split_part(address, ' ', 1) AS kind FROM rec),
+  every AS (
+    SELECT CASE WHEN a.fname = b.fname THEN 0 WHEN a.lname = b.lname THEN 1 ELSE 2 END AS rule,
+      least(a.lname, b.lname) AS one, greatest(a.lname, b.lname) AS other,
+      {_fuzzy('a.address', 'b.address')} AS address, {_fuzzy('a.lname', 'b.lname')} AS brands
+    FROM kinds a JOIN kinds b ON a.cust_id < b.cust_id AND (a.fname = b.fname OR a.lname = b.lname OR a.kind = b.kind))
+  SELECT rule, one, other, count(*) AS pairs, round(sum(address), 3) AS address FROM every
+  WHERE address >= 0.5 AND brands >= 0.5 GROUP BY rule, one, other"""
