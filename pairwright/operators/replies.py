@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.functions.text import regex_group
+from pairwright.session import shuffle_partitions
 
 # The prompt around the two address parts, and the reply patterns.
 PROMPT_BEFORE_CITY = (
@@ -40,12 +41,19 @@ def parse_replies(df: DataFrame, reply: str, city: str = "miasto", street: str =
 
 
 def correct_addresses(
-    df: DataFrame, city: str, street: str, complete: Callable[[list[str]], list[str]], reply: str = "llm"
+    df: DataFrame,
+    city: str,
+    street: str,
+    complete: Callable[[list[str]], list[str]],
+    reply: str = "llm",
+    parallel: int | None = None,
 ) -> DataFrame:
     """Ask once per distinct address, then parse the replies.
 
-    ``complete`` answers a batch of prompts; it runs on the executors.  The
-    answers join back to every row of the address.
+    ``complete`` answers a batch of prompts, one reply for each; it runs on the
+    executors, in at most ``parallel`` tasks at once (as many as the session has
+    partitions by default), however small the addresses are.  The answers join
+    back to every row of the address.
     """
     asked = (
         df.select(F.col(city).alias("_city"), F.col(street).alias("_street"))
@@ -56,13 +64,17 @@ def correct_addresses(
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            replies = complete(batch.column("_prompt").to_pylist())
+            prompts = batch.column("_prompt").to_pylist()
+            replies = complete(prompts)
+            if len(replies) != len(prompts):
+                raise ValueError(f"{len(replies)} replies to {len(prompts)} prompts")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_city"), batch.column("_street"), pa.array(replies, pa.string())],
                 names=["_city", "_street", reply],
             )
 
-    answered = asked.mapInArrow(answer, f"_city string, _street string, `{reply}` string")
+    tasks = parallel or shuffle_partitions(df.sparkSession)
+    answered = asked.repartition(tasks).mapInArrow(answer, f"_city string, _street string, `{reply}` string")
     on = [F.col(city) == F.col("_city"), F.col(street) == F.col("_street")]
     joined = df.join(answered, on, "left").drop("_city", "_street")
     return parse_replies(joined, reply)

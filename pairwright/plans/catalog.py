@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
 from pairwright.functions.similarity import cosine_similarity
-from pairwright.functions.text import clean_tokens, standardize
+from pairwright.functions.sql import register_functions
+from pairwright.functions.text import POLISH_FOLDED, POLISH_UPPER, clean_tokens, edit_score, soundex, standardize
 from pairwright.operators import (
     combining,
     estimates,
@@ -27,11 +28,11 @@ from pairwright.operators import (
 from pairwright.operators.combining import Source
 from pairwright.operators.matching import Compare, Matching
 from pairwright.operators.scoring import Comparison, score_pairs
-from pairwright.plans import stand_ins
+from pairwright.plans import customers, stand_ins
 from pairwright.plans.stand_ins import read
 from pairwright.session import shared_folder
 from pairwright.sources import dictionaries, files
-from pairwright.sources.schemas import text, typed
+from pairwright.sources.schemas import CUSTOMERS, WEB_CUSTOMERS, text, typed
 from pairwright.streaming.changes import measure_changes
 from pairwright.streaming.monitor import monitor
 from pairwright.streaming.windows import monitor_windowed as windowed
@@ -160,6 +161,70 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return listed.where("segment > ''").groupBy("segment").agg((F.sum("length") > 0).alias("filled"))
 
 
+def _loaded_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both customer files, written as text and loaded by their declared schemas."""
+    loaded = []
+    for name, frame, schema in zip(("main", "web"), stand_ins.customer_files(spark, folder), (CUSTOMERS, WEB_CUSTOMERS), strict=True):
+        place = shared_folder(spark, f"{name}-customers")
+        frame.write.options(header="true", nullValue="NULL", ignoreLeadingWhiteSpace="false").csv(place)
+        loaded.append(files.load(spark, place, schema)[0])
+    return loaded[0], loaded[1]
+
+
+def customer_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Both customer files in one table, made from a query and read back, with where each row came from."""
+    main, web = _loaded_files(spark, folder)
+    both = customers.combine_with_provenance(main, web, "BAZA", "WWW")
+    place = shared_folder(spark, "union-table")
+    return files.save_table(both, f"customers_{place.rsplit('-', 1)[-1]}".replace("/", "_"), place)
+
+
+def customer_file_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Probable duplicates in both customer files, per first name: how many record pairs, and their scores added up."""
+    records = customers.records_for_matching(*_loaded_files(spark, folder))
+    links = customers.matching_job().links(records)
+    added = [F.round(F.sum(F.col("pairs") * F.col(c)).cast("double"), 3).alias(c) for c in ("lname_fuzzy", "address_fuzzy")]
+    return links.groupBy("IMIE").agg(F.sum("pairs").cast("long").alias("pairs"), *added)
+
+
+def customer_file_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """The first rows of the listing of probable duplicates in both customer files."""
+    return customers.probable_duplicates(customers.records_for_matching(*_loaded_files(spark, folder)))
+
+
+def _view(spark: SparkSession, folder: str, name: str) -> str:
+    """A table under a name for SQL."""
+    register_functions(spark)
+    read(spark, folder, name).createOrReplaceTempView(f"sql_{name}")
+    return f"sql_{name}"
+
+
+def sql_alias_reuse(spark: SparkSession, folder: str) -> DataFrame:
+    """A column's alias used further on in the same select."""
+    return spark.sql(
+        f"SELECT p_partkey, standardize(concat(p_name, '; ', p_brand)) AS label, length(label) AS size, "
+        f"concat(label, ' ', size) AS both FROM {_view(spark, folder, 'part')}"
+    )
+
+
+def sql_pipes(spark: SparkSession, folder: str) -> DataFrame:
+    """A query as a chain of steps."""
+    return spark.sql(
+        f"FROM {_view(spark, folder, 'part')} |> WHERE p_size > 10 |> EXTEND standardize(p_brand) AS brand "
+        "|> AGGREGATE count(*) AS parts, max(p_size) AS largest GROUP BY brand |> WHERE parts > 1"
+    )
+
+
+def sql_variables(spark: SparkSession, folder: str) -> DataFrame:
+    """Every part's name against a session variable."""
+    view = _view(spark, folder, "part")
+    spark.sql("DECLARE OR REPLACE VARIABLE wanted STRING DEFAULT 'small ring'")
+    return spark.sql(
+        f"SELECT p_partkey, round(JaccardSimilarity(p_name, wanted), 6) AS jaccard, LevenshteinDistance(p_name, wanted) AS edits, "
+        f"LongestCommonSubsequence(p_name, wanted) AS common FROM {view}"
+    )
+
+
 # --- standardization -----------------------------------------------------------
 
 
@@ -223,6 +288,12 @@ def build_samples(spark: SparkSession, folder: str) -> DataFrame:
     return standardizing.build_samples(person, address)
 
 
+def capped_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """The first samples in the order of their keys."""
+    samples = build_samples(spark, folder).withColumn("number", F.col("cust_key").cast("long"))
+    return standardizing.capped(samples, 50, ["number"]).drop("number")
+
+
 def short_values(spark: SparkSession, folder: str) -> DataFrame:
     return standardizing.short_values(stand_ins.address_parts(spark, folder), "fname", 5)
 
@@ -264,12 +335,11 @@ def text_standards(spark: SparkSession, folder: str) -> DataFrame:
     """Long texts in several languages: upper case, kept letters, clean tokens, cosine."""
     documents = read(spark, folder, "documents").select("doc_id", "text", "lang")
     standard = standardize(F.col("text"))
-    opening = F.concat_ws(" ", F.col("lang"), F.substring("text", 1, 40))
     return documents.select(
         "doc_id",
         standard.alias("standard"),
         clean_tokens(F.upper("text"), True).alias("tokens"),
-        F.round(cosine_similarity(F.col("text"), opening), 6).alias("cosine"),
+        F.round(cosine_similarity(F.upper("text"), standard), 6).alias("cosine"),
     )
 
 
@@ -588,6 +658,23 @@ def _scored(*metrics: str) -> Query:
     return query
 
 
+def soundex_folded(spark: SparkSession, folder: str) -> DataFrame:
+    """Names spelled with Polish letters: their codes with and without folding, and the score of both."""
+    polish = F.translate(F.upper("p_name"), "ACELNOSZ", "ĄĆĘŁŃÓŚŻ")
+    part = read(spark, folder, "part").select("p_partkey", polish.alias("polish"))
+    folded, plain = soundex(F.col("polish"), fold=True), soundex(F.upper(F.translate("polish", POLISH_UPPER, POLISH_FOLDED)))
+    return part.select(
+        "p_partkey", folded.alias("folded"), (soundex(F.col("polish")) == folded).alias("same"), F.round(edit_score(folded, plain), 6).alias("score")
+    )
+
+
+def score_foreign_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Words with letters beyond ASCII against their standard form, whole against whole."""
+    words = stand_ins.foreign_words(spark, folder)
+    comparisons = [Comparison("word", "standard", m, m) for m in ("lcs_length", "lcs_distance", "ratio", "partial_ratio")]
+    return score_pairs(words, comparisons)
+
+
 def score_minimum(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs whose token-sort ratio reaches 80, pruned by length beforehand."""
     pairs = stand_ins.neighbour_pairs(spark, folder)
@@ -612,6 +699,15 @@ QUERIES: dict[str, Query] = {
     "csv_rejects": csv_rejects,
     "csv_line_breaks": csv_line_breaks,
     "csv_semicolon": csv_semicolon,
+    "customer_files": customer_files,
+    "customer_file_links": customer_file_links,
+    "customer_file_listing": customer_file_listing,
+    "sql_alias_reuse": sql_alias_reuse,
+    "sql_pipes": sql_pipes,
+    "sql_variables": sql_variables,
+    "capped_samples": capped_samples,
+    "soundex_folded": soundex_folded,
+    "score_foreign_words": score_foreign_words,
     "list_files": list_files,
     "standardize_table": standardize_table,
     "stable_ids": stable_ids,

@@ -229,8 +229,8 @@ ORACLES: dict[str, str] = {
     "dictionary_tokens": f"WITH {TOKENS} SELECT * FROM written",
     "dictionary_tokens_joined": LOOSE,
     "dictionary_tokens_embedded": LOOSE,
-    "text_standards": r"""WITH d AS (SELECT doc_id, text, lang || ' ' || substr(text, 1, 40) AS opening FROM documents),
-        lw AS (SELECT doc_id, unnest(regexp_extract_all(text, '\w+')) AS w FROM d),
+    "text_standards": r"""WITH d AS (SELECT doc_id, text, regexp_replace(upper(replace(text, 'ß', 'ss')), '[^A-Z0-9ĄĆĘŁŃÓŚŹŻ ]', '', 'g') AS opening FROM documents),
+        lw AS (SELECT doc_id, unnest(regexp_extract_all(upper(replace(text, 'ß', 'ss')), '\w+')) AS w FROM d),
         rw AS (SELECT doc_id, unnest(regexp_extract_all(opening, '\w+')) AS w FROM d),
         lc AS (SELECT doc_id, w, count(*) AS n FROM lw GROUP BY ALL), rc AS (SELECT doc_id, w, count(*) AS n FROM rw GROUP BY ALL),
         ln AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM lc GROUP BY ALL), rn AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM rc GROUP BY ALL),
@@ -473,3 +473,63 @@ ORACLES["several_rules"] = f"""WITH {RECORDS}, kinds AS (SELECT *, split_part(ad
     FROM kinds a JOIN kinds b ON a.cust_id < b.cust_id AND (a.fname = b.fname OR a.lname = b.lname OR a.kind = b.kind))
   SELECT rule, one, other, count(*) AS pairs, round(sum(address), 3) AS address FROM every
   WHERE address >= 0.5 AND brands >= 0.5 GROUP BY rule, one, other"""
+
+_NATIONS = "nation ON {key} = n_nationkey"
+_BORN = "DATE '1970-01-01' + ({key} % 9000)::INTEGER"
+_MAIN = f"""ten AS (SELECT c_custkey AS k, {TEN} AS ten FROM customer),
+  numbered AS (SELECT k, ten, {CHECK} AS digit FROM ten),
+  marked AS (SELECT k, CASE k % 10 WHEN 0 THEN NULL WHEN 1 THEN '00000000000' WHEN 2 THEN ten || ((digit + 1) % 10)::VARCHAR WHEN 3 THEN ten
+    WHEN 4 THEN 'A' || substr(ten, 2, 9) || digit::VARCHAR ELSE ten || digit::VARCHAR END AS pesel FROM numbered),
+  main AS (
+    SELECT pesel, n_name || '-' || c_custkey % 4 AS imie, c_name AS nazwisko, {_BORN.format(key='c_custkey')} AS born,
+      n_name || ' ' || c_mktsegment AS city, ' ul. ' || n_name || ', 5' AS street, c_mktsegment AS grupa, c_nationkey AS tariff, c_acctbal
+    FROM customer JOIN {_NATIONS.format(key='c_nationkey')} JOIN marked ON k = c_custkey)"""
+_WEB = f"""tens AS (SELECT s_suppkey AS k, lpad(((s_suppkey + 7) * 7919 + 12345)::VARCHAR, 10, '0') AS ten FROM supplier),
+  digit AS (SELECT k, ten, {CHECK} AS digit FROM tens),
+  sign AS (SELECT k, CASE (k + 7) % 10 WHEN 0 THEN NULL WHEN 1 THEN '00000000000' WHEN 2 THEN ten || ((digit + 1) % 10)::VARCHAR WHEN 3 THEN ten
+    WHEN 4 THEN 'A' || substr(ten, 2, 9) || digit::VARCHAR ELSE ten || digit::VARCHAR END AS pesel FROM digit),
+  web AS (
+    SELECT pesel, n_name || '-' || s_suppkey % 4 AS imie, replace(s_name, 'Supplier', 'Customer') AS nazwisko,
+      {_BORN.format(key='s_suppkey')} AS born, n_name || ' BUILDING' AS city, 'shop' || s_suppkey || '@example.org' AS mail
+    FROM supplier JOIN {_NATIONS.format(key='s_nationkey')} JOIN sign ON k = s_suppkey)"""
+_NONE = "NULL::VARCHAR AS {0}"
+ORACLES["customer_files"] = f"""WITH {_MAIN}, {_WEB}
+  SELECT pesel AS PESEL, imie AS IMIE, nazwisko AS NAZWISKO, NULL AS PLEC, born AS DATA_URODZENIA, city AS MIASTO_ZAMELDOWANIA,
+    street AS ULICA_ZAMIESZKANIA, NULL AS NUMER_DOMU, grupa AS GRUPA, tariff AS ID_TARYFY, NULL AS TEL_USED, NULL AS TEL_SOLD,
+    NULL AS CZAS_W_MIESIACU, c_acctbal::DECIMAL(10,2) AS CZAS_DZISIAJ, NULL AS STATUS, NULL AS LICZBA_PUNKTOW, NULL AS PESEL_RC,
+    NULL AS PESEL_GENDER, NULL AS OSOBA, NULL AS KOD_POCZTOWY, NULL AS E_MAIL, 'BAZA' AS SOURCE_SYSTEM FROM main
+  UNION ALL SELECT pesel, imie, nazwisko, NULL, born, city, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    NULL, NULL, NULL, mail, 'WWW' FROM web"""
+_LAST, _TOWN = ("a.nazwisko", "b.nazwisko"), ("a.city", "b.city")
+ORACLES["customer_file_links"] = f"""WITH {_MAIN}, {_WEB}, every AS (
+    SELECT imie, nazwisko, city FROM main UNION ALL SELECT imie, nazwisko, city FROM web),
+  people AS (SELECT row_number() OVER () AS k, {_std('imie')} AS imie, {_std('nazwisko')} AS nazwisko, {_std('city')} AS city FROM every),
+  scored AS (SELECT a.imie, {_fuzzy(*_LAST)} AS lname_fuzzy, {_fuzzy(*_TOWN)} AS address_fuzzy
+    FROM people a JOIN people b ON a.imie = b.imie AND a.k < b.k)
+  SELECT imie AS IMIE, count(*) AS pairs, round(sum(lname_fuzzy), 3) AS lname_fuzzy, round(sum(address_fuzzy), 3) AS address_fuzzy
+  FROM scored WHERE lname_fuzzy >= 0.4 AND address_fuzzy >= 0.4 GROUP BY imie"""
+ORACLES["sql_alias_reuse"] = f"""WITH l AS (SELECT p_partkey, {_std("p_name || '; ' || p_brand")} AS label FROM part)
+  SELECT p_partkey, label, length(label)::INTEGER AS size, label || ' ' || length(label) AS both FROM l"""
+ORACLES["sql_pipes"] = f"""SELECT {_std('p_brand')} AS brand, count(*) AS parts, max(p_size) AS largest FROM part
+  WHERE p_size > 10 GROUP BY 1 HAVING count(*) > 1"""
+ORACLES["sql_variables"] = f"""WITH named AS (SELECT DISTINCT p_name, 'small ring' AS wanted FROM part),
+  scored AS (SELECT p_name, round(jaccard(p_name, wanted), 6) AS jaccard, levenshtein(p_name, wanted)::INTEGER AS edits,
+    {_lcs('p_name', 'wanted')}::INTEGER AS common FROM named)
+  SELECT p_partkey, jaccard, edits, common FROM part JOIN scored USING (p_name)"""
+ORACLES["capped_samples"] = f"SELECT * FROM ({ORACLES['build_samples']}) ORDER BY cust_key::BIGINT LIMIT 50"
+ORACLES["soundex_folded"] = f"""WITH n AS (SELECT p_partkey, {_soundex('upper(p_name)')} AS folded,
+    left(translate(upper(p_name), 'ACELNOSZ', 'ĄĆĘŁŃÓŚŻ'), 1) BETWEEN 'A' AND 'Z' AS plain_start FROM part),
+  told AS (SELECT p_partkey, folded, translate(upper(p_name), 'ACELNOSZ', 'ĄĆĘŁŃÓŚŻ') AS polish FROM n JOIN part USING (p_partkey))
+  SELECT p_partkey, folded, CASE WHEN regexp_matches(polish, '^[A-Z]') THEN {_soundex("regexp_replace(polish, '[^A-Z ]', '', 'g')")} = folded
+    ELSE polish = folded END AS same, 1.0::DOUBLE AS score FROM told"""
+ORACLES["score_foreign_words"] = f"""WITH words AS (
+    SELECT DISTINCT w AS word FROM (SELECT unnest(regexp_split_to_array(text, '[ \n]')) AS w FROM documents)
+    WHERE regexp_full_match(w, '[a-zà-ÿ]{{2,16}}') AND regexp_matches(w, '[à-ÿ]')),
+  pairs AS (SELECT word, {_std("replace(word, 'ß', 'ss')")} AS standard FROM words),
+  held AS (SELECT *, CASE WHEN length(word) <= length(standard) THEN word ELSE standard END AS short,
+    CASE WHEN length(word) <= length(standard) THEN standard ELSE word END AS long FROM pairs),
+  common AS (SELECT *, CASE WHEN length(standard) > 0 THEN {_lcs('word', 'standard')} ELSE 0 END::INTEGER AS lcs_length FROM held)
+  SELECT word, standard, lcs_length, (length(word) + length(standard) - 2 * lcs_length)::INTEGER AS lcs_distance,
+    round_even(100.0 * (2.0 * lcs_length::DOUBLE / (length(word) + length(standard))::DOUBLE), 0)::INTEGER AS ratio,
+    CASE WHEN length(short) = 0 THEN 0 ELSE list_max(list_transform(range(1, length(long) - length(short) + 2), lambda s:
+      round_even(100.0 * ({_lcs('short', 'substr(long, s, length(short))')})::DOUBLE / length(short), 0)::INTEGER)) END AS partial_ratio FROM common"""

@@ -9,6 +9,7 @@ from pairwright.functions import identifiers, text
 from pairwright.operators.matching import Compare, Matching
 from pairwright.plans.customers import matching_job
 from pairwright.sources.dictionaries import dictionary_df
+from pairwright.sources.schemas import CUSTOMERS, WEB_CUSTOMERS
 
 DICTIONARY_ROWS = [
     ("BLUE", "BLU", "NAME"),
@@ -143,3 +144,42 @@ def document_job(metric: str, minimum: float) -> Matching:
 def part_name_job(metric: str, minimum: float) -> Matching:
     """Compare the names of parts of one brand."""
     return Matching("p_partkey", ["p_brand"], [Compare("p_name", metric, "score")], {"score": minimum})
+
+
+def customer_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Customers and suppliers in the columns of the two customer files, as text; people of a nation share first names."""
+    nation = read(spark, folder, "nation").select("n_nationkey", "n_name")
+    people = read(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    shops = read(spark, folder, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    born = lambda key: F.date_add(F.lit("1970-01-01").cast("date"), (key % 9000).cast("int"))
+    main = {
+        "PESEL": _identifier(F.col("c_custkey")),
+        "IMIE": F.concat_ws("-", "n_name", (F.col("c_custkey") % 4).cast("string")),
+        "NAZWISKO": F.col("c_name"),
+        "DATA_URODZENIA": born(F.col("c_custkey")),
+        "MIASTO_ZAMELDOWANIA": F.concat_ws(" ", "n_name", "c_mktsegment"),
+        "ULICA_ZAMIESZKANIA": F.concat(F.lit(" ul. "), F.col("n_name"), F.lit(", 5")),
+        "GRUPA": F.col("c_mktsegment"),
+        "ID_TARYFY": F.col("c_nationkey"),
+        "CZAS_DZISIAJ": F.col("c_acctbal").cast("decimal(10,2)"),
+    }
+    web = {
+        "PESEL": _identifier(F.col("s_suppkey") + 7),
+        "IMIE": F.concat_ws("-", "n_name", (F.col("s_suppkey") % 4).cast("string")),
+        "NAZWISKO": F.replace(F.col("s_name"), F.lit("Supplier"), F.lit("Customer")),
+        "DATA_URODZENIA": born(F.col("s_suppkey")),
+        "MIEJSCE_ZAMIESZKANIA": F.concat_ws(" ", "n_name", F.lit("BUILDING")),
+        "E_MAIL": F.concat(F.lit("shop"), F.col("s_suppkey").cast("string"), F.lit("@example.org")),
+    }
+    absent = F.lit(None).cast("string")
+    return (
+        people.select(*[main.get(c, absent).cast("string").alias(c) for c in CUSTOMERS.names]),
+        shops.select(*[web.get(c, absent).cast("string").alias(c) for c in WEB_CUSTOMERS.names]),
+    )
+
+
+def foreign_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct words of the documents with letters beyond ASCII, next to what standardizing makes of them."""
+    words = read(spark, folder, "documents").select(F.explode(F.split("text", "[ \\n]")).alias("word")).distinct()
+    words = words.where(F.col("word").rlike(r"^[a-zà-ÿ]{2,16}$") & F.col("word").rlike("[à-ÿ]"))
+    return words.select("word", text.standardize(F.col("word")).alias("standard"))

@@ -16,45 +16,54 @@ DICTIONARY = StructType(
     ]
 )
 
-# The first names and address words, each with its short form.
-NAME_TERMS = {
-    "MAX": ("MAXINE", "MAXIMO", "MAXIE", "MAXWELL"),
-    "JEFF": ("JEFFREY", "JEFFERY", "JEFFRY", "JEFFIE", "JEFFERSON"),
-    "JACK": ("JACKIE", "JACKSON", "JACKI", "JACKLYN", "JACKELYN"),
-    "LEO": ("LEONA", "LEONARDO", "LEONILA", "LEOLA", "LEON", "LEONARD", "LEONIDA"),
-}
-ADDRESS_TERMS = {
-    "AVENUE": "AVE",
-    "STREET": "ST",
-    "BOULEVARD": "BLVD",
-    "COURT": "CT",
-    "LANE": "LN",
-    "CIRCLE": "CIR",
-    "PARKWAY": "PKWY",
-    "WAY": "WY",
-    "DRIVE": "DR",
-    "FIRST": "1ST",
-    "SECOND": "2ND",
-    "THIRD": "3RD",
-    "FOURTH": "4TH",
-    "FIFTH": "5TH",
-    "SIXTH": "6TH",
-    "SEVENTH": "7TH",
-    "EIGHTH": "8TH",
-    "NINTH": "9TH",
-    "ELEVENTH": "11TH",
-}
-
-
-def standard_rows() -> list[tuple[str, str, str]]:
-    names = [(token, term, "NAME") for term, tokens in NAME_TERMS.items() for token in tokens]
-    words = [(token, term, "ADDRESS") for token, term in ADDRESS_TERMS.items()]
-    return names + words
+# The first names and address words, each with its short form and context.
+STANDARD_ROWS = [
+    ("MAXINE", "MAX", "NAME"),
+    ("MAXIMO", "MAX", "NAME"),
+    ("MAXIE", "MAX", "NAME"),
+    ("MAXWELL", "MAX", "NAME"),
+    ("JEFFREY", "JEFF", "NAME"),
+    ("JEFFERY", "JEFF", "NAME"),
+    ("JEFFRY", "JEFF", "NAME"),
+    ("JEFFIE", "JEFF", "NAME"),
+    ("JEFFERSON", "JEFF", "NAME"),
+    ("JACKIE", "JACK", "NAME"),
+    ("JACKSON", "JACK", "NAME"),
+    ("JACKI", "JACK", "NAME"),
+    ("JACKLYN", "JACK", "NAME"),
+    ("JACKELYN", "JACK", "NAME"),
+    ("LEONA", "LEO", "NAME"),
+    ("LEONARDO", "LEO", "NAME"),
+    ("LEONILA", "LEO", "NAME"),
+    ("LEOLA", "LEO", "NAME"),
+    ("LEON", "LEO", "NAME"),
+    ("LEONARD", "LEO", "NAME"),
+    ("LEONIDA", "LEO", "NAME"),
+    ("AVENUE", "AVE", "ADDRESS"),
+    ("STREET", "ST", "ADDRESS"),
+    ("BOULEVARD", "BLVD", "ADDRESS"),
+    ("COURT", "CT", "ADDRESS"),
+    ("LANE", "LN", "ADDRESS"),
+    ("CIRCLE", "CIR", "ADDRESS"),
+    ("PARKWAY", "PKWY", "ADDRESS"),
+    ("WAY", "WY", "ADDRESS"),
+    ("DRIVE", "DR", "ADDRESS"),
+    ("FIRST", "1ST", "ADDRESS"),
+    ("SECOND", "2ND", "ADDRESS"),
+    ("THIRD", "3RD", "ADDRESS"),
+    ("FOURTH", "4TH", "ADDRESS"),
+    ("FIFTH", "5TH", "ADDRESS"),
+    ("SIXTH", "6TH", "ADDRESS"),
+    ("SEVENTH", "7TH", "ADDRESS"),
+    ("EIGHTH", "8TH", "ADDRESS"),
+    ("NINTH", "9TH", "ADDRESS"),
+    ("ELEVENTH", "11TH", "ADDRESS"),
+]
 
 
 def dictionary_df(spark: SparkSession, rows: Iterable[tuple[str, str, str]] | None = None) -> DataFrame:
     """A dictionary frame from given rows, or the standard one."""
-    return spark.createDataFrame(list(standard_rows() if rows is None else rows), DICTIONARY)
+    return spark.createDataFrame(list(STANDARD_ROWS if rows is None else rows), DICTIONARY)
 
 
 def validate_dictionary(dictionary: DataFrame) -> DataFrame:
