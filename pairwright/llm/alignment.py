@@ -26,6 +26,7 @@ result.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,17 +36,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from sentencepiece import SentencePieceProcessor
 
-from pairwright.llm.byte_ids import ByteIds, token_bytes
+from pairwright.llm.byte_ids import PLAIN, ByteIds, token_bytes
 from pairwright.llm.frames import landed
 from pairwright.llm.piece_ids import MARK, PieceIds
-from pairwright.llm.words import filled, slices
+from pairwright.llm.words import filled, slices, tidied
 
-SLICE_BYTES = 4 << 20
+# Arrow's arrays of a slice are some hundred times its bytes, and workers keep what they once held.
+SLICE_BYTES = 1 << 20
 
 
 class PlainByteIds(ByteIds):
-    """Byte-level ids in which the strings of special tokens are ordinary text, and each id's bytes."""
+    """Byte-level ids in which the strings of special tokens are ordinary text, and each id's bytes.
+
+    A slice's distinct words are encoded together and not remembered, so memory does not grow with the vocabulary.
+    """
 
     def __init__(self, path: str):
         super().__init__(path)
@@ -54,16 +60,32 @@ class PlainByteIds(ByteIds):
         spelled = token_bytes(path)
         self.spelled = pa.array([spelled.get(k, b"") for k in range(max(spelled) + 1)], pa.binary())
 
+    def chunk(self, chunk: str) -> bytes:
+        if self.fast and PLAIN.fullmatch(chunk):
+            return array("I", self.fast.encode_ordinary(chunk)).tobytes()
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
 
 class SpelledPieceIds(PieceIds):
-    """Piece ids without the begin and end ids, and each id's bytes."""
+    """Piece ids with each id's bytes; a slice's distinct words go through the library together."""
 
     def __init__(self, path: str):
         super().__init__(path)
+        self.library = SentencePieceProcessor(model_file=path)
         ends = np.concatenate([self.decoded_start, [len(self.decoded)]])
         raw = self.decoded.tobytes()
         self.spelled = pa.array([raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
 
+    def spell(self, words: list[str]) -> list[bytes]:
+        ids = self.library.encode(words, num_threads=1)
+        # of an empty word the library makes nothing; its texts are encoded by runs of spaces anyway
+        return [array("I", i).tobytes() for i in ids]
+
+    def chunk(self, text: str) -> bytes:
+        found = super().chunk(text)
+        self.chunks.clear()
+        return found
+
 
 def _tokens(lists: list[np.ndarray], spelled: pa.Array) -> tuple[pa.Table, pa.Array]:
     """``doc, id, end`` of every token, ends in bytes from its text's start; and the bytes of each text."""
@@ -192,7 +214,7 @@ def aligned_slices(
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (each, pair)]
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists], names=schema.names)
 
-    return rows.mapInArrow(align, schema)
+    return rows.mapInArrow(tidied(align), schema)
 
 
 def pair_counts(sliced: DataFrame) -> DataFrame:
@@ -237,4 +259,4 @@ def alignment(
                 own = [each.field(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_groups")]
                 yield pa.RecordBatch.from_arrays([*own, *sums, each.field("groups_sha256")], names=schema.names)
 
-    return sliced.select("slice", "docs").join(told, "slice", "left").select("docs", "told").mapInArrow(judge, schema)
+    return sliced.select("slice", "docs").join(told, "slice", "left").select("docs", "told").mapInArrow(tidied(judge), schema)

@@ -90,6 +90,10 @@ class ByteIds:
             self.chunks[chunk] = found
         return found
 
+    def spell(self, chunks: list[str]) -> list[bytes]:
+        """:meth:`chunk` of each chunk."""
+        return [self.chunk(c) for c in chunks]
+
     def encode(self, texts: pa.Array, after_space: bool = False) -> list[np.ndarray]:
         """Ids of each text, or of each text with a space before it."""
         words = space_words(texts)
@@ -98,14 +102,14 @@ class ByteIds:
         firsts = words.distinct.take(pa.array(codes[bounds[:-1]])).dictionary_encode()
         if not after_space:
             codes[bounds[:-1]] = len(distinct) + firsts.indices.to_numpy(zero_copy_only=False)
-        spelled = [self.chunk(" " + w) for w in distinct] + [self.chunk(w) for w in firsts.dictionary.to_pylist()]
+        spelled = self.spell([" " + w for w in distinct] + ([] if after_space else firsts.dictionary.to_pylist()))
         lengths = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
         starts = np.cumsum(lengths) - lengths
         ids = np.frombuffer(b"".join(spelled), dtype="<u4")[ragged(starts[codes], lengths[codes])]
         ends = np.concatenate([[0], np.cumsum(lengths[codes])])[bounds]
         out = [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         # neighbouring, leading or trailing spaces: cut by pattern instead
-        empty = np.array([w == "" for w in distinct] + [w == "" for w in firsts.dictionary.to_pylist()])
+        empty = np.array([w == "" for w in [*distinct, *firsts.dictionary.to_pylist()]])
         odd = np.add.reduceat(empty[codes], bounds[:-1]) > 0 if len(codes) else []
         for k in np.flatnonzero(odd & (sizes_in_bytes(texts) + after_space > 0)):
             chunks = CHUNKS.findall(" " * after_space + texts[int(k)].as_py())

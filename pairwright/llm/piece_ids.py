@@ -166,11 +166,15 @@ class PieceIds:
             self.chunks[text] = found
         return found
 
+    def spell(self, words: list[str]) -> list[bytes]:
+        """:meth:`chunk` of each word, with the space before it."""
+        return [self.chunk(MARK + w) for w in words]
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text with the begin and end ids; texts hold no space mark."""
         words = space_words(texts)
         distinct = words.distinct.to_pylist()
-        spelled = [self.chunk(MARK + w) for w in distinct] if self.parted else []
+        spelled = self.spell(distinct) if self.parted else []
         odd = np.full(len(texts), not self.parted)
         out: list[np.ndarray] = [np.empty(0, dtype="<u4")] * len(texts)
         if self.parted:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,24 @@ def filled(texts: pa.Array) -> pa.Array:
     return pa.concat_arrays([pc.fill_null(texts, "")])
 
 
+def tidied(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` on batches, after which freed memory goes back to the system.
+
+    Spark keeps its Python workers for later tasks; what one has freed but not
+    returned counts against the executor for as long.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 class Words:
     """The words of some texts: ``codes`` into ``distinct``, and where each text's codes begin."""
 
