@@ -8,7 +8,8 @@ literal map, which is cut into small buckets since Spark searches a map from its
 start.  A word that has a rank itself is one token.  Decoding joins the bytes of
 the ids' pieces.
 
-Each byte is the character of its number (Latin-1), so parts are strings.
+Parts are kept as a string with one character for each: a token's character is
+named by its rank, so a pair of parts is a string of two.
 
 - *Distinct words.*  Texts are taken in slices of bounded bytes; the fold sees
   each distinct word of a slice once.  Nothing is shuffled, and no task holds
@@ -47,11 +48,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairwright.llm.frames import text_of
-from pairwright.llm.words import Words
+from pairwright.llm.words import Words, tidied
 
 LATIN = "ISO-8859-1"
-# Buckets of the rank map: a few ranks each for the vocabularies in use.
-BUCKETS = 1 << 14
+# Buckets of the rank map: a few entries each for the vocabularies in use.
+BUCKETS = 1 << 15
+# The first token's character; those before it are bytes.
+FIRST = 0x100
 # Bytes of text that are a slice: the more, the fewer words are encoded again.
 SLICE_BYTES = 32 << 20
 # Words of more bytes are cut first, and merged at several places a step; and a character that is no byte's.
@@ -68,19 +71,35 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return found
 
 
-def marked_ranks(ranks: dict[bytes, int]) -> dict[bytes, int]:
-    """Twice the rank of every token, and one more where its merges have to be made one by one.
+def token_character(rank: int) -> str:
+    """The character that stands for a token: beyond Latin-1, and none of those that are no characters."""
+    point = FIRST + rank
+    return chr(point if point < 0xD800 else point + 0x800)
 
-    That is so where some pair with the token on a side has a lower rank than the token.
+
+def merges(ranks: dict[bytes, int]) -> dict[tuple[bytes, bytes], int]:
+    """Twice the rank of what each pair of tokens gives, and one more where its merges have to be made one by one.
+
+    That is so where some pair with the merged token on a side has a lower rank than that token.
     """
+    found = {}
     least: dict[bytes, int] = {}
     for token, rank in ranks.items():
         for k in range(1, len(token)):
             left, right = token[:k], token[k:]
             if left in ranks and right in ranks:
+                found[left, right] = rank
                 least[left] = min(rank, least.get(left, rank))
                 least[right] = min(rank, least.get(right, rank))
-    return {t: 2 * r + (least.get(t, r + 1) <= r) for t, r in ranks.items()}
+    return {pair: 2 * r + (least.get(pair[0] + pair[1], r + 1) <= r) for pair, r in found.items()}
+
+
+def bucketed(entries: dict[str, int]) -> list[dict[str, int]]:
+    """A map in buckets, which Spark finds by the same checksum."""
+    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    for key, value in entries.items():
+        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = value
+    return buckets
 
 
 def cut_pattern(ranks: dict[bytes, int]) -> str:
@@ -119,22 +138,28 @@ def _library_class(pattern: str) -> frozenset[str]:
     return frozenset(bytes(held.encode_ordinary(every)).decode())
 
 
-def java_pattern(spark: SparkSession, pattern: str) -> str:
-    """The tokenizer's pattern for this JVM, with the library's idea of each class."""
-    more = {}
-    for name in (r"\p{L}", r"\p{N}", r"\s"):
-        wanted = _library_class(name)
-        every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
-        known = spark.range(1).select(F.regexp_replace(F.lit(every), f"[^{name}]+", "")).first()[0]
-        if not set(known) <= wanted:
+@cache
+def _java_classes() -> dict[str, tuple[str, frozenset[str]]]:
+    """This JVM's name of each class, and the characters that only the library's has."""
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
+    compiled = SparkSession.active()._jvm.java.util.regex.Pattern.compile
+    found = {}
+    for name, java in ((r"\p{L}", r"\p{L}"), (r"\p{N}", r"\p{N}"), (r"\s", r"\p{IsWhite_Space}")):
+        known = set(compiled(f"[^{java}]+").matcher(every).replaceAll(""))
+        if not known <= _library_class(name):
             raise ValueError(f"{name} holds characters here that it does not hold in the library")
-        more[name] = name + _spelled_ranges(wanted - set(known))
-    more[r"\S"] = f"^{more[r'\s']}"
+        found[name] = (java, _library_class(name) - known)
+    return found
+
+
+def _translated(pattern: str, classes: dict[str, str]) -> str:
+    """A pattern with its classes under other names; a name may be several ranges."""
+    names = {**classes, r"\S": f"^{classes[r'\s']}"}
     out, at, inside = [], 0, False
     while at < len(pattern):
-        name = next((n for n in more if pattern.startswith(n, at)), None)
+        name = next((n for n in names if pattern.startswith(n, at)), None)
         if name:
-            out.append(more[name] if inside else f"[{more[name]}]")
+            out.append(names[name] if inside else f"[{names[name]}]")
             at += len(name)
         else:
             step = 2 if pattern[at] == "\\" else 1
@@ -144,22 +169,49 @@ def java_pattern(spark: SparkSession, pattern: str) -> str:
     return "".join(out)
 
 
+def words_of(text: Column, pattern: str) -> Column:
+    """The words of a text by the tokenizer's pattern, with the library's idea of each class.
+
+    Only texts with a character that this JVM does not class as the library does
+    pay for classes with many ranges.
+    """
+    classes = _java_classes()
+    found = F.regexp_extract_all(text, F.lit(_translated(pattern, {n: java for n, (java, _) in classes.items()})), F.lit(0))
+    unknown = frozenset().union(*(more for _, more in classes.values()))
+    if not unknown:
+        return found
+    longer = {n: java + _spelled_ranges(more) for n, (java, more) in classes.items()}
+    high = text.rlike(f"[\\x{{{ord(min(unknown)):x}}}-\\x{{10ffff}}]")
+    odd = high & text.rlike(f"[{_spelled_ranges(unknown)}]")
+    return F.when(odd, F.regexp_extract_all(text, F.lit(_translated(pattern, longer)), F.lit(0))).otherwise(found)
+
+
 def _named(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is worked out once."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
 class BytePairs:
-    """Column expressions that encode words by the literal map ``table``."""
+    """Column expressions that encode words.
+
+    ``table`` is a literal map in buckets: the marked rank of two tokens' characters,
+    and of each token's bytes as Latin-1; ``characters`` are the tokens' by rank.
+    """
 
-    def __init__(self, table: Column, cuts: str):
+    def __init__(self, table: Column, characters: Column, ranks: dict[bytes, int]):
         self.table = table
-        self.cuts = cuts
+        self.characters = characters
+        self.cuts = cut_pattern(ranks)
+        self.bytes = "".join(map(chr, range(256)))
+        self.byte_tokens = "".join(token_character(ranks[bytes([b])]) for b in range(256))
+
+    def marked(self, key: Column) -> Column:
+        """Marked rank of a key, or null."""
+        bucket = F.pmod(F.crc32(key.cast("binary")), F.lit(BUCKETS)).cast("int")
+        return F.try_element_at(F.get(self.table, bucket), key)
 
-    def marked(self, letters: Column) -> Column:
-        """Marked rank of some bytes, or null."""
-        bucket = F.pmod(F.crc32(letters.cast("binary")), F.lit(BUCKETS)).cast("int")
-        return F.try_element_at(F.get(self.table, bucket), letters)
+    def _character(self, marked: Column) -> Column:
+        return F.get(self.characters, F.shiftright(marked, 1))
 
     def _pairs(self, parts: Column) -> Column:
         """The marked rank of each pair of neighbours."""
@@ -170,30 +222,31 @@ class BytePairs:
 
     def _one_merge(self, at: Column, least: Column) -> Column:
         """``at`` (``parts``, ``ranks`` of the pairs, ``least`` of them) after its next merge."""
-        parts, ranks = at["parts"], at["ranks"]
-
-        def merged(place: Column, letters: Column) -> Column:
-            """``place`` is the left part's, from 0 on."""
-            new = F.transform(parts, lambda x, k: F.when(k == place, letters).otherwise(x))
-
-            def rank(found: Column, k: Column) -> Column:
-                before = _named(F.concat(F.get(parts, place - 1), letters), self.marked)
-                after = _named(F.concat(letters, F.get(parts, place + 2)), self.marked)
-                return F.when(k == place - 1, before).when(k == place, after).otherwise(found)
-
-            return F.struct(
-                F.filter(new, lambda _, k: k != place + 1).alias("parts"),
-                F.transform(F.filter(ranks, lambda _, k: k != place), rank).alias("ranks"),
-            )
+        ranks, count = at["ranks"], F.size(at["ranks"])
+
+        def merged(place: Column) -> Column:
+            """``place`` is the left part's, from 1 on, and its pair's."""
+
+            def ranked(parts: Column) -> Column:
+                before = _named(F.substring(parts, place - 1, F.lit(2)), self.marked)
+                after = _named(F.substring(parts, place, F.lit(2)), self.marked)
+                last = place == count
+                around = (
+                    F.when((place > 1) & ~last, F.array(before, after))
+                    .when(place > 1, F.array(before))
+                    .when(~last, F.array(after))
+                    .otherwise(F.array().cast("array<int>"))
+                )
+                left, right = F.slice(ranks, 1, F.greatest(place - 2, F.lit(0))), F.slice(ranks, place + 2, count)
+                return F.struct(parts.alias("parts"), F.flatten(F.array(left, around, right)).alias("ranks"))
 
-        def found(place: Column) -> Column:
-            return _named(F.concat(F.get(parts, place), F.get(parts, place + 1)), lambda letters: merged(place, letters))
+            return _named(F.overlay(at["parts"], self._character(least), place, F.lit(2)), ranked)
 
-        return _named((F.array_position(ranks, least) - 1).cast("int"), found)
+        return _named(F.array_position(ranks, least).cast("int"), merged)
 
     def _all_merges(self, at: Column, least: Column) -> Column:
         """``at`` after the merges of the lowest rank, all of them where their order cannot matter."""
-        parts, ranks = at["parts"], at["ranks"]
+        ranks = at["ranks"]
         flags = F.array_join(F.transform(ranks, lambda r: F.when(r == least, "1").otherwise("0")), "")
         # of neighbouring places the left one is merged
         apart = F.replace(flags, F.lit("11"), F.lit("10"))
@@ -201,18 +254,21 @@ class BytePairs:
         chosen = F.split(F.when(least % 2 == 1, single).otherwise(apart), "")
 
         def joined(places: Column) -> Column:
-            def part(letters: Column, k: Column) -> Column:
+            def part(character: Column, k: Column) -> Column:
                 here, before = F.get(places, k) == "1", F.get(places, k - 1) == "1"
-                return F.when(here, F.concat(letters, F.get(parts, k + 1))).when(~F.coalesce(before, F.lit(False)), letters)
+                return F.when(here, self._character(least)).when(~F.coalesce(before, F.lit(False)), character)
 
-            return F.array_compact(F.transform(parts, part))
+            return F.array_compact(F.transform(each(at["parts"]), part))
 
-        return _named(_named(chosen, joined), lambda new: F.struct(new.alias("parts"), self._pairs(new).alias("ranks")))
+        return _named(
+            _named(chosen, joined),
+            lambda new: F.struct(F.array_join(new, "").alias("parts"), self._pairs(new).alias("ranks")),
+        )
 
     def _folded(self, letters: Column) -> Column:
         """The parts of some bytes that no merge is left for."""
-        bytes_ = F.filter(F.split(letters, ""), lambda b: b != "")
-        start = _named(bytes_, lambda parts: F.struct(parts.alias("parts"), self._pairs(parts).alias("ranks")))
+        tokens = F.translate(letters, self.bytes, self.byte_tokens)
+        start = _named(tokens, lambda parts: F.struct(parts.alias("parts"), self._pairs(each(parts)).alias("ranks")))
         turns = F.sequence(F.lit(1), F.length(letters))
 
         def fold(merge: Callable[[Column, Column], Column]) -> Column:
@@ -228,32 +284,42 @@ class BytePairs:
 
         def ids(letters: Column) -> Column:
             # replaced, then split: a pattern to replace is compiled once, one to split by for every word
-            long = F.length(letters) > LONG
-            cut = F.split(F.when(long, F.regexp_replace(letters, self.cuts, CUT)).otherwise(letters), CUT)
-            folded = F.flatten(F.transform(cut, self._folded))
+            cut = F.split(F.regexp_replace(letters, self.cuts, chr(FIRST)), chr(FIRST))
+            long = F.array_join(F.transform(cut, self._folded), "")
+            parts = F.when(F.length(letters) > LONG, long).otherwise(self._folded(letters))
             whole = self.marked(letters)
-            ranked = F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, self.marked))
-            return F.transform(ranked, lambda r: F.shiftright(r, 1))
+            return F.when(whole.isNotNull(), F.array(F.shiftright(whole, 1))).otherwise(F.transform(each(parts), rank_of))
 
         return _named(F.decode(word.cast("binary"), LATIN), ids)
 
 
+def each(parts: Column) -> Column:
+    """The characters of a string that is not empty."""
+    return F.split(parts, "")
+
+
+def rank_of(character: Column) -> Column:
+    """The rank that a token's character stands for."""
+    point = F.ascii(character)
+    return F.when(point < 0xD800, point - FIRST).otherwise(point - FIRST - 0x800)
+
+
 def spelled(words: Column, ranks: dict[bytes, int]) -> Column:
     """``(n, ids, bytes)`` of each of some words: how many ids, the ids as text, and the bytes that they stand for.
 
     The literals stand in the plan once; all lambdas take them from there.
     """
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for token, marked in marked_ranks(ranks).items():
-        letters = token.decode(LATIN)
-        buckets[zlib.crc32(letters.encode()) % BUCKETS][letters] = marked
-    by_rank = {rank: token.decode(LATIN) for token, rank in ranks.items()}
-    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
-    pieces = F.from_json(F.lit(json.dumps([by_rank.get(k) for k in range(max(by_rank) + 1)])), "array<string>")
-    cuts = cut_pattern(ranks)
-
-    def of_all(table: Column, pieces: Column) -> Column:
-        pairs = BytePairs(table, cuts)
+    characters = {token: token_character(rank) for token, rank in ranks.items()}
+    entries = {characters[a] + characters[b]: marked for (a, b), marked in merges(ranks).items()}
+    entries |= {token.decode(LATIN): 2 * rank for token, rank in ranks.items()}
+    by_rank = {rank: token for token, rank in ranks.items()}
+    tokens = [(characters[by_rank[k]], by_rank[k].decode(LATIN)) if k in by_rank else (None, None) for k in range(max(by_rank) + 1)]
+    table = _literal(bucketed(entries), "array<map<string,int>>")
+    named = _literal([c for c, _ in tokens], "array<string>")
+    pieces = _literal([p for _, p in tokens], "array<string>")
+
+    def of_all(table: Column, named: Column, pieces: Column) -> Column:
+        pairs = BytePairs(table, named, ranks)
 
         def of_ids(ids: Column) -> Column:
             joined = F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")
@@ -262,19 +328,22 @@ def spelled(words: Column, ranks: dict[bytes, int]) -> Column:
 
         return F.transform(words, lambda word: _named(pairs.encode(word), of_ids))
 
-    return _named(table, lambda t: _named(pieces, lambda p: of_all(t, p)))
+    return _named(table, lambda t: _named(named, lambda n: _named(pieces, lambda p: of_all(t, n, p))))
+
+
+def _literal(value: list, kind: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
 
 
 def encoded_words(docs: DataFrame, ranks_path: str, pattern: str, id_column: str, text_column: str) -> DataFrame:
     """One row per slice of documents: ``ids`` and ``counts`` of words of its documents, ``codes`` of the words
     into ``spelled``, an array of ``(n, ids, bytes)`` of each distinct word."""
     ranks = read_ranks(ranks_path)
-    split = java_pattern(docs.sparkSession, pattern)
     text = text_of(text_column)
     rows = docs.select(
         F.col(id_column).alias("doc_id"),
         F.octet_length(text).cast("long").alias("size"),
-        F.regexp_extract_all(text, F.lit(split), F.lit(0)).alias("words"),
+        words_of(text, pattern).alias("words"),
     )
     schema = T.StructType(
         [
@@ -299,7 +368,7 @@ def encoded_words(docs: DataFrame, ranks_path: str, pattern: str, id_column: str
                     [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], names=schema.names
                 )
 
-    found = rows.mapInArrow(sliced, schema)
+    found = rows.mapInArrow(tidied(sliced), schema)
     return found.select("doc_ids", "counts", "codes", spelled(F.col("words"), ranks).alias("spelled"))
 
 
@@ -346,4 +415,4 @@ def byte_pairs(
                     names=schema.names,
                 )
 
-    return slices.mapInArrow(digested, schema)
+    return slices.mapInArrow(tidied(digested), schema)

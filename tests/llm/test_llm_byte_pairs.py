@@ -74,19 +74,18 @@ def test_merges_whose_order_matters(documents, small_ranks):
     rng = random.Random(11)
     texts = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 300))) for _ in range(300)]
     texts += ["a" * 200, "ab" * 90, "abc" * 80, "aab" * 70]
-    assert any(m % 2 for m in byte_pairs.marked_ranks(ranks).values())
+    assert any(m % 2 for m in byte_pairs.merges(ranks).values())
     assert found(documents(texts), path) == expected(list(enumerate(texts)), ranks)
 
 
 def test_classes_are_the_librarys(spark):
-    """Each class, as this JVM is told it, holds the characters that it holds in the library."""
+    """Each class holds the characters that it holds in the library, one by one and together."""
     every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
-    text = spark.createDataFrame([(every,)], "t string")
+    texts = spark.createDataFrame([(every,), ("aé 1\xa0x",)], "t string")
     for name in (r"\p{L}", r"\p{N}", r"\s"):
-        java = byte_pairs.java_pattern(spark, f"[^{name}]+")
-        held = text.select(F.regexp_replace("t", java, "")).first()[0]
-        assert set(held) == byte_pairs._library_class(name)
-    assert byte_pairs.java_pattern(spark, r"a\S").startswith("a[^")
+        held = texts.select(byte_pairs.words_of(F.col("t"), f"{name}+")).collect()
+        assert set("".join(held[0][0])) == byte_pairs._library_class(name)
+        assert set("".join(held[1][0])) == byte_pairs._library_class(name) & set("aé 1\xa0x")
 
 
 def test_a_file_without_every_byte_is_refused(tmp_path):
