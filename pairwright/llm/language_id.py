@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairwright.llm.frames import held_out
 from pairwright.llm.subwords import EDGES, mixed, ngrams
@@ -109,27 +110,31 @@ class Model:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], np.clip(score, 0, 1)
 
 
-def fit(texts: pa.Array, languages: list[str]) -> Model:
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def gram_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The distinct n-grams of each text."""
+    for texts in batches:
+        sets = [np.unique(word_ngrams(text_words(filled(texts.slice(k, 1))).distinct)[0]) for k in range(len(texts))]
+        bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+        flat = np.concatenate([np.empty(0, dtype=np.uint64), *sets]).view(np.int64)
+        yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+
+
+def fit(rates: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     """Filters that hold, for each language, the n-grams that are at home in it.
 
-    An n-gram is at home where at least two texts hold it, and at least a share
-    ``HOME`` of the rate at which the texts of any one language hold it.
+    ``rates`` has the n-grams of each language that at least two of its texts hold,
+    and the share of its texts that hold each.  An n-gram is at home where its rate
+    is at least a share ``HOME`` of its rate in any one language.
     """
-    names = sorted(set(languages))
+    names = sorted(rates)
     masks = np.zeros((POSITIONS, max(1, -(-len(names) // WORD_BITS))), dtype=np.uint64)
-    of = np.array(languages)
-    grams, rates = [], []
-    for name in names:
-        rows = np.flatnonzero(of == name)
-        seen = [np.unique(word_ngrams(text_words(filled(texts.slice(int(r), 1))).distinct)[0]) for r in rows]
-        gram, times = np.unique(np.concatenate(seen), return_counts=True)
-        often = times >= min(2, len(rows))
-        grams.append(gram[often])
-        rates.append(times[often] / len(rows))
+    grams = [rates[n][0] for n in names]
     known, where = np.unique(np.concatenate([*grams, np.empty(0, dtype=np.uint64)]), return_inverse=True)
+    rate = np.concatenate([*(rates[n][1] for n in names), np.empty(0)])
     highest = np.zeros(len(known))
-    np.maximum.at(highest, where, np.concatenate([*rates, np.empty(0)]))
-    at_home = np.concatenate([*rates, np.empty(0)]) >= HOME * highest[where]
+    np.maximum.at(highest, where, rate)
+    at_home = rate >= HOME * highest[where]
     bounds = np.cumsum([0, *map(len, grams)])
     for k in range(len(names)):
         for at in _positions(grams[k][at_home[bounds[k] : bounds[k + 1]]]):
@@ -138,9 +143,24 @@ def fit(texts: pa.Array, languages: list[str]) -> Model:
 
 
 def fit_on(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Filters learned from a bounded sample of documents that are not held out."""
-    rows = sample_of_every_label(docs, F.col("lang"), per_language)
-    return fit(rows.column("text").combine_chunks(), rows.column("label").to_pylist())
+    """Filters learned from a bounded sample of documents that are not held out.
+
+    The sampled texts' n-grams are counted by Spark; the driver gets each language's once.
+    """
+    sampled = sample_of_every_label(docs, F.col("lang"), per_language, gram_sets)
+    texts = sampled.groupBy("label").agg(F.count(F.lit(1)).alias("texts"))
+    held = sampled.select("label", F.explode("value").alias("gram")).groupBy("label", "gram").agg(F.count(F.lit(1)).alias("times"))
+    often = held.join(F.broadcast(texts), "label").where(F.col("times") >= F.least(F.lit(2), F.col("texts")))
+    rows = often.select("label", "gram", (F.col("times") / F.col("texts")).alias("rate")).toArrow()
+    rates = {name: (np.empty(0, dtype=np.uint64), np.empty(0)) for (name,) in texts.select("label").collect()}
+    labels = rows.column("label").combine_chunks().dictionary_encode()
+    codes = labels.indices.to_numpy(zero_copy_only=False)
+    grams, shares = rows.column("gram").to_numpy().view(np.uint64), rows.column("rate").to_numpy()
+    order = np.lexsort((grams, codes))
+    for code, name in enumerate(labels.dictionary.to_pylist()):
+        own = order[np.searchsorted(codes[order], code) : np.searchsorted(codes[order], code, side="right")]
+        rates[name] = (grams[own], shares[own])
+    return fit(rates)
 
 
 def language_columns(model: Model, text: Column) -> Column:

@@ -7,12 +7,13 @@ labelled bad document is paired with good ones; the logistic loss on the
 differences of their vectors gives the weights (Bradley-Terry: the odds that one
 document is preferred are the ratio of the exponentials of their scores).
 
-The share of bad documents among all labelled rows is the quantile of the
-sampled scores that parts good from bad.  The reported score is a logistic
+The share of bad documents among all labelled rows is the quantile of those
+rows' scores that parts good from bad.  The reported score is a logistic
 function of the distance to it, at ``threshold`` exactly there.
 
-The fit uses a bounded sample of labelled rows (``ROWS``); counts of labels
-cover all rows.  Defined cases: a null or empty text has all measures 0 and
+The weights come from a bounded sample of labelled rows (``PER_CLASS`` of each
+label), of which the driver gets the measures; counts of labels and the quantile
+cover all labelled rows that are not held out, however long.  Defined cases: a null or empty text has all measures 0 and
 scores like any other; without labelled rows of both kinds every score is 1,
 or 0 if only bad rows were seen.
 """
@@ -20,20 +21,24 @@ or 0 if only bad rows were seen.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pairwright.llm.frames import held_out
+from pairwright.llm.frames import held_out, landed, text_of
 from pairwright.llm.training import sample
 from pairwright.llm.words import SLICE_BYTES, Words, filled, sizes_in_bytes, white_space_words
 
 PER_CLASS = 2000
 RIVALS = 8
+# Strengths are counted in steps of one STEPS-th up to FAR either way.
+STEPS = 1000
+FAR = 1000
 # Fixed marks whose share of a text is measured one by one.
 MARKS = "!*#$%&|<>=_@/"
 
@@ -156,13 +161,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(texts: pa.Array, good: np.ndarray, bad_share: float, threshold: float, ridge: float = 1.0, seed: int = 7) -> Model:
-    """Weights by Newton steps on the logistic loss of good-minus-bad differences.
-
-    ``bad_share`` is the share of bad rows among all labelled ones; the sample
-    is weighted by it where the quantile is taken.
-    """
-    rows = measures(filled(texts))
+def fit(rows: np.ndarray, good: np.ndarray, threshold: float, ridge: float = 1.0, seed: int = 7) -> Model:
+    """Weights by Newton steps on the logistic loss of good-minus-bad differences of measures; parted at 0."""
     width = len(NAMES)
     good_rows, bad_rows = np.flatnonzero(good == 1), np.flatnonzero(good == 0)
     if not len(good_rows) or not len(bad_rows):
@@ -182,21 +182,63 @@ def fit(texts: pa.Array, good: np.ndarray, bad_share: float, threshold: float, r
         weights -= step
         if np.abs(step).max() < 1e-6:
             break
-    strength = z @ weights
-    each = np.where(good == 1, (1 - bad_share) / len(good_rows), bad_share / len(bad_rows))
-    order = np.argsort(strength, kind="stable")
-    at = int(np.searchsorted(np.cumsum(each[order]), bad_share))
-    low, high = strength[order[min(at, len(order) - 1)]], strength[order[min(at + 1, len(order) - 1)]]
-    return Model(centre, scale, weights, float((low + high) / 2), threshold)
+    return Model(centre, scale, weights, 0.0, threshold)
+
+
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The measures of a text column."""
+    for texts in batches:
+        rows = measures(filled(texts))
+        bounds = np.arange(len(rows) + 1, dtype=np.int32) * len(NAMES)
+        yield pa.ListArray.from_arrays(pa.array(bounds), pa.array(rows.ravel()))
+
+
+def strength_column(model: Model, text: Column) -> Column:
+    """The Bradley-Terry score of a text column."""
+
+    @F.arrow_udf("double")
+    def strength(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(model.strengths(measures(filled(texts))))
+
+    return strength(text)
+
+
+def quantile(strengths: DataFrame, labels: DataFrame) -> float:
+    """The strength that as large a share of the labelled rows lies below as are bad, to half a step.
+
+    ``strengths`` are ``doc_id, strength`` of all documents.  Labelled rows that are
+    not held out are counted in steps, so what reaches the driver does not grow
+    with the rows.
+    """
+    label = F.col("quality").cast("int")
+    seen = labels.where(F.col("doc_id").isNotNull() & label.isin(0, 1) & ~held_out())
+    rows = strengths.select("doc_id", "strength").join(seen.select("doc_id", (1 - label).alias("bad")), "doc_id")
+    step = F.floor(F.least(F.greatest("strength", F.lit(-FAR)), F.lit(FAR)) * F.lit(STEPS)).cast("int")
+    counted = rows.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+    found = counted.orderBy("step").toPandas()
+    if not len(found):
+        return 0.0
+    below = int(np.searchsorted(np.cumsum(found["n"]), found["bad"].sum()))
+    here, after = found["step"].iloc[below], found["step"].iloc[min(below + 1, len(found) - 1)]
+    return float((here + after + 1) / 2 / STEPS)
+
+
+def fit_weights(docs: DataFrame, labels: DataFrame, threshold: float, per_class: int = PER_CLASS) -> Model:
+    """Weights from a bounded sample of labelled rows that are not held out; parted at 0."""
+    rows = sample(docs, labels, F.col("quality").cast("int"), per_class, measured).toArrow()
+    values = rows.column("value").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(NAMES))
+    return fit(values, (rows.column("label").to_numpy() == 1).astype(np.int64), threshold)
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, threshold: float, per_class: int = PER_CLASS) -> Model:
-    """A model of ``labels.quality`` on a bounded sample of labelled rows that are not held out."""
-    seen = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
-    counts = seen.agg(F.count_if(F.col("quality") == 0).alias("bad"), F.count(F.lit(1)).alias("all")).first()
-    rows = sample(docs, labels, F.col("quality").cast("int"), per_class)
-    share = counts["bad"] / counts["all"] if counts["all"] else 0.0
-    return fit(rows.column("text").combine_chunks(), (rows.column("label").to_numpy() == 1).astype(np.int64), share, threshold)
+    """A model of ``labels.quality`` on labelled rows that are not held out."""
+    model = fit_weights(docs, labels, threshold, per_class)
+    if not model.weights.any():
+        return model
+    strengths = docs.select("doc_id", strength_column(model, text_of()).alias("strength"))
+    return replace(model, parting=quantile(strengths, labels))
 
 
 def score_column(model: Model, text: Column) -> Column:
@@ -211,7 +253,12 @@ def score_column(model: Model, text: Column) -> Column:
 
 
 def quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, threshold: float = 0.3) -> DataFrame:
-    """Every document with its score and whether it is taken for good."""
-    model = fit_on(docs, labels, threshold, per_class)
-    scored = docs.select("doc_id", held_out().alias("held_out"), score_column(model, F.col("text")).alias("score"))
+    """Every document with its score and whether it is taken for good; texts are measured once."""
+    model = fit_weights(docs, labels, threshold, per_class)
+    strengths = docs.select("doc_id", held_out().alias("held_out"), strength_column(model, text_of()).alias("strength"))
+    strengths = landed(strengths, "strengths")
+    parting = quantile(strengths, labels) if model.weights.any() else model.parting
+    z = F.col("strength") - F.lit(parting) + F.lit(float(np.log(threshold / (1 - threshold))))
+    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.least(F.greatest(z, F.lit(-500.0)), F.lit(500.0))))
+    scored = strengths.select("doc_id", "held_out", score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -7,7 +7,8 @@ gradient steps.  A document is as toxic as its most toxic window, in training as
 in scoring, so one word in a long text is not averaged away.  A misspelled word
 shares most n-grams with the right one, and with them their vectors.
 
-The fit uses a bounded sample of labelled rows (``PER_CLASS`` of each label).
+The fit uses a bounded sample of labelled rows (``PER_CLASS`` of each label, at most
+``MOST_WINDOWS`` windows of each) and runs in one task, which sends back the weights.
 Scoring reads every text whole.  A fitted model is one number per bucket, as
 the softmax of an average is linear in the embeddings.
 
@@ -26,14 +27,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairwright.llm.frames import held_out
 from pairwright.llm.subwords import EDGES, ngrams
-from pairwright.llm.training import sample
+from pairwright.llm.training import fitted, sample
 from pairwright.llm.words import SLICE_BYTES, Words, filled, sizes_in_bytes, white_space_words
 
 PER_CLASS = 1000
 WINDOW = 40
+# Windows of one text in the fit: of a longer text so many, evenly spread over all of it.
+MOST_WINDOWS = 500
 # A window counts as having so many more n-grams of no weight: few words alone are weak evidence.
 EMPTY_NGRAMS = 60
 BUCKETS = 1 << 18
@@ -158,10 +162,34 @@ def fit(texts: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
     return Model(weights, float(bias[1] - bias[0]))
 
 
+@F.arrow_udf(T.StringType())
+def thinned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Texts for the fit: of a very long one, windows from all over it."""
+    for texts in batches:
+        yield pa.array([_thin(t) for t in texts.to_pylist()], pa.string())
+
+
+def _thin(text: str) -> str:
+    words = text.split(maxsplit=-1)
+    windows_ = -(-len(words) // WINDOW)
+    if windows_ <= MOST_WINDOWS:
+        return text
+    at = np.linspace(0, windows_ - 1, MOST_WINDOWS).astype(np.int64).tolist()
+    return " ".join(" ".join(words[k * WINDOW : (k + 1) * WINDOW]) for k in at)
+
+
 def fit_on(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """A model of ``labels.toxic`` on a bounded sample of labelled rows that are not held out."""
-    rows = sample(docs, labels, F.col("toxic").cast("int"), per_class)
-    return fit(rows.column("text").combine_chunks(), (rows.column("label").to_numpy() == 1).astype(np.int64))
+
+    def fit_rows(rows: pa.Table) -> dict:
+        model = fit(rows.column("value").combine_chunks(), (rows.column("label").to_numpy() == 1).astype(np.int64))
+        return {"weights": model.weights.tobytes(), "bias": model.bias}
+
+    rows = sample(docs, labels, F.col("toxic").cast("int"), per_class, thinned)
+    found = fitted(rows, fit_rows, "weights binary, bias double")
+    if found is None:
+        return fit(pa.array([], pa.string()), np.empty(0, np.int64))
+    return Model(np.frombuffer(bytes(found["weights"])), found["bias"])
 
 
 def score_column(model: Model, text: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,7 +44,6 @@ def tidied(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(batches)
-        gc.collect()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim is not None:

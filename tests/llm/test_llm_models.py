@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pairwright.llm import language_id, quality, toxicity
+from pairwright.llm import language_id, quality, toxicity, training
 from pairwright.llm.subwords import ngrams
 
 FOLDER = "/root/testdata/sf0.1"
@@ -95,3 +95,72 @@ def test_every_language_is_learned_however_many_there_are(documents):
     got = {r["doc_id"]: r["lang_pred"] for r in found.collect()}
     assert len(got) == len(rows)
     assert [(r[0], got[r[0]]) for r in rows if got[r[0]] != r[2]] == []
+
+
+def test_long_labelled_texts_are_learned_from(spark, documents):
+    """Every labelled text is of some 250,000 characters; the classes still part."""
+    clean = "the quiet river runs past seven old stone houses and nobody minds the slow boats. "
+    rude = "the quiet wretchedly river horridscum runs!!! past ### seven $$$ old old old old. "
+    rows = [(k, (rude if k % 2 else clean) * 3_050 + str(k), "en", "s", 0) for k in range(24)]
+    labels = spark.createDataFrame([(k, 1 - k % 2, k % 2) for k in range(24)], LABELS)
+    docs = documents(rows=rows)
+    for found, good in ((toxicity.toxicity(docs, labels), 0), (quality.quality(docs, labels), 1)):
+        scores = {r["doc_id"]: r["predicted"] for r in found.collect()}
+        assert all(scores[k] == (good if k % 2 == 0 else 1 - good) for k in scores)
+
+
+def test_long_texts_are_thinned_evenly():
+    words = [f"w{k}" for k in range(60_000)]
+    kept = toxicity._thin(" ".join(words)).split()
+    assert len(kept) == toxicity.MOST_WINDOWS * toxicity.WINDOW
+    assert kept[0] == "w0" and kept[-1] == "w59999"
+    assert toxicity._thin("a  b\n c") == "a  b\n c"
+
+
+def test_sampled_ids_are_the_first_by_hash(spark):
+    rows = spark.range(5_000).select(F.col("id").alias("doc_id"), (F.col("id") % 10 == 0).cast("int").alias("l"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 1), (7, None)], "doc_id long, l int"))
+    got = training.sample_ids(rows.repartition(5), F.col("l"), 30).collect()
+    hashed = rows.where("doc_id IS NOT NULL AND l IS NOT NULL AND crc32(string(doc_id)) % 5 <> 0").selectExpr("doc_id", "l", "xxhash64(doc_id) AS h")
+    want = []
+    for label in (0, 1):
+        want += sorted((r["h"], r["doc_id"], label) for r in hashed.collect() if r["l"] == label)[:30]
+    assert sorted((r["doc_id"], r["label"]) for r in got) == sorted((d, label) for _, d, label in want)
+
+
+def test_quality_parts_at_the_quantile_of_all_labelled_rows(tables):
+    docs, labels = tables
+    model = quality.fit_on(docs, labels, 0.3, per_class=200)
+    rows = docs.join(labels, "doc_id").where("quality IS NOT NULL AND crc32(string(doc_id)) % 5 <> 0").select("text", "quality").toPandas()
+    strength = model.strengths(quality.measures(pa.array(rows["text"])))
+    bad = int((rows["quality"] == 0).sum())
+    below = int((strength < model.parting).sum())
+    assert abs(below - bad) <= 2
+
+
+def test_bradley_terry_weights_minimise_the_loss():
+    """Newton steps against plain gradient steps on all the same differences."""
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(60, len(quality.NAMES)))
+    good = (rows[:, 0] + 0.5 * rows[:, 3] + 0.3 * rng.normal(size=60) > 0).astype(int)
+    model = quality.fit(rows, good, 0.3)
+    z = np.clip((rows - model.centre) / model.scale, -8, 8)
+    picks = np.random.default_rng(7).choice(np.flatnonzero(good == 1), (int((good == 0).sum()), quality.RIVALS))
+    diff = (z[picks] - z[good == 0][:, None, :]).reshape(-1, len(quality.NAMES))
+    weights = np.zeros(diff.shape[1])
+    for _ in range(20_000):
+        weights -= 0.005 * (diff.T @ (1 / (1 + np.exp(-diff @ weights)) - 1) + weights)
+    assert np.abs(weights - model.weights).max() < 1e-3
+
+
+def test_filters_hold_what_was_put_in_and_counts_are_corrected(spark):
+    """Against plain sets: nothing put in is missed, and foreign n-grams count for nothing on average."""
+    rng = np.random.default_rng(5)
+    grams = {name: np.unique(rng.integers(0, 2**63, 150_000).astype(np.uint64)) for name in ("aa", "bb", "cc")}
+    model = language_id.fit({n: (g, np.full(len(g), 0.5)) for n, g in grams.items()})
+    for k, name in enumerate(model.languages):
+        held = np.bitwise_and.reduce([model.masks[at, 0] for at in language_id._positions(grams[name])])
+        assert language_id._bit(held, k).all()
+        foreign = rng.integers(0, 2**63, 200_000).astype(np.uint64)
+        hit = language_id._bit(np.bitwise_and.reduce([model.masks[at, 0] for at in language_id._positions(foreign)]), k).mean()
+        assert abs(hit - model.false_positives[k]) < 0.003
