@@ -6,7 +6,14 @@ read through a sliding window; the window's character counts change by one
 character out and one in per step, and its Shannon entropy follows from the
 sum of ``c * log2(c)`` over the counts.  A candidate with a window above its
 class's threshold gives one span, from the first such window's start to the
-last one's end, unless the allow list names it or a base span overlaps it.
+last one's end, unless the allow list names it.
+
+Candidates are looked for in what the base spans leave of a text, so a key that
+touches one is not lost with it.  An allowed word that stands by itself, as in a
+path, is left out the same way; one within a string speaks for the whole string.
+
+Matches of a text are worked on in blocks, so work grows with their number, not
+with its square.
 
 Positions count code points, ends are exclusive.  Defined cases: a null text
 counts as empty; a text without spans gives zeros, an empty ``spans`` and the
@@ -16,6 +23,7 @@ digest of the empty string; repeated rows give repeated results.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -61,33 +69,112 @@ CLASSES = (
 )
 # Strings that look random and are none: sample keys, alphabets, placeholders.
 ALLOWED = "(?i)example|sample|placeholder|changeme|x{8}|0{8}|abcdefgh|01234567|12345678"
+# Those of them that are words.
+ALLOWED_WORDS = ("example", "sample", "placeholder", "changeme")
+BLOCK = 256
+NO_SPANS = "array<struct<start:int,kind:int,stop:int>>"
 
 
-def _spans(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
-    """Array of ``(start, kind, stop)`` of a pattern's matches; null where there is none.
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _held(values: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of an array that is worked out once, in a form whose parts can be had without reading all of it."""
+    return _named(F.transform(values, lambda x: x), use)
+
+
+def _blocks(values: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of each block of an array (held, and not empty), and of its number."""
+    last = F.floor((F.size(values) - 1) / F.lit(BLOCK)).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), last),
+        lambda b: _named(F.slice(values, b * BLOCK + 1, F.lit(BLOCK)), lambda part: use(part, b)),
+    )
+
+
+def running_sums(values: Column) -> Column:
+    """The sums of an array's values up to each, for an array that is not empty."""
+
+    def sums(part: Column) -> Column:
+        start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all"))
 
-    ``split`` and ``regexp_extract_all`` meet the same matches: the start of
-    the k-th is the length of all pieces and matches before it.
+        def step(state: Column, value: Column) -> Column:
+            more = state["sum"] + value
+            return F.struct(more.alias("sum"), F.concat(state["all"], F.array(more)).alias("all"))
+
+        return F.aggregate(part, start, step, lambda state: state["all"])
+
+    def shifted(parts: Column) -> Column:
+        # each block starts where those before it end
+        def by(ends: Column) -> Column:
+            before = lambda b: F.when(b > 0, F.get(ends, b - 1)).otherwise(0)
+            return F.flatten(
+                F.transform(parts, lambda p, b: _named(before(b), lambda shift: F.transform(p, lambda x: x + shift)))
+            )
+
+        return _named(sums(F.transform(parts, lambda p: F.element_at(p, -1))), by)
+
+    return _held(values, lambda held: _named(_blocks(held, lambda part, _: sums(part)), shifted))
+
+
+def _found(text: Column, pattern: str, value_group: int = 0) -> Column:
+    """Array of ``(start, stop, value)`` of a pattern's matches; null where there is none.
+
+    ``split`` and ``regexp_extract_all`` meet the same matches: the end of the
+    k-th is the length of all pieces and matches up to it.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else whole
-    pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
-    empty = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
 
-    def step(state: Column, match: Column) -> Column:
-        start = state["at"] + F.char_length(match["piece"])
-        stop = start + F.char_length(match["whole"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"))
-        return F.struct(
-            stop.alias("at"),
-            F.when(F.char_length(match["value"]) >= least, F.concat(state["found"], F.array(span)))
-            .otherwise(state["found"])
-            .alias("found"),
+    def placed(whole: Column) -> Column:
+        pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
+        ends = running_sums(F.zip_with(pieces, whole, lambda p, w: F.char_length(p) + F.char_length(w)))
+        zipped = F.arrays_zip(ends.alias("stop"), whole.alias("whole"), value.alias("value"))
+        return F.transform(
+            zipped,
+            lambda m: F.struct(
+                (m["stop"] - F.char_length(m["whole"])).alias("start"), m["stop"].alias("stop"), m["value"].alias("value")
+            ),
         )
 
-    matches = F.arrays_zip(pieces.alias("piece"), whole.alias("whole"), value.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    return F.when(text.rlike(pattern), F.aggregate(matches, start, step, lambda state: state["found"]))
+    return F.when(text.rlike(pattern), _named(whole, placed))
+
+
+def _spans(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
+    """Array of ``(start, kind, stop)`` of a pattern's matches, in order and apart."""
+    found = _found(text, pattern, value_group)
+    if least:
+        found = F.filter(found, lambda m: F.char_length(m["value"]) >= least)
+    spans = F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["stop"].alias("stop")))
+    return F.coalesce(spans, F.array().cast(NO_SPANS))
+
+
+def covered(text: Column, spans: Column, mask: str) -> Column:
+    """The text with every character of some spans, in order and apart, replaced; lengths stay as they were."""
+
+    def of_text(whole: Column, held: Column) -> Column:
+        def of_block(part: Column, b: Column) -> Column:
+            first = F.when(b == 0, F.lit(0)).otherwise(F.element_at(part, 1)["start"])
+            following = F.get(held, (b + 1) * BLOCK)["start"]
+
+            def region(here: Column) -> Column:
+                begin = F.struct(first.alias("at"), F.array().cast("array<string>").alias("done"))
+
+                def step(state: Column, span: Column) -> Column:
+                    between = F.substring(here, state["at"] - first + 1, span["start"] - state["at"])
+                    hidden = F.repeat(F.lit(mask), span["stop"] - span["start"])
+                    return F.struct(span["stop"].alias("at"), F.concat(state["done"], F.array(between, hidden)).alias("done"))
+
+                rest = lambda s: F.substring(here, s["at"] - first + 1, F.char_length(here))
+                return F.aggregate(part, begin, step, lambda s: F.concat(F.array_join(s["done"], ""), rest(s)))
+
+            return _named(F.substring(whole, first + 1, F.coalesce(following, F.char_length(whole)) - first), region)
+
+        return F.array_join(_blocks(held, of_block), "")
+
+    return F.when(F.size(spans) > 0, _named(text, lambda t: _held(spans, lambda held: of_text(t, held)))).otherwise(text)
 
 
 def _weight(count: Column) -> Column:
@@ -138,10 +225,10 @@ def hot_windows(candidate: Column, window: int, bits: float) -> Column:
 
 
 def _entropy_spans(text: Column, kind: CharacterClass) -> Column:
-    """Spans of one class before the base spans are taken into account; null where there is none."""
+    """Spans of one class, in order and apart."""
 
     def spans(run: Column) -> Column:
-        candidate = F.substring(text, run["start"] + 1, run["stop"] - run["start"])
+        candidate = run["value"]
         plausible = ~candidate.rlike(ALLOWED)
         for need in kind.needs:
             plausible = plausible & candidate.rlike(need)
@@ -155,40 +242,48 @@ def _entropy_spans(text: Column, kind: CharacterClass) -> Column:
             ),
         )
 
-    runs = _spans(text, kind.run, 3)
-    return F.flatten(F.transform(runs, spans))
+    return F.coalesce(F.flatten(F.transform(_found(text, kind.run), spans)), F.array().cast(NO_SPANS))
+
+
+def without_words(text: Column) -> Column:
+    """The text with spaces for allowed words that stand by themselves."""
+    alone = "(?i)(?<![A-Za-z0-9])(?:{})(?![A-Za-z0-9])"
+    left = text
+    for word in ALLOWED_WORDS:
+        left = F.regexp_replace(left, alone.format(word), " " * len(word))
+    return F.when(text.rlike(alone.format("|".join(ALLOWED_WORDS))), left).otherwise(text)
 
 
-def _named(spans: Column) -> Column:
+def _spelled(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["stop"].cast("string"))),
         ",",
     )
 
-NO_SPANS = "array<struct<start:int,kind:int,stop:int>>"
+
+BASE = ("_assign", "_access", "_hex")
+MORE = tuple(f"_entropy{k}" for k in range(len(CLASSES)))
 
 
 def with_spans(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` with ``_base`` and ``_spans``: sorted arrays of ``(start, kind, stop)``."""
+    """``docs`` with ``_base`` and ``_spans``, sorted arrays of ``(start, kind, stop)``, and the spans of each pattern by itself."""
     text = text_of(text_column)
-    none = F.array().cast(NO_SPANS)
-    base = [
-        F.when(text.rlike(ASSIGN_HINT), _spans(text, ASSIGN, 0, value_group=2, least=ASSIGN_VALUE)),
-        F.when(F.contains(text, F.lit("AKIA")), _spans(text, ACCESS, 1)),
-        _spans(text, HEX, 2),
-    ]
-    base = F.array_sort(F.concat(*[F.coalesce(b, none) for b in base]))
-    more = F.array_distinct(F.concat(*[F.coalesce(_entropy_spans(text, k), none) for k in CLASSES]))
-    apart = F.filter(
-        F.col("_more"),
-        lambda s: ~F.exists(F.col("_base"), lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])),
-    )
-    return (
-        docs.withColumns({"_base": base, "_more": more})
-        .withColumn("_spans", F.array_sort(F.concat("_base", apart)))
-        .drop("_more")
-    )
+    base = {
+        "_assign": F.when(text.rlike(ASSIGN_HINT), _spans(text, ASSIGN, 0, value_group=2, least=ASSIGN_VALUE)).otherwise(
+            F.array().cast(NO_SPANS)
+        ),
+        "_access": F.when(F.contains(text, F.lit("AKIA")), _spans(text, ACCESS, 1)).otherwise(F.array().cast(NO_SPANS)),
+        "_hex": _spans(text, HEX, 2),
+    }
+    found = docs.withColumns(base)
+    left = text
+    for name in BASE:
+        left = covered(left, F.col(name), " ")
+    found = found.withColumn("_left", without_words(left))
+    found = found.withColumns({n: _entropy_spans(F.col("_left"), k) for n, k in zip(MORE, CLASSES, strict=True)}).drop("_left")
+    more = F.array_distinct(F.concat(*MORE))
+    return found.withColumn("_base", F.array_sort(F.concat(*BASE))).withColumn("_spans", F.array_sort(F.concat("_base", more)))
 
 
 def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -200,57 +295,52 @@ def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
-        F.sha2(_named(F.col("_base")), 256).alias("base_sha256"),
-        _named(F.col("_spans")).alias("spans"),
+        F.sha2(_spelled(F.col("_base")), 256).alias("base_sha256"),
+        _spelled(F.col("_spans")).alias("spans"),
     )
 
 
 def masked(docs: DataFrame, text_column: str = "text", mask: str = "*") -> DataFrame:
     """``docs`` with every character of every span replaced, so that lengths stay as they were."""
-    text = F.col("text")
-
-    def step(state: Column, span: Column) -> Column:
-        start = F.greatest(span["start"], state["at"])
-        stop = F.greatest(span["stop"], state["at"])
-        return F.struct(
-            stop.alias("at"),
-            F.concat(
-                state["done"],
-                F.array(F.substring(text, state["at"] + 1, start - state["at"]), F.repeat(F.lit(mask), stop - start)),
-            ).alias("done"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("done"))
-    end = F.aggregate(
-        "_spans",
-        start,
-        step,
-        lambda s: F.concat(F.array_join(s["done"], ""), F.substring(text, s["at"] + 1, F.char_length(text))),
-    )
-    changed = F.when(F.size("_spans") > 0, end).otherwise(text)
     rows = with_spans(wrapped(docs, text=F.col(f"`{text_column}`")))
-    return unwrapped(rows, docs.columns, **{text_column: changed})
+    # the spans of one pattern are apart; those of different patterns may overlap
+    for name in (*BASE, *MORE):
+        rows = rows.withColumn("text", covered(F.col("text"), F.col(name), mask))
+    return unwrapped(rows, docs.columns, **{text_column: F.col("text")})
 
 
-def _matches(kind: int, pattern: str, group: int, gate: str) -> str:
-    """SQL for one pattern's matches, one row each, with the piece of text before it."""
-    return f"""SELECT rid, {kind} AS k, unnest(range(1, len(whole) + 1)) AS i, unnest(whole) AS whole, unnest(value) AS value,
+def _matches(kind: int, pattern: str, group: int, table: str) -> str:
+    """SQL for one pattern's matches in the texts of a table, one row each, with the piece of text before it."""
+    return f"""SELECT rid, part, {kind} AS k, unnest(range(1, len(whole) + 1)) AS i, unnest(whole) AS whole, unnest(value) AS value,
     unnest(piece[1:len(whole)]) AS piece
-  FROM (SELECT rid, regexp_extract_all(text, '{pattern}') AS whole, regexp_extract_all(text, '{pattern}', {group}) AS value,
-    string_split_regex(text, '{pattern}') AS piece FROM t WHERE regexp_matches(text, '{gate or pattern}'))"""
+  FROM (SELECT rid, part, regexp_extract_all(text, '{pattern}') AS whole, regexp_extract_all(text, '{pattern}', {group}) AS value,
+    string_split_regex(text, '{pattern}') AS piece FROM {table} WHERE regexp_matches(text, '{pattern}'))"""
+
+
+def _placed(matches: str) -> str:
+    """SQL for where matches start in their text."""
+    return f"""SELECT *, (sum(length(piece)) OVER before + coalesce(sum(length(whole)) OVER earlier, 0))::BIGINT AS a
+  FROM ({matches}) WINDOW before AS (PARTITION BY rid, part, k ORDER BY i),
+    earlier AS (PARTITION BY rid, part, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 
 
-def _sql(pattern: str) -> str:
-    return pattern.replace("'", "''")
+def _without_words(text: str) -> str:
+    """SQL for a text with spaces for allowed words by themselves; twice, as neighbours share what parts them."""
+    for _ in range(2):
+        for word in ALLOWED_WORDS:
+            either = "".join(f"[{c}{c.upper()}]" for c in word)
+            text = f"regexp_replace({text}, '(^|[^A-Za-z0-9]){either}($|[^A-Za-z0-9])', '\\1{' ' * len(word)}\\2', 'g')"
+    return text
 
 
-_BASE = [(0, _sql(ASSIGN), 2, ""), (1, ACCESS, 0, ""), (2, HEX, 0, "")]
-_RUNS = [(3, "[A-Za-z0-9+/_=-]{20,}", 0, ""), (4, "[0-9A-F]{24,}", 0, "")]
-_HOT = """SELECT rid, a + min(w) AS a, a + max(w) + {window} AS b FROM (
-    SELECT rid, i, a, whole, unnest(range(0, length(whole) - {window} + 1)) AS w FROM placed
-    WHERE k = {kind} AND length(whole) >= {window} AND NOT regexp_matches(whole, '{allowed}') AND {needs})
+_ASSIGN_SQL = ASSIGN.replace("'", "''")
+_BASE = " UNION ALL ".join(_matches(k, p, g, "t") for k, p, g in ((0, _ASSIGN_SQL, 2), (1, ACCESS, 0), (2, HEX, 0)))
+_RUNS = " UNION ALL ".join(_matches(k, p, 0, "rest") for k, p in ((3, "[A-Za-z0-9+/_=-]{20,}"), (4, "[0-9A-F]{24,}")))
+_HOT = """SELECT rid, shift + a + min(w) AS a, shift + a + max(w) + {window} AS b FROM (
+    SELECT rid, part, i, a, whole, unnest(range(0, length(whole) - {window} + 1)) AS w FROM runs
+    WHERE k = {kind} AND length(whole) >= {window} AND NOT regexp_matches(whole, '{allowed}') AND {needs}) JOIN rest USING (rid, part)
   WHERE list_aggregate(string_split(substr(whole, w::INTEGER + 1, {window}), ''), 'entropy') >= {bits} - 1e-9
-  GROUP BY rid, i, a"""
+  GROUP BY rid, part, shift, i, a"""
 _ENTROPY = " UNION ".join(
     _HOT.format(
         window=c.window,
@@ -261,25 +351,26 @@ _ENTROPY = " UNION ".join(
     )
     for n, c in enumerate(CLASSES)
 )
+# The twin cuts a text where base spans are and looks at each part that is left by itself.
 ORACLE = f"""
-WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-m AS ({" UNION ALL ".join(_matches(*x) for x in _BASE + _RUNS)}),
-placed AS (
-  SELECT *, (sum(length(piece)) OVER before + coalesce(sum(length(whole)) OVER earlier, 0))::BIGINT AS a
-  FROM m WINDOW before AS (PARTITION BY rid, k ORDER BY i),
-    earlier AS (PARTITION BY rid, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+WITH t AS (SELECT row_number() OVER () AS rid, 0 AS part, doc_id, coalesce(text, '') AS text FROM documents),
+base AS (SELECT rid, k, a, a + length(whole) AS b FROM ({_placed(_BASE)}) WHERE k IN (1, 2) OR k = 0 AND length(value) >= {ASSIGN_VALUE}),
+reached AS (SELECT *, max(b) OVER (PARTITION BY rid ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM base),
+gap AS (
+  SELECT rid, coalesce(far, 0) AS x, a AS y FROM reached WHERE a > coalesce(far, 0)
+  UNION ALL SELECT rid, coalesce(max(b), 0), any_value(length(text)) FROM t LEFT JOIN base USING (rid) GROUP BY rid
 ),
-base AS (SELECT rid, k, a, a + length(whole) AS b FROM placed WHERE k IN (1, 2) OR k = 0 AND length(value) >= {ASSIGN_VALUE}),
-entropy AS ({_ENTROPY}),
-more AS (
-  SELECT rid, 3 AS k, a, b FROM entropy e
-  WHERE NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = e.rid AND x.a < e.b AND e.a < x.b)
+rest AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY x) AS part, x AS shift, {_without_words('substr(text, (x + 1)::BIGINT, (y - x)::BIGINT)')} AS text
+  FROM gap JOIN t USING (rid) WHERE y > x
 ),
+runs AS ({_placed(_RUNS)}),
+more AS ({_ENTROPY}),
 named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][k + 1] || ':' || a || ':' || b AS name
-  FROM (SELECT * FROM base UNION ALL SELECT * FROM more)),
+  FROM (SELECT rid, k, a, b FROM base UNION ALL SELECT DISTINCT rid, 3, a, b FROM more)),
 told AS (
   SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
-    string_agg(name, ',' ORDER BY a, k) FILTER (k < 3) AS base, string_agg(name, ',' ORDER BY a, k) AS spans
+    string_agg(name, ',' ORDER BY a, k, b) FILTER (k < 3) AS base, string_agg(name, ',' ORDER BY a, k, b) AS spans
   FROM named GROUP BY rid
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
