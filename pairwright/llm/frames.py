@@ -38,10 +38,15 @@ class Scratch:
         return spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
-        """Remove the tables, through the file system that Spark wrote them with."""
+        """Remove the tables, through the file system that Spark wrote them with.
+
+        Spark removes the shuffle files of plans that its driver has collected as
+        garbage, so it is asked to look for some.
+        """
         for spark, path in self.written:
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            spark._jvm.System.gc()
         self.written = []
 
 
