@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegralType
 from pairwright.operators import pairing
 from pairwright.operators.estimates import all_known
 from pairwright.operators.matching import Matching
-from pairwright.session import broadcast_rows, ensure_checkpoint_dir
+from pairwright.session import ensure_checkpoint_dir
 
 
 def pair_key(first: str, second: str) -> Column:
@@ -29,11 +29,11 @@ def _text(column: str) -> Column:
 
 
 def _against_leads(
-    leads: DataFrame, bound: int, others: DataFrame, job: Matching, reach: str, extra: Sequence[str]
+    leads: DataFrame, others: DataFrame, job: Matching, reach: str, extra: Sequence[str]
 ) -> DataFrame:
     """Qualifying (lead, other) rows where the other reaches an id above the lead's.
 
-    There are at most ``bound`` leads, so they go to where the others are.
+    The leads are few; Spark sends them to where the others are if their size says so.
     The lead has the lesser id, so it stands on the first side.
     """
     first = job.prepare(leads).select(
@@ -42,28 +42,28 @@ def _against_leads(
     second = job.possible(job.prepare(others)).select(
         *job.block, *job.constants, *(F.col(c).alias(f"{c}2") for c in job.carried), reach, *extra
     )
-    met = second.join(broadcast_rows(first, bound), list(job.block))
+    met = second.join(first, list(job.block))
     return job.qualify(met.where(F.col(reach) > F.col("lead")))
 
 
-def _first_of(leads: DataFrame, bound: int, known: DataFrame, job: Matching, count: int) -> DataFrame:
+def _first_of(leads: DataFrame, known: DataFrame, job: Matching, count: int) -> DataFrame:
     """The first pairs that have one of the leads as id1; no record is shuffled."""
-    met = _against_leads(leads, bound, known, job, job.id_column, [])
+    met = _against_leads(leads, known, job, job.id_column, [])
     first, second = f"{job.id_column}1", f"{job.id_column}2"
     ids = met.select(F.col("lead").alias(first), F.col(job.id_column).alias(second))
     return ids.orderBy(_text(first), _text(second)).limit(count).checkpoint()
 
 
-def _sure_counts(leads: DataFrame, bound: int, known: DataFrame, job: Matching) -> DataFrame:
+def _sure_counts(leads: DataFrame, known: DataFrame, job: Matching) -> DataFrame:
     """Per lead, a number of pairs it is certain to have (at least one).
 
     Only records of the leads' blocks are folded into profiles.
     """
     blocks = leads.select(*job.block).distinct()
-    nearby = known.join(broadcast_rows(blocks, bound), list(job.block), "left_semi")
+    nearby = known.join(blocks, list(job.block), "left_semi")
     groups = pairing.profiles(nearby, job.id_column, job.block, job.values)
     extra = ["profile", "profile_members"]
-    partners = _against_leads(leads, bound, groups, job, "profile_last", extra)
+    partners = _against_leads(leads, groups, job, "profile_last", extra)
     all_above = F.when(F.col("profile") > F.col("lead"), F.col("profile_members")).otherwise(F.lit(1))
     return partners.groupBy("lead").agg(F.sum(all_above).alias("sure"))
 
@@ -86,23 +86,23 @@ def first_pairs(
     names = [*job.block, *job.values]
     ordered = known.select(F.col(job.id_column).alias("lead"), *names).orderBy(_text("lead"))
 
-    found = _first_of(ordered.limit(few), few, known, job, count)
+    found = _first_of(ordered.limit(few), known, job, count)
     if found.count() == count:
         return found
 
     leads = ordered.limit(many).checkpoint()
-    sure = _sure_counts(leads, many, known, job).checkpoint()
+    sure = _sure_counts(leads, known, job).checkpoint()
     if (sure.agg(F.sum("sure").alias("n")).first()["n"] or 0) < count:
         leads = _leads_with_partners(known, job, count).checkpoint()
-        sure = _sure_counts(leads, count, known, job)
+        sure = _sure_counts(leads, known, job)
 
     # Leads before which fewer than ``count`` pairs are sure: at most ``count``
     # of them.  The window runs over one row per lead.
     before = Window.orderBy(_text("lead")).rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.coalesce(F.sum("sure").over(before), F.lit(0))
     needed = sure.withColumn("_earlier", earlier).where(F.col("_earlier") < count).select("lead")
-    chosen = leads.join(broadcast_rows(needed, count), "lead", "left_semi")
-    return _first_of(chosen, count, known, job, count)
+    chosen = leads.join(needed, "lead", "left_semi")
+    return _first_of(chosen, known, job, count)
 
 
 def _leads_with_partners(known: DataFrame, job: Matching, count: int) -> DataFrame:
@@ -128,15 +128,15 @@ def _leads_with_partners(known: DataFrame, job: Matching, count: int) -> DataFra
 
 
 def with_records(
-    pairs: DataFrame, bound: int, records: DataFrame, id_column: str, carry: Sequence[str]
+    pairs: DataFrame, records: DataFrame, id_column: str, carry: Sequence[str]
 ) -> DataFrame:
-    """Attach columns of both records to a list of at most ``bound`` pairs."""
+    """Attach columns of both records to a short list of pairs."""
     result = pairs
     for side in ("1", "2"):
         values = records.select(
             F.col(id_column).alias(f"{id_column}{side}"), *(F.col(c).alias(f"{c}{side}") for c in carry)
         )
-        result = values.join(broadcast_rows(result, bound), f"{id_column}{side}")
+        result = values.join(result, f"{id_column}{side}")
     return result
 
 
@@ -157,5 +157,5 @@ def duplicate_listing(records: DataFrame, job: Matching, rows: int = 100) -> Dat
     """Both records of each probable duplicate, by pair key and id, first rows."""
     count = (rows + 1) // 2
     pairs = first_pairs(records, job, count)
-    listed = expand_pairs(broadcast_rows(pairs, count), records, job.id_column)
+    listed = expand_pairs(pairs, records, job.id_column)
     return listed.orderBy("pair_key", job.id_column).limit(rows)
