@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from pairwright.operators import filters, replies, standardizing
@@ -151,3 +152,30 @@ def test_prompt_text(spark):
     df = spark.createDataFrame([("A", "B")], "c string, s string")
     prompt = df.select(replies.address_prompt(F.col("c"), F.col("s"))).first()[0]
     assert prompt.endswith("keep the answer short. Data - city: A street: B")
+
+
+def test_as_many_tasks_ask_as_the_caller_wants(spark):
+    df = spark.range(40).selectExpr("concat('city ', id) AS city", "'mill road' AS road")
+
+    def complete(prompts):
+        return [f"City: task {TaskContext.get().partitionId()}, street: x" for _ in prompts]
+
+    for parallel in (1, 3):
+        out = replies.correct_addresses(df, "city", "road", complete, parallel=parallel)
+        assert out.select("miasto").distinct().count() == parallel
+        assert out.count() == 40
+
+
+def test_fewer_replies_than_prompts_are_refused(spark):
+    df = spark.createDataFrame([("a", "b"), ("c", "d")], "city string, road string")
+    with pytest.raises(Exception, match="1 replies to 2 prompts"):
+        replies.correct_addresses(df, "city", "road", lambda prompts: prompts[:1], parallel=1).collect()
+
+
+def test_large_changes_equal_whole_distances(spark):
+    words = ["mill road", "mill rd", "m", "", None, "high street", "mill roads"]
+    df = spark.createDataFrame([(a, b) for a in words for b in words], "raw string, standard string")
+    for distance in (0, 1, 3, 20):
+        banded = standardizing.large_changes(df, "raw", "standard", distance).collect()
+        plain = df.where(F.levenshtein("raw", "standard") > distance).collect()
+        assert sorted(map(str, banded)) == sorted(map(str, plain))
