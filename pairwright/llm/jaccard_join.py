@@ -487,6 +487,8 @@ def close_pairs(cells: DataFrame, rule: Rule, forest: bool) -> DataFrame:
         for cell in _cells(batches):
             if cell.num_rows < 2:
                 continue
+            # in one order everywhere, so that lists of the same nodes give the same tree
+            cell = cell.sort_by("node")
             side = cell.column("side").to_numpy()
             a = cell.filter(pa.array(side == 0)) if side.any() else cell
             b = cell.filter(pa.array(side == 1)) if side.any() else None
