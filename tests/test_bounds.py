@@ -91,3 +91,18 @@ def test_partial_ratio_of_long_texts(spark):
 def test_every_python_metric_with_a_minimum_is_bounded():
     # distances have no minimum that would be worth one
     assert {n for n, m in METRICS.items() if m.arrow and not n.endswith("distance")} == set(BOUNDED)
+
+
+def test_letters_are_counted_from_a_value_worked_out_once(spark):
+    """Within a lambda a Python function is refused, and anything else would be worked out for each of the counts."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(value):
+        calls.add(1)
+        return value
+
+    frame = spark.createDataFrame([("abca",), ("",), (None,)], "t string")
+    got = [r[0] for r in frame.select(similarity.letter_counts(noted("t"))).collect()]
+    assert [got[0][k] for k in (1, 2, 3)] == [2, 1, 1] and sum(got[0]) == 4 and sum(got[1]) == 0
+    assert got[2] == frame.select(similarity.letter_counts(F.col("t"))).collect()[2][0] and calls.value == 3
