@@ -106,3 +106,13 @@ def test_listing_of_both_files_holds_pairs_that_score(spark):
         by_key.setdefault(row["pair_key"], []).append(row)
     assert len(listed) == 100 and all(len({r["IMIE"] for r in rows}) == 1 for rows in by_key.values())
     assert all(len(rows) == 2 for rows in by_key.values())
+
+
+def test_neighbours_are_dealt_to_many_tasks(spark, tmp_path):
+    """Few bytes, much work: adaptive coalescing would leave them to one task."""
+    from pairwright.session import shuffle_partitions
+
+    rows = spark.range(500).selectExpr("id AS p_partkey", "'small ring' AS p_name", "concat('B', id % 7) AS p_brand")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    pairs = stand_ins.neighbour_pairs(spark, str(tmp_path))
+    assert pairs.rdd.getNumPartitions() >= shuffle_partitions(spark) and pairs.count() == 499
