@@ -58,10 +58,11 @@ def cosine_similarity(left: Column, right: Column) -> Column:
 
     Both word lists are tagged, merged and sorted; one pass over the sorted
     list then sees each word's occurrences side by side.  That is linear after
-    the sort, so whole documents are as safe as short names.  Null when either
-    side has no words.
+    the sort, so whole documents are as safe as short names.  No item is null,
+    so the natural order of ``sort_array`` does, without a comparison by lambda.
+    Null when either side has no words.
     """
-    tagged = F.array_sort(
+    tagged = F.sort_array(
         F.concat(
             F.transform(words(left), lambda w: F.struct(w.alias("word"), F.lit(0).alias("side"))),
             F.transform(words(right), lambda w: F.struct(w.alias("word"), F.lit(1).alias("side"))),

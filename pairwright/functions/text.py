@@ -11,13 +11,21 @@ POLISH_UPPER = "ĄĆĘŁŃÓŚŹŻ"
 POLISH_FOLDED = "ACELNOSZZ"
 
 
+def _other_than(kept: str) -> str:
+    """A pattern for one character outside a class.
+
+    ``[^...]`` means the same, but Java searches a text with it several times more slowly.
+    """
+    return rf"(?![{kept}])[\s\S]"
+
+
 def standardize(value: Column) -> Column:
     """Upper case, then delete everything but letters, digits and spaces.
 
     Deleted characters leave no space behind (``37/36`` becomes ``3736``) and
     runs of spaces are kept.  Null stays null; numbers are read as text.
     """
-    return F.regexp_replace(F.upper(value.cast("string")), f"[^{KEPT_CHARACTERS}]", "")
+    return F.regexp_replace(F.upper(value.cast("string")), _other_than(KEPT_CHARACTERS), "")
 
 
 def clean_tokens(value: Column, keep_diacritics: bool = False) -> Column:
@@ -27,7 +35,7 @@ def clean_tokens(value: Column, keep_diacritics: bool = False) -> Column:
     (``ŁÓDZKA`` becomes ``DZKA``); ``keep_diacritics`` keeps them.
     """
     kept = "A-Z0-9" + (POLISH_UPPER if keep_diacritics else "")
-    return F.trim(F.regexp_replace(value, f"[^{kept}]+", " "))
+    return F.trim(F.regexp_replace(value, f"(?:{_other_than(kept)})++", " "))
 
 
 def split_tokens(value: Column) -> Column:

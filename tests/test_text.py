@@ -91,3 +91,22 @@ def test_edit_score_bound_and_identity(spark, pairs):
         text.edit_score(a, a).eqNullSafe(text.edit_score_same(a)).alias("identical"),
     )
     assert checked.where("not bounded or not identical").count() == 0
+
+
+def test_long_texts_are_searched_fast_and_mean_the_same(spark):
+    """Classes that are negated are searched slowly; long runs of other characters must not recurse."""
+    from pairwright.functions.similarity import cosine_similarity
+
+    odd = ["a\nb—c", "🙂Ą É", "", "x" * 300_000, "é?" * 100_000, "ŁÓDZKA 37/36", "\x85\r\n z"]
+    frame = spark.createDataFrame([(t,) for t in odd], "t string")
+    upper, plain = F.upper("t"), "A-Z0-9ĄĆĘŁŃÓŚŹŻ"
+    told = frame.select(
+        text.standardize(F.col("t")).alias("a"), F.regexp_replace(upper, f"[^{plain} ]", "").alias("b"),
+        text.clean_tokens(upper, True).alias("c"), F.trim(F.regexp_replace(upper, f"[^{plain}]+", " ")).alias("d"),
+        text.clean_tokens(upper).alias("e"), F.trim(F.regexp_replace(upper, "[^A-Z0-9]+", " ")).alias("f"),
+    )
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] and r["e"] == r["f"] for r in told.collect())
+    plan = told.select("a", "c")._jdf.queryExecution().analyzed().toString()
+    assert "[^A-Z0-9" not in plan.replace(f"[^{plain} ]", "", 1).replace(f"[^{plain}]+", "", 1).replace("[^A-Z0-9]+", "", 1)
+    score = frame.select(cosine_similarity(F.col("t"), upper))._jdf.queryExecution().analyzed().toString()
+    assert "sort_array" in score and "array_sort" not in score
