@@ -1,31 +1,48 @@
-"""Pairs of similar token sets within blocks, found by the rare tokens they share.
-
-Tokens are put in one order for the whole table, the rarest first.  Two sets that
-reach a minimum share a token early in that order: a set may lack so many of the
-other's tokens that some of its first ones, its prefix, must be in the other's
-prefix too.  Only prefixes are listed under their tokens, and only sets that meet
-in some list are compared.  For sets, the places where a pair meets also bound how
-much more they can share, and sizes that differ too much never match.
-
-A token's list is cut into slots where it is long, as large blocks are.  Without
-tokens a value pairs with nothing.
+"""Pairs of similar token sets within blocks, found by bounds on what they share.
+
+A block is cut into slots and a pair of slots is a cell with its own shuffle key.
+In a cell each token list becomes a vector of bounded width: the tokens that weigh
+most in the cell have a column each, the others share columns, whose entries are
+lengths.  The product of two vectors is never less than that of the lists, so one
+matrix product rules out most pairs; what the others share is added up exactly.
+Sets whose sizes differ too much are not compared at all.
+
+That is quadratic in a block, at some ten nanoseconds for a pair: in large tables
+even rare tokens are common, and lists under tokens met in every pair many times
+over.  Without tokens a value pairs with nothing.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairwright.operators.estimates import WIDE
-from pairwright.operators.pairing import PROFILE_MARKS, SLOT_ROWS, meet_profiles
+from pairwright.operators.pairing import PROFILE_MARKS, SLOT_ROWS
+from pairwright.session import shuffle_partitions
+
+# Ship the helpers inside the task, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Below a computed score, above a rounding error.
 ROUNDING = 1e-9
 # A token's rows go to so many tasks when its rarity is looked up.
 SALTS = 16
+# So many slots of a job make one here, as rows are narrow; fewer cells mean fewer copies of a row.
+SLOTS_TOGETHER = 4
+# Columns of tokens of their own, and of those that share one.
+OWN_COLUMNS = 512
+SHARED_COLUMNS = 256
+# Rows of a cell that are compared at a time.
+STRIP = 512
 
 
 @dataclass(frozen=True)
@@ -36,28 +53,6 @@ class TokenMetric:
     weighted: bool  # counts of tokens matter, as in a cosine; else only which there are
 
 
-def _prefix(bag: Column, minimum: float, weighted: bool) -> Column:
-    """The leading tokens of an ordered bag of which any similar bag's prefix holds one."""
-    if not weighted:
-        size = F.size(bag)
-        least = F.ceil(size * F.lit(minimum) - ROUNDING).cast("int")
-        return F.slice(bag, 1, F.least(size - least + 1, size))
-    # what follows the prefix is too short a vector to reach the minimum with anything
-    square = F.aggregate(bag, F.lit(0).cast("long"), lambda acc, x: acc + x["times"] * x["times"])
-    limit = square * F.lit(minimum * minimum * (1 - ROUNDING))
-    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("left_out"), F.lit(True).alias("open"))
-
-    def step(acc: Column, x: Column) -> Column:
-        more = acc["sum"] + x["times"] * x["times"]
-        fits = acc["open"] & (more < limit)
-        return F.struct(
-            more.alias("sum"), F.when(fits, acc["left_out"] + 1).otherwise(acc["left_out"]).alias("left_out"), fits.alias("open")
-        )
-
-    left_out = F.aggregate(F.reverse(bag), start, step, lambda acc: acc["left_out"])
-    return F.slice(bag, 1, F.size(bag) - left_out)
-
-
 def ordered_bags(groups: DataFrame, value: Column, metric: TokenMetric) -> DataFrame:
     """``profile`` and ``_bag``: its distinct tokens with their ``times`` and ``places`` in the table, the rarest first."""
     tokens = groups.select("profile", F.explode(metric.tokens(value)).alias("token"))
@@ -70,33 +65,106 @@ def ordered_bags(groups: DataFrame, value: Column, metric: TokenMetric) -> DataF
     return found.groupBy("profile").agg(F.sort_array(F.collect_list(entry)).alias("_bag"))
 
 
+def _weights(tokens: pa.ListArray, weighted: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, token numbers and weights of the bags of a cell, row by row, and each row's sum of squared weights.
+
+    A token that only one row has is in no pair; it counts in the sum and is left out else.
+    """
+    rows = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False).astype(np.int64)
+    names = pc.list_flatten(tokens).dictionary_encode()
+    kinds = max(len(names.dictionary), 1)
+    both, times = np.unique(rows * kinds + names.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    rows, ids = both // kinds, both % kinds
+    weights = times.astype(np.float64) if weighted else np.ones(len(ids))
+    squares = np.bincount(rows, weights * weights, len(tokens))
+    shared = np.bincount(ids, minlength=kinds)[ids] > 1
+    return rows[shared], ids[shared], weights[shared], squares
+
+
+def _bounds_frame(rows: np.ndarray, ids: np.ndarray, weights: np.ndarray, count: int) -> np.ndarray:
+    """One vector per row; the product of two is at least the product of their bags, by Cauchy and Schwarz.
+
+    The tokens that weigh most in the cell have a column each, the others share columns.
+    """
+    mass = np.bincount(ids, weights * weights)
+    order = np.argsort(-mass, kind="stable")
+    column = np.empty(len(mass), dtype=np.int64)
+    column[order] = np.arange(len(mass))
+    over = column >= OWN_COLUMNS
+    column[over] = OWN_COLUMNS + (column[over] - OWN_COLUMNS) % SHARED_COLUMNS
+    width = min(len(mass), OWN_COLUMNS + SHARED_COLUMNS)
+    summed = np.bincount(rows * width + column[ids], weights * weights, count * width)
+    return np.sqrt(summed).reshape(count, width).astype(np.float32)
+
+
+def similar_in_cell(tokens: pa.ListArray, low: np.ndarray, high: np.ndarray, weighted: bool, minimum: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of ``low`` and of ``high`` reach the minimum (but for a rounding error), in a cell of token lists."""
+    rows, ids, weights, squares = _weights(tokens, weighted)
+    none = np.zeros(0, dtype=np.int64)
+    if not len(ids):
+        return none, none
+    vectors = _bounds_frame(rows, ids, weights, len(tokens))
+    starts = np.searchsorted(rows, np.arange(len(tokens) + 1))
+    # sets of like size together: others never match
+    low, high = (side[np.argsort(squares[side], kind="stable")] for side in (low, high))
+    sizes, reach = squares[high], np.zeros(int(ids.max()) + 1)
+    found: list[tuple[np.ndarray, np.ndarray]] = [(none, none)]
+    for at in range(0, len(low), STRIP):
+        strip = low[at : at + STRIP]
+        first, last = 0, len(high)
+        if not weighted:
+            first = np.searchsorted(sizes, squares[strip[0]] * (minimum - ROUNDING))
+            last = np.searchsorted(sizes, squares[strip[-1]] / max(minimum - ROUNDING, ROUNDING), "right")
+        for begin in range(first, last, 8 * STRIP):
+            others = high[begin : min(begin + 8 * STRIP, last)]
+            if weighted:
+                needed = minimum * np.sqrt(np.outer(squares[strip], squares[others]))
+            else:
+                needed = minimum / (1 + minimum) * (squares[strip][:, None] + squares[others])
+            # single precision is a little off; sums over shared tokens are right again below
+            one, other = np.nonzero(vectors[strip] @ vectors[others].T >= needed * (1 - 1e-4))
+            edges = np.searchsorted(one, np.arange(len(strip) + 1))
+            for k in np.unique(one):
+                mine = slice(starts[strip[k]], starts[strip[k] + 1])
+                asked = other[edges[k] : edges[k + 1]]
+                partner = others[asked]
+                counts = starts[partner + 1] - starts[partner]
+                ends = np.cumsum(counts)
+                places = np.arange(ends[-1]) + np.repeat(starts[partner] - ends + counts, counts)
+                reach[ids[mine]] = weights[mine]
+                products = np.concatenate(([0.0], np.cumsum(reach[ids[places]] * weights[places])))
+                reach[ids[mine]] = 0
+                enough = products[ends] - products[ends - counts] >= needed[k, asked] * (1 - ROUNDING) - ROUNDING
+                found.append((np.full(int(enough.sum()), strip[k]), partner[enough]))
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
 def candidates(
     groups: DataFrame, block: Sequence[str], value: Column, metric: TokenMetric, minimum: float, slot_rows: int = SLOT_ROWS
 ) -> DataFrame:
-    """``profile1, profile2``: pairs of a block that could reach the minimum, each once."""
-    bags = ordered_bags(groups, value, metric)
-    prefixes = bags.select(
-        "profile", F.size("_bag").alias("_size"), F.posexplode(_prefix(F.col("_bag"), minimum, metric.weighted)).alias("_place", "_entry")
-    )
-    # the pairing asks for the marks of a profile, of which only the name counts here
-    listed = prefixes.join(groups.select(*block, "profile"), "profile").select(
-        *block,
-        F.col("_entry.token").alias("_token"),
-        "_size",
-        "_place",
-        "profile",
-        F.col("profile").alias("profile_last"),
-        F.lit(1).cast("long").alias("profile_members"),
-    )
-    met = meet_profiles(listed, [*block, "_token"], ["_size", "_place"], slot_rows=slot_rows)
-    met = met.where(F.col("profile1") != F.col("profile2"))
-    if not metric.weighted:
-        one, two = F.col("_size1"), F.col("_size2")
-        shared = F.ceil(F.lit(minimum / (1 + minimum)) * (one + two) - ROUNDING)
-        following = F.least(one - F.col("_place1"), two - F.col("_place2"))
-        met = met.where((F.least(one, two) >= F.greatest(one, two) * F.lit(minimum - ROUNDING)) & (following >= shared))
-    low, high = F.least("profile1", "profile2"), F.greatest("profile1", "profile2")
-    return met.select(low.alias("profile1"), high.alias("profile2")).dropDuplicates()
+    """``profile1, profile2``: pairs of a block that reach the minimum, but for rounding, each once."""
+    bags = groups.select(*block, "profile", metric.tokens(value).alias("_tokens")).where(F.size("_tokens") > 0)
+    sizes = groups.groupBy(*block).agg(F.count(F.lit(1)).alias("_size"))
+    slots = sizes.select(*block, F.ceil(F.col("_size") / (SLOTS_TOGETHER * slot_rows)).cast("int").alias("_slots"))
+    placed = bags.join(slots, list(block)).withColumn("_slot", F.pmod(F.xxhash64("profile"), F.col("_slots")).cast("int"))
+    met = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_slots") - 1)))
+    met = met.withColumn("_low", F.least("_slot", "_other")).withColumn("_high", F.greatest("_slot", "_other"))
+    keys = [*block, "_low", "_high"]
+    cells = met.select(*keys, "_slot", "profile", "_tokens").repartition(shuffle_partitions(groups.sparkSession), *keys)
+    weighted, kind = metric.weighted, groups.schema["profile"].dataType.simpleString()
+
+    def pairs_of(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        slot = cell["_slot"].to_numpy()
+        low, high = np.flatnonzero(slot == cell["_low"][0].as_py()), np.flatnonzero(slot == cell["_high"][0].as_py())
+        one, other = similar_in_cell(cell["_tokens"].combine_chunks(), low, high, weighted, minimum)
+        alone = cell["_low"][0] == cell["_high"][0]
+        once = one < other if alone else np.ones(len(one), dtype=bool)
+        names = cell["profile"]
+        return pa.table({"a": names.take(pa.array(one[once])), "b": names.take(pa.array(other[once]))})
+
+    found = cells.groupBy(*keys).applyInArrow(pairs_of, f"a {kind}, b {kind}")
+    return found.select(F.least("a", "b").alias("profile1"), F.greatest("a", "b").alias("profile2"))
 
 
 def meet_by_tokens(
@@ -121,7 +189,10 @@ def meet_by_tokens(
     count = F.col("profile_members1").cast("decimal(19,0)")
     other = F.col("profile_members2").cast("decimal(19,0)")
     names = [*block, *constants, *[f"{c}{s}" for s in (1, 2) for c in carried]]
-    pairs = found.join(one, "profile1").join(two, "profile2").select(*names, (count * other).cast(WIDE).alias("pairs"))
+    # by number, as few pairs with long values are much work
+    tasks = shuffle_partitions(groups.sparkSession)
+    found = found.repartition(tasks, "profile1").join(one, "profile1").repartition(tasks, "profile2")
+    pairs = found.join(two, "profile2").select(*names, (count * other).cast(WIDE).alias("pairs"))
     alike = one.where((F.col("profile_members1") > 1) & (F.size(metric.tokens(F.col(f"{column}1"))) > 0)).select(
         *block,
         *constants,

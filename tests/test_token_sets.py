@@ -83,3 +83,22 @@ def test_few_pairs_are_compared(spark):
         "id AS profile", "'b' AS block", "concat_ws(' ', 'the', 'of', 'and', 'a' || id, 'b' || id % 500, 'c' || id, 'd' || id, 'e' || id) AS t"
     )
     assert candidates(rows, ["block"], F.col("t"), METRICS["word_jaccard_similarity"].tokens, 0.8).count() < 1_000
+
+
+def test_common_words_cost_no_pairs():
+    """1,500 lists that share all their frequent words: only copies reach the minimum, in little time."""
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    from pairwright.operators.token_sets import similar_in_cell
+
+    common = [f"c{k}" for k in range(60)]
+    lists = [common[: 40 + k % 20] + [f"r{k // 2}_{j}" for j in range(40)] for k in range(1_500)]
+    every = np.arange(len(lists))
+    begun = time.time()
+    for weighted, minimum in ((False, 0.8), (True, 0.9)):
+        one, other = similar_in_cell(pa.array(lists, pa.list_(pa.string())), every, every, weighted, minimum)
+        assert {(a, b) for a, b in zip(one.tolist(), other.tolist()) if a < b} == {(k, k + 1) for k in range(0, 1_500, 2)}
+    assert time.time() - begun < 30
