@@ -218,3 +218,15 @@ def test_listing_refuses_ids_that_are_no_whole_numbers(spark):
     job = Matching("id", ["block"], [Compare("name", "fuzzy", "s")], {"s": 0.5})
     with pytest.raises(TypeError, match="whole numbers"):
         listing.first_pairs(records, job, 10)
+
+
+def test_pairs_are_spelled_out_from_lists_after_the_last_shuffle(spark):
+    """Slices travel as lists; repeated and null ids stay as they are."""
+    rows = [(k, "b", "x" if k % 2 else "y") for k in range(12)] + [(3, "b", "x"), (None, "b", "y")]
+    records = spark.createDataFrame(rows, "id long, block string, name string")
+    links = pairing.candidate_pairs(records, "id", ["block"], ["name"])
+    told = pairing.spell_out(links, records, "id", ["block"], ["name"], slice_rows=4)
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(_ids2") < plan.index("Join") and plan.index("explode(_ids1") < plan.index("Join")
+    across = told.where("name1 <> name2")
+    assert across.count() == 7 * 7 and across.where("id1 = 3 OR id2 = 3").count() == 2 * 7 + 0
