@@ -230,3 +230,10 @@ def test_pairs_are_spelled_out_from_lists_after_the_last_shuffle(spark):
     assert plan.index("explode(_ids2") < plan.index("Join") and plan.index("explode(_ids1") < plan.index("Join")
     across = told.where("name1 <> name2")
     assert across.count() == 7 * 7 and across.where("id1 = 3 OR id2 = 3").count() == 2 * 7 + 0
+
+
+def test_a_large_block_has_a_bounded_number_of_slots(spark):
+    """A profile is copied once for each slot, so small slots grow in large blocks."""
+    groups = spark.range(1_000).selectExpr("'b' AS block", "id AS profile", "id AS profile_last", "1L AS profile_members")
+    slots = pairing._slotted(groups, ["block"], 2).agg(F.max("_slots"), F.count("*")).first()
+    assert tuple(slots) == (pairing.MANY_SLOTS, 1_000)
