@@ -102,3 +102,19 @@ def test_common_words_cost_no_pairs():
         one, other = similar_in_cell(pa.array(lists, pa.list_(pa.string())), every, every, weighted, minimum)
         assert {(a, b) for a, b in zip(one.tolist(), other.tolist()) if a < b} == {(k, k + 1) for k in range(0, 1_500, 2)}
     assert time.time() - begun < 30
+
+
+@pytest.mark.parametrize("metric", sorted(PLAIN))
+def test_scores_come_from_where_pairs_are_found(spark, metric):
+    """The scores that the cells add up are the metric's to the last bit, and no pair of texts is scored again."""
+    from pairwright.operators.scoring import Comparison, score_pairs
+
+    rng = random.Random(7)
+    rows = [(k, "x", t) for k, t in enumerate(texts(rng))] + [(200, "x", "w1 w1 w2"), (201, "x", "w1 w1 w2")]
+    job = Matching("id", ["block"], [Compare("text", metric, "score")], {"score": 0.5}, slot_rows=8)
+    records = spark.createDataFrame(rows, "id long, block string, text string")
+    met = job.meet_likely(job.qualifying_profiles(records))
+    assert "score" in met.columns
+    again = score_pairs(met.withColumnRenamed("score", "found"), [Comparison("text1", "text2", metric, "score")])
+    pairs = again.select("found", "score").collect()
+    assert len(pairs) > 50 and all(r["found"] == r["score"] for r in pairs)
