@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pairwright.functions.text import edit_score
 from pairwright.operators import pairing, segments
 from pairwright.operators.matching import Compare, Matching
 
@@ -91,3 +92,36 @@ def test_far_fewer_pairs_meet_than_a_block_has(spark):
 
 def test_an_empty_table_gives_no_pairs(spark):
     assert found(spark, [], 0.9, 1024) == set()
+
+
+def test_low_minimums_score_cores_and_each_score_once(spark):
+    """Values that share what they begin and end with, too loosely compared for segments: edit scores as of whole values."""
+    rng = random.Random(3)
+    names = ["", "a", "aa", "aaa", "xyz", "xyyz", "xz"] + ["x" + "".join(rng.choice("abxz") for _ in range(rng.randrange(0, 9))) + "z" for _ in range(60)]
+    rows = [(k, rng.choice(["p", "q", "r"]), n, rng.choice(["TOWN OF ABBA", "TOWN OF OBA", "TOWN"])) for k, n in enumerate(names)]
+    rows += [(100, "one", "alone", "TOWN"), (101, "none", "", None), (102, "p", None, "TOWN")]
+    records = spark.createDataFrame(rows, "id long, block string, name string, town string")
+    compare = [Compare("name", "fuzzy", "n"), Compare("town", "fuzzy", "t"), Compare("name", "soundex", "s")]
+    job = Matching("id", ["block"], compare, {"n": 0.4, "t": 0.4}, slot_rows=8)
+    links = job.links(records)
+    plan = links.select("block", "pairs", "n", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("levenshtein(") == 2 and "_core_name" in plan
+    assert not [c for c in links.columns if c.startswith("_")]
+    got = pairing.spell_out(links, records, "id", job.block, job.values)
+    one, two = (records.select("block", *(F.col(c).alias(f"{c}{s}") for c in ("id", "name", "town"))) for s in (1, 2))
+    want = one.join(two, "block").where("id1 < id2").withColumns({"n": edit_score(F.col("name1"), F.col("name2")), "t": edit_score(F.col("town1"), F.col("town2"))})
+    want = want.where("n >= 0.4 AND t >= 0.4").select("id1", "id2", "block", "n", "t")
+    assert sorted(map(tuple, got.select("id1", "id2", "block", "n", "t").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_records_are_landed_before_they_are_matched(spark, monkeypatch):
+    """The plan of both files' links holds no trace of how records and ids are made, which took Spark minutes to plan."""
+    from pairwright.plans import catalog, customers
+
+    made = spark.createDataFrame([(1, "A", "KOWAL", "ŁÓDŹ"), (2, "A", "KOWALA", "ŁÓDŹ")], "CUST_ID long, IMIE string, NAZWISKO string, MIASTO_ZAMELDOWANIA string")
+    monkeypatch.setattr(catalog, "_loaded_files", lambda *_: (None, None))
+    monkeypatch.setattr(customers, "records_for_matching", lambda *_: made)
+    links = catalog.customer_file_links(spark, "")
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation" not in plan and "parquet" in plan
+    assert [tuple(r) for r in links.collect()] == [("A", 1, 0.833, 1.0)]
