@@ -16,7 +16,8 @@ shingles in the other.  The search uses that bound in each of its steps.
 3. *Bound.*  In a cell, a pair's difference is bounded from below by parity
    sketches: of two sketches' exclusive or only the difference is left.  What
    could still link gives a forest first, so that a group of copies gives as many
-   pairs as members, and then all pairs between the components found so far.
+   pairs as members, and then all pairs between the components found so far, but
+   for components that no pair of a forest left without a link.
 4. *Probe.*  The sets of each such pair are compared exactly, the members of the
    one looked up in the other by binary search.
 
@@ -543,6 +544,22 @@ def links(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return both.where(linked("set_a", "set_b")).select("a", "b")
 
 
+def unsettled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``node`` and ``label`` of the nodes that may link with another component.
+
+    Two nodes of a cell that could link are joined by that cell's tree.  If they are in
+    two components, the tree leaves the component of either by a pair that did not link.
+    So all nodes of components without such a pair are settled.
+    """
+    tops = [labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in ("a", "b")]
+    named = pairs.join(tops[0], "a", "left").join(tops[1], "b", "left")
+    named = named.select(F.coalesce("label_a", "a").alias("one"), F.coalesce("label_b", "b").alias("other"))
+    met = named.where(F.col("one") != F.col("other")).select(F.explode(F.array("one", "other")).alias("label")).distinct()
+    # a node that links with none is its own label
+    alone = met.select(F.col("label").alias("node"), "label")
+    return labels.join(met, "label").select("node", "label").unionByName(alone).distinct()
+
+
 def linked_nodes(docs: DataFrame, text_column: str, rule: Rule, rows: DataFrame) -> DataFrame:
     """``node`` and ``label`` of the nodes that are linked with another."""
     early, late = Scratch(), Scratch()
@@ -553,9 +570,11 @@ def linked_nodes(docs: DataFrame, text_column: str, rule: Rule, rows: DataFrame)
     early.clear()
     cells = late.landed(short_lists(sets, rule, early), "cells")
     early.clear()
-    found = landed(links(close_pairs(cells, rule, forest=True), sets, rule), "links")
+    pairs = late.landed(close_pairs(cells, rule, forest=True), "pairs")
+    found = landed(links(pairs, sets, rule), "links")
     labels = components(found)
-    named = cells.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # written first, so that Spark knows how few they may be before it moves the cells
+    named = cells.join(late.landed(unsettled(pairs, labels), "unsettled"), "node")
     across = landed(links(close_pairs(named, rule, forest=False), sets, rule), "links")
     late.clear()
     return components(found.unionByName(across)) if not across.isEmpty() else labels

@@ -133,6 +133,27 @@ def test_components_of_a_long_chain(spark):
     got = components(edges.where("a <> 20"))
     assert sorted(map(tuple, got.collect())) == [(k, 0 if k <= 20 else 21) for k in range(41)]
 
+def test_only_nodes_beside_a_pair_without_link_are_unsettled(spark):
+    """Forests of groups that link throughout, and of some in which pairs do not: every pair of nodes between two
+    components of a tree is kept for the second search, whole groups are not."""
+    rng = random.Random(5)
+    pairs, linked = [], []
+    for group in range(40):
+        tree = [(100 * group + rng.randrange(k), 100 * group + k) for k in range(1, 8)]
+        pairs += tree
+        linked += tree if group % 4 else [p for p in tree if rng.random() < 0.6]
+    labels = components(spark.createDataFrame(linked, "a long, b long"))
+    top = {r["node"]: r["label"] for r in labels.collect()}
+    found = jaccard_join.unsettled(spark.createDataFrame(pairs, "a long, b long"), labels).collect()
+    kept = {r["node"]: r["label"] for r in found}
+    assert len(kept) == len(found)
+    want = {}
+    for group in range(40):
+        nodes = {100 * group + k: top.get(100 * group + k, 100 * group + k) for k in range(8)}
+        if len(set(nodes.values())) > 1:
+            want |= nodes
+    assert want and kept == want and len(kept) <= 80
+
 
 def brute_top(rows, k, scale=256):
     whole = [(i, n, [int(np.floor(scale * float(x))) for x in v]) for n, (i, v) in enumerate(rows)
