@@ -3,21 +3,25 @@
 A text falls into words by the tokenizer's pattern, and each word is encoded by
 itself: its bytes are the first parts, and of all neighbours the pair whose
 joined bytes have the lowest rank is merged, the leftmost first, until no pair
-has a rank.  ``aggregate`` folds these steps over the parts; ranks come from a
-literal map, which is cut into small buckets since Spark searches a map from its
-start.  A word that has a rank itself is one token.  Decoding joins the bytes of
-the ids' pieces.
+has a rank.  ``aggregate`` folds these steps over the parts; ranks come from
+literal buckets, each a short string of entries that is searched for a key.  A
+word that has a rank itself is one token.  Decoding joins the bytes of the ids'
+pieces.
 
 Parts are kept as a string with one character for each: a token's character is
-named by its rank, so a pair of parts is a string of two.
+named by its rank, so a pair of parts is a string of two.  Characters order as
+ranks do, so the ranks of all pairs are a string as well, its least character
+is the token to merge, and a merge overlays both strings at one place.
 
 - *Distinct words.*  Texts are taken in slices of bounded bytes; the fold sees
-  each distinct word of a slice once.  Nothing is shuffled, and no task holds
-  more than a slice or one text.
+  a word once in a task, which keeps what it has found up to a bound and then
+  begins anew.  As large tasks meet a word again more often, small partitions are
+  read together, as long as no core goes without a task.  Nothing is shuffled, and
+  no task holds more than a slice or one text beside the words found.
 - *Equal ranks at once.*  In a long word, all places of the lowest rank
   are merged in one step where no pair with the merged token has a lower rank than
   that token: the leftmost of them would follow each other anyway.  Other tokens
-  are merged one place a step.  Which is which is part of the map.
+  are merged one place a step.  Which is which is part of the entries.
 - *Cuts.*  Two bytes that stand side by side in no token never become one, so a
   long word is cut there first.
 
@@ -42,22 +46,32 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairwright.llm.frames import text_of
-from pairwright.llm.words import Words, tidied
+from pairwright.llm.words import Words, sizes_in_bytes, tidied
 
 LATIN = "ISO-8859-1"
-# Buckets of the rank map: a few entries each for the vocabularies in use.
-BUCKETS = 1 << 15
-# The first token's character; those before it are bytes.
-FIRST = 0x100
-# Bytes of text that are a slice: the more, the fewer words are encoded again.
-SLICE_BYTES = 32 << 20
-# Words of more bytes are cut first, and merged at several places a step; and a character that is no byte's.
+# Buckets of pairs and of tokens, a power of two: a few entries each for the vocabularies in use.
+BUCKETS = 1 << 16
+# The first token's character: no number beyond it is a surrogate's.
+FIRST = 0x10000
+# The rank of a pair that is none, beyond all others; the part beside the first and the last.
+NONE = chr(0x10FFFD)
+EDGE = " "
+# Words of a text that are a row, so that what Spark hands over at once stays small; bytes of text that are a slice.
+ROW_WORDS = 200
+SLICE_BYTES = 8 << 20
+# Bytes of distinct words that a task keeps: the more, the fewer are encoded again.
+KNOWN_BYTES = 32 << 20
+# Bytes of input that partitions are read together for.
+TASK_BYTES = 32 << 20
+CODEC = "zstd"
+# Words of more bytes are cut first, and merged at several places a step; and a character that is no byte's and no token's.
 LONG = 64
 CUT = chr(0x100)
 
@@ -72,9 +86,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def token_character(rank: int) -> str:
-    """The character that stands for a token: beyond Latin-1, and none of those that are no characters."""
-    point = FIRST + rank
-    return chr(point if point < 0xD800 else point + 0x800)
+    """The character that stands for a token."""
+    if rank >= ord(NONE) - FIRST:
+        raise ValueError(f"rank {rank}: no character is left for it")
+    return chr(FIRST + rank)
 
 
 def merges(ranks: dict[bytes, int]) -> dict[tuple[bytes, bytes], int]:
@@ -94,12 +109,12 @@ def merges(ranks: dict[bytes, int]) -> dict[tuple[bytes, bytes], int]:
     return {pair: 2 * r + (least.get(pair[0] + pair[1], r + 1) <= r) for pair, r in found.items()}
 
 
-def bucketed(entries: dict[str, int]) -> list[dict[str, int]]:
-    """A map in buckets, which Spark finds by the same checksum."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+def bucketed(entries: dict[str, str], start: str = "") -> list[str]:
+    """Strings of ``start`` and the entries, each a key and what it gives; Spark finds a key's by the same checksum."""
+    buckets = [[start] for _ in range(BUCKETS)]
     for key, value in entries.items():
-        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = value
-    return buckets
+        buckets[zlib.crc32(key.encode()) % BUCKETS].append(key + value)
+    return list(map("".join, buckets))
 
 
 def cut_pattern(ranks: dict[bytes, int]) -> str:
@@ -194,69 +209,70 @@ def _named(value: Column, use: Callable[[Column], Column]) -> Column:
 class BytePairs:
     """Column expressions that encode words.
 
-    ``table`` is a literal map in buckets: the marked rank of two tokens' characters,
-    and of each token's bytes as Latin-1; ``characters`` are the tokens' by rank.
+    ``pairs`` and ``tokens`` are literal buckets: of two tokens' characters that of the token they
+    make and its mark, as :func:`pair_buckets` has them, and of a token's bytes its character.
     """
 
-    def __init__(self, table: Column, characters: Column, ranks: dict[bytes, int]):
-        self.table = table
-        self.characters = characters
+    def __init__(self, pairs: Column, tokens: Column, ranks: dict[bytes, int]):
+        self.pairs = pairs
+        self.tokens = tokens
         self.cuts = cut_pattern(ranks)
         self.bytes = "".join(map(chr, range(256)))
         self.byte_tokens = "".join(token_character(ranks[bytes([b])]) for b in range(256))
 
-    def marked(self, key: Column) -> Column:
-        """Marked rank of a key, or null."""
-        bucket = F.pmod(F.crc32(key.cast("binary")), F.lit(BUCKETS)).cast("int")
-        return F.try_element_at(F.get(self.table, bucket), key)
+    def _whole(self, letters: Column) -> Column:
+        """The character of the token that some bytes are, or null."""
 
-    def _character(self, marked: Column) -> Column:
-        return F.get(self.characters, F.shiftright(marked, 1))
+        def found(key: Column) -> Column:
+            def after(bucket: Column) -> Column:
+                at = F.instr(bucket, key)
+                return F.when(at > 0, F.substring(bucket, at + F.length(key), F.lit(1)))
+
+            return _named(_bucket(self.tokens, key), after)
+
+        return _named(F.concat(F.lit(CUT), letters, F.lit(CUT)), found)
+
+    def _made(self, left: Column, right: Column, characters: int = 1) -> Column:
+        """The character of the token that two parts make, and its mark where two are asked for; or ``NONE``."""
+        key = F.concat(F.lit(CUT), left, right)
+        # a key that is not there is at 0, so what follows the start of a bucket is taken
+        return _named(
+            _bucket(self.pairs, key), lambda b: F.substring(b, F.instr(b, key) + 3, F.lit(characters))
+        )
 
     def _pairs(self, parts: Column) -> Column:
-        """The marked rank of each pair of neighbours."""
+        """The token that each pair of neighbours makes, and its mark."""
         more = F.size(parts) - 1
-        return F.zip_with(
-            F.slice(parts, 1, more), F.slice(parts, 2, more), lambda a, b: _named(F.concat(a, b), self.marked)
-        )
+        return F.zip_with(F.slice(parts, 1, more), F.slice(parts, 2, more), lambda a, b: self._made(a, b, 2))
 
     def _one_merge(self, at: Column, least: Column) -> Column:
-        """``at`` (``parts``, ``ranks`` of the pairs, ``least`` of them) after its next merge."""
-        ranks, count = at["ranks"], F.size(at["ranks"])
+        """``at`` (``parts`` between edges, ``ranks`` of the pairs) after its next merge."""
+        parts, ranks = at["parts"], at["ranks"]
 
         def merged(place: Column) -> Column:
             """``place`` is the left part's, from 1 on, and its pair's."""
+            before = self._made(F.substring(parts, place - 1, F.lit(1)), least)
+            after = self._made(least, F.substring(parts, place + 2, F.lit(1)))
+            return F.struct(
+                F.overlay(parts, least, place, F.lit(2)).alias("parts"),
+                F.overlay(ranks, F.concat(before, after), place - 1, F.lit(3)).alias("ranks"),
+            )
 
-            def ranked(parts: Column) -> Column:
-                before = _named(F.substring(parts, place - 1, F.lit(2)), self.marked)
-                after = _named(F.substring(parts, place, F.lit(2)), self.marked)
-                last = place == count
-                around = (
-                    F.when((place > 1) & ~last, F.array(before, after))
-                    .when(place > 1, F.array(before))
-                    .when(~last, F.array(after))
-                    .otherwise(F.array().cast("array<int>"))
-                )
-                left, right = F.slice(ranks, 1, F.greatest(place - 2, F.lit(0))), F.slice(ranks, place + 2, count)
-                return F.struct(parts.alias("parts"), F.flatten(F.array(left, around, right)).alias("ranks"))
-
-            return _named(F.overlay(at["parts"], self._character(least), place, F.lit(2)), ranked)
-
-        return _named(F.array_position(ranks, least).cast("int"), merged)
+        return _named(F.instr(ranks, least), merged)
 
     def _all_merges(self, at: Column, least: Column) -> Column:
-        """``at`` after the merges of the lowest rank, all of them where their order cannot matter."""
-        ranks = at["ranks"]
-        flags = F.array_join(F.transform(ranks, lambda r: F.when(r == least, "1").otherwise("0")), "")
+        """``at`` (``parts``, ``ranks`` of the pairs) after the merges of the lowest rank, all of them where their
+        order cannot matter."""
+        flags = F.array_join(F.transform(at["ranks"], lambda r: F.when(r == least, "1").otherwise("0")), "")
         # of neighbouring places the left one is merged
         apart = F.replace(flags, F.lit("11"), F.lit("10"))
         single = F.concat(F.repeat(F.lit("0"), F.instr(flags, "1") - 1), F.lit("1"))
-        chosen = F.split(F.when(least % 2 == 1, single).otherwise(apart), "")
+        chosen = F.split(F.when(F.substring(least, 2, 1) == "1", single).otherwise(apart), "")
 
         def joined(places: Column) -> Column:
             def part(character: Column, k: Column) -> Column:
                 here, before = F.get(places, k) == "1", F.get(places, k - 1) == "1"
-                return F.when(here, self._character(least)).when(~F.coalesce(before, F.lit(False)), character)
+                return F.when(here, F.substring(least, 1, 1)).when(~F.coalesce(before, F.lit(False)), character)
 
             return F.array_compact(F.transform(each(at["parts"]), part))
 
@@ -268,40 +284,58 @@ class BytePairs:
     def _folded(self, letters: Column) -> Column:
         """The parts of some bytes that no merge is left for."""
         tokens = F.translate(letters, self.bytes, self.byte_tokens)
-        start = _named(tokens, lambda parts: F.struct(parts.alias("parts"), self._pairs(each(parts)).alias("ranks")))
-        turns = F.sequence(F.lit(1), F.length(letters))
 
-        def fold(merge: Callable[[Column, Column], Column]) -> Column:
+        def between_edges(parts: Column) -> Column:
+            """No merge reaches the first and the last part, so every place has two neighbours."""
+            ranks = F.transform(each(parts), lambda c, k: self._made(c, F.substring(parts, k + 2, F.lit(1))))
+            return F.struct(parts.alias("parts"), F.array_join(ranks, "").alias("ranks"))
+
+        def in_array(parts: Column) -> Column:
+            return F.struct(parts.alias("parts"), self._pairs(each(parts)).alias("ranks"))
+
+        def fold(start: Column, least: Callable[[Column], Column], merge: Callable[[Column, Column], Column]) -> Column:
             def step(at: Column, _: Column) -> Column:
-                return _named(F.array_min(at["ranks"]), lambda least: F.when(least.isNull(), at).otherwise(merge(at, least)))
+                return _named(least(at["ranks"]), lambda r: F.when(r < NONE, merge(at, r)).otherwise(at))
 
-            return F.aggregate(turns, start, step, lambda at: at["parts"])
+            return F.aggregate(F.sequence(F.lit(1), F.length(letters)), start, step, lambda at: at["parts"])
 
-        return F.when(F.length(letters) > LONG, fold(self._all_merges)).otherwise(fold(self._one_merge))
+        edged = _named(F.concat(F.lit(EDGE), tokens, F.lit(EDGE)), between_edges)
+        short = F.trim(fold(edged, lambda ranks: F.array_min(each(ranks)), self._one_merge))
+        long = fold(_named(tokens, in_array), F.array_min, self._all_merges)
+        return F.when(F.length(letters) > LONG, long).otherwise(short)
 
     def encode(self, word: Column) -> Column:
         """Ids of a word, an array of integers; a word is not empty."""
 
         def ids(letters: Column) -> Column:
             # replaced, then split: a pattern to replace is compiled once, one to split by for every word
-            cut = F.split(F.regexp_replace(letters, self.cuts, chr(FIRST)), chr(FIRST))
+            cut = F.split(F.regexp_replace(letters, self.cuts, CUT), CUT)
             long = F.array_join(F.transform(cut, self._folded), "")
             parts = F.when(F.length(letters) > LONG, long).otherwise(self._folded(letters))
-            whole = self.marked(letters)
-            return F.when(whole.isNotNull(), F.array(F.shiftright(whole, 1))).otherwise(F.transform(each(parts), rank_of))
+            return F.transform(each(F.coalesce(self._whole(letters), parts)), lambda c: F.ascii(c) - FIRST)
 
         return _named(F.decode(word.cast("binary"), LATIN), ids)
 
 
+def _bucket(buckets: Column, key: Column) -> Column:
+    return F.get(buckets, F.crc32(key.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1)))
+
+
 def each(parts: Column) -> Column:
     """The characters of a string that is not empty."""
     return F.split(parts, "")
 
 
-def rank_of(character: Column) -> Column:
-    """The rank that a token's character stands for."""
-    point = F.ascii(character)
-    return F.when(point < 0xD800, point - FIRST).otherwise(point - FIRST - 0x800)
+def pair_buckets(ranks: dict[bytes, int]) -> list[str]:
+    """Of two tokens' characters that of the token they make, and 1 where its merges are made one by one, else 0."""
+    characters = {token: token_character(rank) for token, rank in ranks.items()}
+    made = {CUT + characters[a] + characters[b]: f"{token_character(m // 2)}{m % 2}" for (a, b), m in merges(ranks).items()}
+    return bucketed(made, f"{EDGE * 2}{NONE}0")
+
+
+def token_buckets(ranks: dict[bytes, int]) -> list[str]:
+    """Of each token's bytes its character."""
+    return bucketed({CUT + token.decode(LATIN) + CUT: token_character(rank) for token, rank in ranks.items()})
 
 
 def spelled(words: Column, ranks: dict[bytes, int]) -> Column:
@@ -309,17 +343,12 @@ def spelled(words: Column, ranks: dict[bytes, int]) -> Column:
 
     The literals stand in the plan once; all lambdas take them from there.
     """
-    characters = {token: token_character(rank) for token, rank in ranks.items()}
-    entries = {characters[a] + characters[b]: marked for (a, b), marked in merges(ranks).items()}
-    entries |= {token.decode(LATIN): 2 * rank for token, rank in ranks.items()}
     by_rank = {rank: token for token, rank in ranks.items()}
-    tokens = [(characters[by_rank[k]], by_rank[k].decode(LATIN)) if k in by_rank else (None, None) for k in range(max(by_rank) + 1)]
-    table = _literal(bucketed(entries), "array<map<string,int>>")
-    named = _literal([c for c, _ in tokens], "array<string>")
-    pieces = _literal([p for _, p in tokens], "array<string>")
+    tokens = [by_rank[k].decode(LATIN) if k in by_rank else None for k in range(max(by_rank) + 1)]
+    literals = [_literal(values, "array<string>") for values in (pair_buckets(ranks), token_buckets(ranks), tokens)]
 
-    def of_all(table: Column, named: Column, pieces: Column) -> Column:
-        pairs = BytePairs(table, named, ranks)
+    def of_all(made: Column, whole: Column, pieces: Column) -> Column:
+        pairs = BytePairs(made, whole, ranks)
 
         def of_ids(ids: Column) -> Column:
             joined = F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")
@@ -328,51 +357,83 @@ def spelled(words: Column, ranks: dict[bytes, int]) -> Column:
 
         return F.transform(words, lambda word: _named(pairs.encode(word), of_ids))
 
-    return _named(table, lambda t: _named(named, lambda n: _named(pieces, lambda p: of_all(t, n, p))))
+    return _named(literals[0], lambda m: _named(literals[1], lambda w: _named(literals[2], lambda p: of_all(m, w, p))))
 
 
 def _literal(value: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
 
 
+def read_together(docs: DataFrame) -> DataFrame:
+    """The rows of a table in tasks of up to ``TASK_BYTES``, but in one for each core at least."""
+    spark = docs.sparkSession
+    partition = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    partitions = docs.rdd.getNumPartitions()
+    tasks = max(-(-partitions // max(1, TASK_BYTES // max(1, partition))), spark.sparkContext.defaultParallelism)
+    return docs.coalesce(tasks) if tasks < partitions else docs
+
+
 def encoded_words(docs: DataFrame, ranks_path: str, pattern: str, id_column: str, text_column: str) -> DataFrame:
-    """One row per slice of documents: ``ids`` and ``counts`` of words of its documents, ``codes`` of the words
-    into ``spelled``, an array of ``(n, ids, bytes)`` of each distinct word."""
+    """One row per slice of texts, those of a task in order: ids of its documents, one for every ``ROW_WORDS`` words of
+    theirs or fewer, whether these are the ``last`` ones, ``counts`` of them, compressed ``codes`` of the words, and ``spelled``, an array of ``(n, ids, bytes)`` of each word that no slice
+    before had.  It is put behind the ``known`` first of those before; if that is 0, what came before is over."""
     ranks = read_ranks(ranks_path)
     text = text_of(text_column)
-    rows = docs.select(
-        F.col(id_column).alias("doc_id"),
-        F.octet_length(text).cast("long").alias("size"),
-        words_of(text, pattern).alias("words"),
+
+    def runs(words: Column) -> Column:
+        final = F.greatest(F.floor((F.size(words) - 1) / ROW_WORDS), F.lit(0)).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), final),
+            lambda k: F.struct((k == final).alias("last"), F.slice(words, k * ROW_WORDS + 1, ROW_WORDS).alias("words")),
+        )
+
+    rows = read_together(docs).select(
+        F.col(id_column).alias("doc_id"), F.inline(_named(words_of(text, pattern), runs))
     )
     schema = T.StructType(
         [
             T.StructField("doc_ids", T.ArrayType(rows.schema["doc_id"].dataType)),
+            T.StructField("last", T.ArrayType(T.BooleanType())),
             T.StructField("counts", T.ArrayType(T.LongType())),
-            T.StructField("codes", T.ArrayType(T.IntegerType())),
+            T.StructField("codes", T.BinaryType()),
+            T.StructField("known", T.IntegerType()),
             T.StructField("words", T.ArrayType(T.StringType())),
         ]
     )
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = np.cumsum(batch.column("size").to_numpy()) // SLICE_BYTES
+            ends = np.cumsum(pc.list_value_length(batch.column("words")).to_numpy(zero_copy_only=False))
+            sizes = sizes_in_bytes(batch.column("words").flatten())
+            part = np.concatenate([[0], np.cumsum(sizes)])[ends] // SLICE_BYTES
             starts = np.flatnonzero(np.diff(part, prepend=part[0] - 1))
             for start, stop in zip(starts, [*starts[1:], batch.num_rows], strict=True):
                 some = batch.slice(start, stop - start)
                 words = Words(some.column("words"))
-                columns = (some.column("doc_id"), pa.array(np.diff(words.bounds)), pa.array(words.codes), words.distinct)
+                if known is None or known.nbytes > KNOWN_BYTES:
+                    known = words.distinct.slice(0, 0)
+                places = pc.index_in(words.distinct, value_set=known)
+                new = places.is_null()
+                later = len(known) - 1 + np.cumsum(new.to_numpy(zero_copy_only=False))
+                places = np.where(new, later, places.fill_null(0)).astype(np.int32)
+                words.distinct = words.distinct.filter(new)
+                codes = pa.compress(places[words.codes], CODEC, asbytes=True)
+                columns = (some.column("doc_id"), some.column("last"), pa.array(np.diff(words.bounds)), words.distinct)
+                *lists, distinct = (pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns], names=schema.names
+                    [*lists, pa.array([codes], pa.binary()), pa.array([len(known)], pa.int32()), distinct],
+                    names=schema.names,
                 )
+                known = pa.concat_arrays([known, words.distinct])
 
     found = rows.mapInArrow(tidied(sliced), schema)
-    return found.select("doc_ids", "counts", "codes", spelled(F.col("words"), ranks).alias("spelled"))
+    return found.select("doc_ids", "last", "counts", "codes", "known", spelled(F.col("words"), ranks).alias("spelled"))
 
 
-def _runs(values: pa.Array, codes: pa.Array, bounds: np.ndarray) -> list[memoryview]:
+def _runs(values: pa.Array, codes: np.ndarray, bounds: np.ndarray) -> list[memoryview]:
     """The bytes of each run of codes, one after the other."""
     taken = values.cast(pa.large_binary()).take(codes)
     ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
@@ -396,23 +457,34 @@ def byte_pairs(
     )
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, n_tokens, of_ids, of_bytes = [], 0, hashlib.sha256(), hashlib.sha256()
         for batch in batches:
             for row in range(batch.num_rows):
-                doc_ids, counts, codes, words = (c.slice(row, 1).flatten() for c in batch.columns)
+                lists = (batch.column(c).slice(row, 1).flatten() for c in ("doc_ids", "last", "counts", "spelled"))
+                doc_ids, last, counts, words = lists
                 n, ids, raw = (words.field(k) for k in ("n", "ids", "bytes"))
-                bounds = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False))]).astype(np.int64)
-                tokens = n.to_numpy(zero_copy_only=False).astype(np.int64)[codes.to_numpy(zero_copy_only=False)]
-                tokens = np.diff(np.concatenate([[0], np.cumsum(tokens)])[bounds])
                 # every word's ids end in a space, the last one's is left out
-                spaced = pa.array([f"{i} " for i in ids.to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        doc_ids,
-                        pa.array(tokens, pa.int64()),
-                        pa.array([hashlib.sha256(r[:-1]).hexdigest() for r in _runs(spaced, codes, bounds)], pa.string()),
-                        pa.array([hashlib.sha256(r).hexdigest() for r in _runs(raw, codes, bounds)], pa.string()),
-                    ],
-                    names=schema.names,
-                )
+                found = [n, pa.array([f"{i} " for i in ids.to_pylist()], pa.string()), raw]
+                before = batch.column("known")[row].as_py()
+                kept = [pa.concat_arrays([k.slice(0, before), f]) for k, f in zip(kept or found, found, strict=True)]
+                n, spaced, raw = kept
+                bounds = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False))]).astype(np.int64)
+                packed = batch.column("codes")[row].as_buffer()
+                codes = np.frombuffer(pa.decompress(packed, int(bounds[-1]) * 4, CODEC), np.int32)
+                tokens = n.to_numpy(zero_copy_only=False).astype(np.int64)[codes]
+                tokens = np.diff(np.concatenate([[0], np.cumsum(tokens)])[bounds]).tolist()
+                out = []
+                runs = (tokens, _runs(spaced, codes, bounds), _runs(raw, codes, bounds), last.to_pylist())
+                # a document's rows follow each other, maybe in several slices
+                for count, some_ids, some_bytes, ended in zip(*runs, strict=True):
+                    n_tokens += count
+                    of_ids.update(some_ids[:-1] if ended else some_ids)
+                    of_bytes.update(some_bytes)
+                    if ended:
+                        out.append((n_tokens, of_ids.hexdigest(), of_bytes.hexdigest()))
+                        n_tokens, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
+                if out:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.string()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([doc_ids.filter(last), *columns], names=schema.names)
 
     return slices.mapInArrow(tidied(digested), schema)

@@ -56,6 +56,47 @@ def test_slices_cut_work_only(documents, edge_rows, monkeypatch):
     assert found(documents(rows=edge_rows)) == whole
 
 
+def test_a_task_encodes_a_word_once(documents, monkeypatch):
+    texts = [f"blorfint {'quandle ' * k}xyzzyx{k % 3}" for k in range(40)]
+    docs = documents(texts).coalesce(1)
+    monkeypatch.setattr(byte_pairs, "SLICE_BYTES", 64)
+    slices = byte_pairs.encoded_words(docs, RANKS, public_tokenizers.PATTERN, "doc_id", "text").collect()
+    assert len(slices) > 10
+    spelled = [word.bytes for s in slices for word in s.spelled]
+    assert len(spelled) == len(set(spelled)) == len({b"blorfint", b" quandle", b" xyzzyx", b"0", b"1", b"2"})
+    whole = found(docs)
+    # a task that may keep few words begins anew with every slice
+    monkeypatch.setattr(byte_pairs, "KNOWN_BYTES", 1)
+    slices = byte_pairs.encoded_words(docs, RANKS, public_tokenizers.PATTERN, "doc_id", "text").collect()
+    assert {s.known for s in slices} == {0} and sum(len(s.spelled) for s in slices) > 20
+    assert found(docs) == whole == expected(list(enumerate(texts)), byte_pairs.read_ranks(RANKS))
+
+
+def test_a_text_may_lie_in_several_rows_and_slices(documents, edge_rows, monkeypatch):
+    monkeypatch.setattr(byte_pairs, "ROW_WORDS", 3)
+    monkeypatch.setattr(byte_pairs, "SLICE_BYTES", 16)
+    texts = ["a few words of a text", "", "one two three", " four", None, "\n", "five 5 six 6 seven 7"]
+    rows = list(enumerate(texts))
+    ranks = byte_pairs.read_ranks(RANKS)
+    assert found(documents(texts)) == expected(rows, ranks)
+    assert found(documents(rows=edge_rows).coalesce(1)) == expected(edge_rows, ranks)
+
+
+def test_small_partitions_are_read_together(spark, tmp_path):
+    spark.range(400).selectExpr("id doc_id", "concat('word', id) text").repartition(40).write.parquet(str(tmp_path / "docs"))
+    cores = spark.sparkContext.defaultParallelism
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+        assert docs.rdd.getNumPartitions() > cores
+        assert byte_pairs.read_together(docs).rdd.getNumPartitions() == cores
+        assert found(docs) == expected([(k, f"word{k}") for k in range(400)], byte_pairs.read_ranks(RANKS))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @pytest.fixture
 def small_ranks(tmp_path):
     """Ranks in which a token often ranks below the parts that make it, so order matters."""
