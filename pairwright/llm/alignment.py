@@ -45,6 +45,8 @@ from pairwright.llm.words import filled, slices, tidied
 
 # Arrow's arrays of a slice are some hundred times its bytes, and workers keep what they once held.
 SLICE_BYTES = 1 << 20
+# A slice is a row of some megabytes, and Spark reads a row group at once.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 
 
 class PlainByteIds(ByteIds):
@@ -65,6 +67,13 @@ class PlainByteIds(ByteIds):
             return array("I", self.fast.encode_ordinary(chunk)).tobytes()
         return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
+    def spell(self, chunks: list[str]) -> list[bytes]:
+        # mostly all are plain, which one search tells
+        if self.fast and PLAIN.fullmatch("".join(chunks)):
+            encode = self.fast.encode_ordinary
+            return [array("I", encode(c)).tobytes() for c in chunks]
+        return super().spell(chunks)
+
 
 class SpelledPieceIds(PieceIds):
     """Piece ids with each id's bytes; a slice's distinct words go through the library together."""
@@ -137,7 +146,9 @@ class Aligner:
         a, size = _tokens(lists_a, self.a.spelled)
         b, _ = _tokens(lists_b, self.b.spelled)
         links = a.join(b, keys=["doc", "end"], join_type="inner", right_suffix="_b", use_threads=False)
-        links = links.sort_by([("doc", "ascending"), ("end", "ascending")])
+        # in the order of texts and ends, which the join mostly leaves
+        reach = int(pc.max(size).as_py() or 0) + 1
+        links = links.take(pa.array(np.argsort(links["doc"].to_numpy().astype(np.int64) * reach + links["end"].to_numpy(), kind="stable")))
         pairs = links.group_by(["id", "id_b"], use_threads=False).aggregate([([], "count_all")])
         pairs = pairs.select(["id", "id_b", "count_all"]).rename_columns(["a", "b", "n"]).sort_by([("a", "ascending"), ("b", "ascending")])
         # places by a key of both ids, since a join would lose the order
@@ -165,9 +176,9 @@ class Aligner:
         for side, (tokens, end) in enumerate(zip((a, b), ends[:2], strict=True)):
             group = np.searchsorted(ends[2], end)
             last = ends[2][group] == end
-            mark = np.where(last, "|" if side == 0 else ";", ",")
+            mark = pa.array([",", "|" if side == 0 else ";"]).take(pa.array(last.astype(np.int8)))
             order.append(2 * group + side)
-            texts.append(pc.binary_join_element_wise(tokens["id"].combine_chunks().cast(pa.string()), pa.array(mark, pa.string()), ""))
+            texts.append(pc.binary_join_element_wise(tokens["id"].combine_chunks().cast(pa.string()), mark, ""))
             docs.append(tokens["doc"].to_numpy())
         by = np.argsort(np.concatenate(order), kind="stable")
         spelled = pa.concat_arrays(texts).take(pa.array(by)).cast(pa.large_string())
@@ -230,11 +241,10 @@ def alignment(
     docs: DataFrame, byte_path: str, piece_path: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Every document's tokens, groups and links, and how good its links are in the whole corpus."""
-    sliced = landed(aligned_slices(docs, byte_path, piece_path, id_column, text_column), "aligned")
+    sliced = landed(aligned_slices(docs, byte_path, piece_path, id_column, text_column), "aligned", ROW_GROUPS)
     counts = landed(pair_counts(sliced), "counts")
     asked = sliced.select("slice", F.posexplode("pairs").alias("place", "pair")).select("slice", "place", "pair.a", "pair.b")
-    told = asked.join(counts, ["a", "b"]).groupBy("slice")
-    told = told.agg(F.sort_array(F.collect_list(F.struct("place", "count", "best"))).alias("told"))
+    told = asked.join(counts, ["a", "b"]).select(F.col("slice").alias("of"), "place", "count", "best")
     doc_id = docs.schema[id_column].dataType
     schema = T.StructType(
         [
@@ -244,19 +254,19 @@ def alignment(
         ]
     )
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                each, told = (batch.column(c).slice(row, 1).flatten() for c in ("docs", "told"))
-                links = each.field("links")
-                codes = links.flatten().to_numpy(zero_copy_only=False)
-                bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(links).to_numpy(zero_copy_only=False))]).astype(np.int64)
-                sums = []
-                for field in ("best", "count"):
-                    value = told.field(field).cast(pa.int64()).to_numpy(zero_copy_only=False) if len(told) else np.empty(0, np.int64)
-                    running = np.concatenate([[0], np.cumsum(value[codes])]).astype(np.int64)
-                    sums.append(pa.array(np.diff(running[bounds]), pa.int64()))
-                own = [each.field(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_groups")]
-                yield pa.RecordBatch.from_arrays([*own, *sums, each.field("groups_sha256")], names=schema.names)
-
-    return sliced.select("slice", "docs").join(told, "slice", "left").select("docs", "told").mapInArrow(tidied(judge), schema)
+    def judge(each: pa.Table, told: pa.Table) -> pa.Table:
+        links = each["links"].combine_chunks()
+        codes = links.flatten().to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(links).to_numpy(zero_copy_only=False))]).astype(np.int64)
+        place, sums = told["place"].to_numpy(), {}
+        for field in ("best", "count"):
+            value = np.zeros(len(place), np.int64)
+            value[place] = told[field].cast(pa.int64()).to_numpy()
+            running = np.concatenate([[0], np.cumsum(value[codes])])
+            sums[field] = pa.array(np.diff(running[bounds]), pa.int64())
+        own = [each[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_groups")]
+        return pa.table([*own, sums["best"], sums["count"], each["groups_sha256"]], names=schema.names)
+
+    # a slice is put together in Python; Spark sorts rows by slice, which it can do on disk, and holds no list of them
+    each = sliced.select("slice", F.inline("docs"))
+    return each.groupBy("slice").cogroup(told.groupBy("of")).applyInArrow(judge, schema)

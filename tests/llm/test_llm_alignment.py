@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import public_tokenizers
+import pyarrow.parquet as pq
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -110,3 +111,24 @@ def test_edge_rows(documents, edge_rows):
 def test_counts_are_of_the_whole_corpus(documents):
     counts = alignment.pair_counts(alignment.aligned_slices(documents(["the the", "the"] * 3), BYTES, PIECES)).collect()
     assert sorted(r["count"] for r in counts) == [9] and all(r["best"] for r in counts)
+
+
+def test_no_list_of_a_tasks_slices_is_held(documents):
+    """Rows are sorted by slice, on disk if need be; a list per slice was kept for all slices of a task at once."""
+    result = alignment.alignment(documents(["one two three", "two three four"]), BYTES, PIECES)
+    plan = result._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "CoGroups" in plan
+
+
+def test_slices_are_read_a_few_at_a_time(documents, monkeypatch, tmp_path):
+    """Spark reads a row group at once, so one with a hundred slices of megabytes fills the memory."""
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 20_000)
+    rng = random.Random(5)
+    texts = [" ".join(str(rng.random()) for _ in range(1000)) for _ in range(60)]
+    sliced = alignment.aligned_slices(documents(texts).coalesce(1), BYTES, PIECES)
+    sizes = {}
+    for name, options in (("plain", {}), ("bounded", {**alignment.ROW_GROUPS, "parquet.block.size": str(1 << 20)})):
+        sliced.write.options(**options).parquet(f"{tmp_path}/{name}")
+        files = [pq.ParquetFile(p) for p in (tmp_path / name).glob("*.parquet")]
+        sizes[name] = max(f.metadata.row_group(k).num_rows for f in files for k in range(f.metadata.num_row_groups))
+    assert sizes["plain"] > 50 and sizes["bounded"] < 30
