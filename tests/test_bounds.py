@@ -6,8 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairwright.functions import arrow_metrics, similarity
+from pairwright.operators import pairing
 from pairwright.operators.matching import Compare, Matching
 from pairwright.operators.scoring import METRICS, Comparison, possible_pairs, score_pairs
+from pairwright.plans import catalog
+
+FOLDER = "/root/testdata/sf0.001"
 
 BOUNDED = ["jaro_winkler_similarity", "lcs_length", "ratio", "partial_ratio", "token_sort_ratio"]
 
@@ -106,3 +110,16 @@ def test_letters_are_counted_from_a_value_worked_out_once(spark):
     got = [r[0] for r in frame.select(similarity.letter_counts(noted("t"))).collect()]
     assert [got[0][k] for k in (1, 2, 3)] == [2, 1, 1] and sum(got[0]) == 4 and sum(got[1]) == 0
     assert got[2] == frame.select(similarity.letter_counts(F.col("t"))).collect()[2][0] and calls.value == 3
+
+
+def test_pair_counts_are_whole_numbers_where_they_are_wide_enough(spark):
+    """Counts beyond a long are exact, and those below it take no wide decimals; sums over pairs neither."""
+    counts = [(1, 1), (3, 5), (2**31 - 1, 2**31 - 1), (2**31, 2**33), (10**15, 7 * 10**15)]
+    rows = spark.createDataFrame(counts, "a long, b long")
+    found = rows.select("a", "b", pairing.pairs_between("a", "b").alias("between"), pairing.pairs_within("a").alias("within"))
+    assert dict(found.dtypes)["between"] == dict(found.dtypes)["within"] == "decimal(38,0)"
+    assert sorted((r["a"], r["b"], int(r["between"]), int(r["within"])) for r in found.collect()) == sorted(
+        (a, b, a * b, a * (a - 1) // 2) for a, b in counts
+    )
+    plan = catalog.large_block_candidates(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(cast(pairs" in plan
