@@ -118,3 +118,45 @@ def test_scores_come_from_where_pairs_are_found(spark, metric):
     again = score_pairs(met.withColumnRenamed("score", "found"), [Comparison("text1", "text2", metric, "score")])
     pairs = again.select("found", "score").collect()
     assert len(pairs) > 50 and all(r["found"] == r["score"] for r in pairs)
+
+
+def test_profiles_come_from_one_shuffle_and_pairs_are_not_shuffled(spark):
+    """Where only profiles are told, pairs come whole from the cells, and texts are shuffled twice: to their profiles and to their slots."""
+    records = spark.createDataFrame([(1, "x", "a b c"), (2, "x", "a b c d")], "id long, block string, text string")
+    job = Matching("id", ["block"], [Compare("text", "cosine_similarity", "score")], {"score": 0.5}, tell_values=False)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        links = job.links(records)
+        plan = links._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r) for r in links.select("profile1", "profile2", "pairs").collect()] == [(1, 2, 1)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert "text1" not in links.columns and "profile1#" not in "".join(x for x in plan.splitlines() if "Exchange" in x)
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning(block#") - plan.count("ReusedExchange") <= 4
+
+
+def test_a_slot_is_the_same_when_unpacked_and_small():
+    import numpy as np
+    import pyarrow as pa
+
+    from pairwright.operators.token_sets import Slot
+
+    rng = random.Random(11)
+    lists = [[f"word{int(rng.paretovariate(0.6))}" for _ in range(rng.randrange(0, 300))] for _ in range(400)] + [[], ["x"]]
+    for weighted in (False, True):
+        slot = Slot.of(pa.array(lists, pa.list_(pa.string())), weighted, [pa.array([None, *range(401)], pa.int64())])
+        data = slot.packed()
+        again = Slot.unpacked(data)
+        assert again.count == 402 and again.names == slot.names and again.columns == slot.columns
+        assert all(np.array_equal(getattr(again, n), getattr(slot, n)) for n in ("rows", "ids", "weights"))
+        assert len(data) < sum(len(w) + 1 for words in lists for w in words) / 2
+    empty = Slot.unpacked(Slot.of(pa.array([[], []], pa.list_(pa.string())), True, [pa.array([7, 8], pa.int64())]).packed())
+    assert empty.count == 2 and not len(empty.rows) and empty.beside(slot).count == 404
+
+
+def test_slots_of_several_sides_meet_once(spark):
+    """2,000 values in ten slots, which are dealt to four sides: every pair of slots is in one cell."""
+    rows = spark.range(2_000).selectExpr("id AS profile", "'b' AS block", "concat_ws(' ', 'a' || id % 1000, 'b' || id % 1000) AS t")
+    found = candidates(rows, ["block"], F.col("t"), METRICS["word_jaccard_similarity"].tokens, 0.8, slot_rows=50)
+    assert found.count() == 1_000
